@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from errata.llm import decontaminate, pack, secrets, simhash, toxicity
+from errata.llm import decontaminate, pack, secrets, simhash, toxicity, warc
 from errata.llm.common import table
 
 
@@ -33,10 +33,13 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_warc": warc.op1_warc,
     "op2_packing": op2_packing,
     "op4_secrets": op4_secrets,
     "op6_toxicity": op6_toxicity,
     "op8_simhash": op8_simhash,
     "op9_decontamination": op9_decontamination,
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op1_warc": warc.ORACLE_SQL,
+}
