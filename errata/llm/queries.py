@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from errata.llm import decontaminate, pack, secrets, simhash, toxicity, warc
+from errata.llm import ann, decontaminate, pack, secrets, simhash, toxicity, warc
 from errata.llm.common import table
 
 
@@ -32,6 +32,10 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.neighbours(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": warc.op1_warc,
     "op2_packing": op2_packing,
@@ -39,6 +43,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_toxicity": op6_toxicity,
     "op8_simhash": op8_simhash,
     "op9_decontamination": op9_decontamination,
+    "op10_neighbours": op10_neighbours,
 }
 ORACLE_SQL: dict[str, str] = {
     "op1_warc": warc.ORACLE_SQL,
