@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from errata.llm import ann, decontaminate, pack, secrets, simhash, toxicity, warc
+from errata.llm import ann, decontaminate, pack, pitman_yor, secrets, simhash, toxicity, warc
 from errata.llm.common import table
 
 
@@ -19,6 +19,10 @@ def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(known, ledger)
 
 
+def op5_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pitman_yor.score(table(spark, sf_dir, "documents"))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -40,6 +44,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": warc.op1_warc,
     "op2_packing": op2_packing,
     "op4_secrets": op4_secrets,
+    "op5_pitman_yor": op5_pitman_yor,
     "op6_toxicity": op6_toxicity,
     "op8_simhash": op8_simhash,
     "op9_decontamination": op9_decontamination,
