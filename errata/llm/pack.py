@@ -34,7 +34,7 @@ CAPACITY = 2048
 END_ID = 0
 TOKENIZER = "word_bpe_49k.json"
 #: Words whose ids a worker remembers; beyond it, it forgets all and starts again.
-CACHE_WORDS = 600_000
+CACHE_WORDS = 250_000
 PIECE = "doc_id {key}, piece int, start long, length long, ids_crc32 long, part int, rank_in_part long"
 
 
