@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from errata.llm import ann, decontaminate, pack, pitman_yor, secrets, simhash, toxicity, warc
+from errata.llm import ann, decontaminate, licenses, pack, pitman_yor, secrets, simhash, suffixes, toxicity, warc
 from errata.llm.common import table
 
 
@@ -14,6 +14,10 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack.pack(table(spark, sf_dir, "documents"))
 
 
+def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.report(table(spark, sf_dir, "documents"))
+
+
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     known, ledger = secrets.update(table(spark, sf_dir, "documents"))
     return secrets.report(known, ledger)
@@ -27,6 +31,10 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op7_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.report(table(spark, sf_dir, "documents"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.classes(table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.as_hex(), "component_id")
@@ -43,9 +51,11 @@ def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": warc.op1_warc,
     "op2_packing": op2_packing,
+    "op3_licenses": op3_licenses,
     "op4_secrets": op4_secrets,
     "op5_pitman_yor": op5_pitman_yor,
     "op6_toxicity": op6_toxicity,
+    "op7_suffixes": op7_suffixes,
     "op8_simhash": op8_simhash,
     "op9_decontamination": op9_decontamination,
     "op10_neighbours": op10_neighbours,
