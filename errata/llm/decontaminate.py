@@ -24,7 +24,8 @@ from pyspark.sql import types as T
 
 from errata.llm.common import written
 
-WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+#: A word before lower-casing.
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 #: A-Z become a-z; bytes that are no part of a word become spaces.
 BYTES = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
 WINDOW = 10
