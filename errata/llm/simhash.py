@@ -39,6 +39,8 @@ SEGMENTS = 5
 BLOCK = 8192
 #: Up to so many pairs of one key are compared at once; beyond, neighbours are searched one by one.
 PAIRS_AT_ONCE = 4096
+#: The bit of a key from which on it says where the chain starts; the segments lie below.
+START = 44
 #: Shingle hashes whose bits are counted at once.
 HASHES_AT_ONCE = 1 << 16
 
@@ -92,10 +94,11 @@ def _segment(values: np.ndarray, place: tuple[int, int]) -> np.ndarray:
     return (values >> np.uint64(place[0])) & np.uint64((1 << place[1]) - 1)
 
 
-def _keys(values: np.ndarray, start: int, places: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Keys, fingerprints, and whether stored (or only looked up), for chains from `start`."""
+def _keys(values: np.ndarray, prints: np.ndarray, start: int, places: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys, fingerprints, and whether stored (or only looked up), for chains from `start`. A key
+    names the print and the start besides the two segments."""
     first, second = places[start], places[(start + 1) % len(places)]
-    head = (np.uint64(start) << np.uint64(60)) | (_segment(values, first) << np.uint64(second[1]))
+    head = (prints << np.uint64(START + 8)) | (np.uint64(start) << np.uint64(START)) | (_segment(values, first) << np.uint64(second[1]))
     tail = _segment(values, second)
     keys, owners, stored = [head | tail], [values], [np.ones(len(values), bool)]
     for bit in range(second[1]):
@@ -139,12 +142,12 @@ def _links(stored: np.ndarray, asking: np.ndarray, start: int, places, max_bits:
     return out
 
 
-def _run_links(key, values: np.ndarray, stored: np.ndarray, places, max_bits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Links of sorted runs of equal keys: small runs pair by pair, at once; large ones one by one."""
+def _run_links(key, values: np.ndarray, stored: np.ndarray, places, max_bits: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(print, a, b): links of sorted runs of equal keys: small runs pair by pair, at once; large ones one by one."""
     new = np.flatnonzero(np.append(True, (key[1:] != key[:-1])))
     size = np.diff(np.append(new, len(key)))
     n_stored = np.add.reduceat(stored.astype(np.int64), new)
-    starts = (key >> np.uint64(60)).astype(np.int64)
+    starts = (key >> np.uint64(START) & np.uint64(255)).astype(np.int64)
     live = (n_stored > 0) & (size > 1)
     small = live & (n_stored * size <= PAIRS_AT_ONCE)
     # stored rows come first in a run: pairs (i, j) with i stored and j behind it
@@ -159,12 +162,12 @@ def _run_links(key, values: np.ndarray, stored: np.ndarray, places, max_bits: in
             of = starts[i] == start
             a, b = values[i[of]], values[j[of]]
             ok = _near(a, b, start, places, max_bits)
-            yield a[ok], b[ok]
+            yield key[i[of][ok]] >> np.uint64(START + 8), a[ok], b[ok]
     for r in np.flatnonzero(live & ~small):
         a, m, n = new[r], n_stored[r], size[r]
         found = _links(values[a : a + m], values[a + m : a + n], int(starts[a]), places, max_bits)
         pairs = np.array(found, np.uint64).reshape(-1, 2)
-        yield pairs[:, 0], pairs[:, 1]
+        yield np.repeat(key[a : a + 1] >> np.uint64(START + 8), len(pairs)), pairs[:, 0], pairs[:, 1]
 
 
 def _within(counts: np.ndarray) -> np.ndarray:
@@ -174,24 +177,27 @@ def _within(counts: np.ndarray) -> np.ndarray:
 
 
 def links(distinct: DataFrame, *, max_bits: int = MAX_BITS, segments: int = SEGMENTS, block: int = BLOCK) -> DataFrame:
-    """Edges (a, b) between distinct fingerprints `errata_fp`, enough to connect all that are near.
+    """Edges (print, a, b) between distinct fingerprints (print, errata_fp) of the same print, enough
+    to connect all that are near.
 
     `distinct` is read more than once, so it is to be a stored table.
     """
-    if max_bits >= 2 * segments:
-        raise ValueError("the first two segments of a chain may differ in one bit at most")
+    if max_bits >= segments:
+        raise ValueError("the first segment of a chain is to be equal: more segments than bits are needed")
     spark, places = distinct.sparkSession, ring(segments)
 
     def meet(batches: Iterator[pa.RecordBatch], stored_only: bool = False) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             values = batch.column("errata_fp").to_numpy().view(np.uint64)
+            prints = batch.column("print").to_numpy().astype(np.uint64)
             for start in range(segments):
-                key, owner, stored = _keys(values, start, places)
+                key, owner, stored = _keys(values, prints, start, places)
                 if stored_only:
                     yield pa.RecordBatch.from_arrays([pa.array(key[stored].view(np.int64))], ["key"])
                 else:
                     yield pa.RecordBatch.from_arrays([pa.array(x) for x in (key.view(np.int64), owner.view(np.int64), ~stored)], ["key", "fp", "asks"])
 
+    distinct = distinct.select("print", "errata_fp")
     sizes = distinct.mapInArrow(lambda b: meet(b, True), "key long").groupBy("key").agg(F.count("*").alias("n"))
     large = written(sizes.filter(F.col("n") > block), "large_keys")
     rows = distinct.mapInArrow(meet, "key long, fp long, asks boolean").withColumn("turn", F.lit(0))
@@ -218,10 +224,10 @@ def links(distinct: DataFrame, *, max_bits: int = MAX_BITS, segments: int = SEGM
                 key, turn, fp, asks = (x[:cut] for x in rest)
                 rest = [x[cut:] for x in rest]
                 for part in _by_turn(key, turn):
-                    for a, b in _run_links(key[part].view(np.uint64), fp[part].view(np.uint64), ~asks[part], places, max_bits):
-                        yield pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], ["a", "b"])
+                    for number, a, b in _run_links(key[part].view(np.uint64), fp[part].view(np.uint64), ~asks[part], places, max_bits):
+                        yield pa.RecordBatch.from_arrays([pa.array(number.astype(np.int32)), pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], ["print", "a", "b"])
 
-    return dealt.select("key", "turn", "fp", "asks").mapInArrow(connect, "a long, b long").filter("a != b")
+    return dealt.select("key", "turn", "fp", "asks").mapInArrow(connect, "print int, a long, b long").filter("a != b")
 
 
 def _and_end(batches):
@@ -249,8 +255,8 @@ def classes(documents: DataFrame, *, key: str = "doc_id", shingle: int = SHINGLE
 
 def _classes(marked: DataFrame, max_bits: int, segments: int, block: int) -> DataFrame:
     marked = written(marked, "fingerprints")
-    distinct = written(marked.groupBy("errata_fp").agg(F.min("doc_id").alias("least")), "distinct")
-    roots = components(links(distinct.select("errata_fp"), max_bits=max_bits, segments=segments, block=block))
+    distinct = written(marked.groupBy(F.lit(0).alias("print"), "errata_fp").agg(F.min("doc_id").alias("least")), "distinct")
+    roots = components(links(distinct, max_bits=max_bits, segments=segments, block=block))
     named = distinct.join(roots, F.col("errata_fp") == F.col("node"), "left").select("errata_fp", "least", F.coalesce("root", "errata_fp").alias("root"))
     least = named.groupBy("root").agg(F.min("least").alias("component_id"))
     by_fp = named.join(least, "root").select("errata_fp", "component_id")
@@ -261,22 +267,114 @@ def as_hex(column: str = "errata_fp"):
     return F.lower(F.lpad(F.hex(column), BITS // 4, "0")).alias("fingerprint")
 
 
-def deduplicate(documents: DataFrame, *, shingle: int = SHINGLE, max_bits: int = MAX_BITS, segments: int = SEGMENTS, block: int = BLOCK) -> DataFrame:
-    """Documents, all columns, one of each component: a row of its least doc_id.
+# ---- near copies by shingle similarity -------------------------------------------------------------
 
-    Of several rows with that id one stays; a row with a null id stays only if all ids of its
-    component are null.
+#: Independent fingerprints of a text's distinct words. Of texts that share 0.8 of their five-word
+#: shingles, a few hundredths of the words differ, and so about 4 bits of each fingerprint.
+PRINTS = 6
+WORDS = 5
+SIMILARITY = 0.8
+
+
+def word_prints(words: list[bytes], prints: int) -> np.ndarray:
+    """Fingerprints of the distinct words, by hashes that are independent of each other."""
+    digest = xxhash.xxh64_intdigest
+    base = np.array([digest(w, SEED) for w in set(words)], np.uint64)
+    out = []
+    for k in range(prints):
+        mixed = (base ^ np.uint64((2 * k + 1) * 0x9E3779B97F4A7C15 % 2**64)) * np.uint64(0xBF58476D1CE4E5B9)
+        mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0x94D049BB133111EB)
+        out.append(fingerprint(mixed ^ (mixed >> np.uint64(32))))
+    return np.array(out, np.uint64)
+
+
+def _printed(documents: DataFrame, prints: int) -> DataFrame:
+    """doc_id, row_text (a hash of the text), content (a hash of its words), fps."""
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            content, found = [], []
+            for text in batch.column("text").to_pylist():
+                words = text.encode().lower().split() if text else []
+                content.append(xxhash.xxh3_64_intdigest(b" ".join(words)))
+                found.append(word_prints(words, prints).view(np.int64))
+            columns = [batch.column("doc_id"), batch.column("row_text"), pa.array(np.array(content, np.uint64).view(np.int64)), pa.array(found, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "row_text", "content", "fps"])
+
+    slim = documents.select("doc_id", "text", F.xxhash64("text").alias("row_text"))
+    key = documents.schema["doc_id"].dataType
+    fields = [("doc_id", key), ("row_text", T.LongType()), ("content", T.LongType()), ("fps", T.ArrayType(T.LongType()))]
+    return slim.mapInArrow(add, T.StructType([T.StructField(n, k) for n, k in fields]))
+
+
+def _shingle_sets(texts: DataFrame, size: int) -> DataFrame:
+    """content and its distinct word shingles, as sorted 32-bit hashes; a shorter text is one shingle."""
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [np.unique(hashes(t, size) >> np.uint64(32)).astype("<u4").tobytes() for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("content"), pa.array(found, pa.binary())], ["content", "shingles"])
+
+    return texts.select("content", "text").mapInArrow(add, "content long, shingles binary")
+
+
+def _similar(pairs: DataFrame, least: float) -> DataFrame:
+    """The pairs (a, b, x, y) whose shingles x and y have that Jaccard similarity."""
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            good = []
+            for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True):
+                a, b = np.frombuffer(x, "<u4"), np.frombuffer(y, "<u4")
+                both = len(np.intersect1d(a, b, assume_unique=True)) if min(len(a), len(b)) >= least * max(len(a), len(b)) else 0
+                good.append(both >= least * (len(a) + len(b) - both) and both > 0)
+            yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
+
+    return pairs.mapInArrow(keep, "a long, b long")
+
+
+def near_copies(documents: DataFrame, *, prints: int = PRINTS, words: int = WORDS, similarity: float = SIMILARITY, max_bits: int = MAX_BITS, segments: int = SEGMENTS, block: int = BLOCK) -> DataFrame:
+    """doc_id, row_text and component_id of every row: texts of equal words are one group, and groups
+    are linked if near in any fingerprint and if their word shingles are in fact as similar.
+
+    Candidates are, for each fingerprint, the links of its pigeonring join, and each text with one
+    that shares its fingerprint; several fingerprints give a text several of them.
+    """
+    marked = written(_printed(documents, prints), "prints")
+    texts = written(marked.groupBy("content").agg(F.min("doc_id").alias("least"), F.min(F.struct("doc_id", "row_text")).alias("row"), F.min("fps").alias("fps")), "contents")
+    each = written(texts.select("content", F.posexplode("fps").alias("print", "errata_fp")), "each")
+    holders = written(each.groupBy("print", "errata_fp").agg(F.min("content").alias("holder")), "holders")
+    near = links(holders, max_bits=max_bits, segments=segments, block=block)
+    a = holders.select("print", F.col("errata_fp").alias("a"), F.col("holder").alias("ha"))
+    b = holders.select("print", F.col("errata_fp").alias("b"), F.col("holder").alias("hb"))
+    between = near.distinct().join(a, ["print", "a"]).join(b, ["print", "b"]).select(F.col("ha").alias("a"), F.col("hb").alias("b"))
+    within = each.join(holders, ["print", "errata_fp"]).select(F.col("content").alias("a"), F.col("holder").alias("b"))
+    both = between.unionByName(within).filter("a != b")
+    pairs = written(both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
+    involved = pairs.select(F.explode(F.array("a", "b")).alias("content")).distinct()
+    wanted = texts.join(involved, "content").select("content", F.col("row.doc_id").alias("errata_id"), F.col("row.row_text").alias("errata_row"))
+    found = documents.select("doc_id", "text").join(wanted.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("errata_id")) & (F.xxhash64("text") == F.col("errata_row")))
+    sets = written(_shingle_sets(found, words).dropDuplicates(["content"]), "shingles")
+    left = pairs.join(sets.select(F.col("content").alias("a"), F.col("shingles").alias("x")), "a")
+    full = left.join(sets.select(F.col("content").alias("b"), F.col("shingles").alias("y")), "b").select("a", "b", "x", "y")
+    roots = components(_similar(full, similarity))
+    named = texts.join(roots, F.col("content") == F.col("node"), "left").select("content", "least", F.coalesce("root", "content").alias("root"))
+    least = named.groupBy("root").agg(F.min("least").alias("component_id"))
+    return marked.join(named.join(least, "root").select("content", "component_id"), "content").select("doc_id", "row_text", "component_id")
+
+
+def deduplicate(documents: DataFrame, **options) -> DataFrame:
+    """Documents, all columns, one of each group of near_copies(): a row of its least doc_id.
+
+    Of several rows with that id one stays; a row with a null id stays only if all ids of its group
+    are null.
     """
-    content = F.xxhash64("text")
-    marked = fingerprints(documents.select("doc_id", "text"), shingle=shingle).select("doc_id", "errata_fp", content.alias("errata_text"))
-    least = _classes(marked, max_bits, segments, block).filter("doc_id <=> component_id")
-    rows = least.groupBy("component_id", "doc_id", "errata_text").agg(F.count("*").alias("errata_n"))
-    kept = written(rows.groupBy("component_id", "doc_id").agg(F.min(F.struct("errata_text", "errata_n")).alias("t")).select("doc_id", "t.*"), "kept")
-    joined = documents.withColumn("errata_text", content).join(
-        kept.withColumnRenamed("doc_id", "errata_id").withColumnRenamed("errata_text", "errata_kept").hint("shuffle_hash"),
-        F.col("doc_id").eqNullSafe(F.col("errata_id")) & (F.col("errata_text") == F.col("errata_kept")),
-        "left_semi",
+    least = near_copies(documents, **options).filter("doc_id <=> component_id")
+    rows = least.groupBy("component_id", "doc_id", "row_text").agg(F.count("*").alias("n"))
+    kept = written(rows.groupBy("component_id", "doc_id").agg(F.min(F.struct("row_text", "n")).alias("t")).select(F.col("doc_id").alias("errata_id"), F.col("t.row_text").alias("errata_kept"), "t.n"), "kept")
+    joined = documents.withColumn("errata_text", F.xxhash64("text")).join(
+        kept.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("errata_id")) & (F.col("errata_text") == F.col("errata_kept")), "left_semi"
     )
-    if not kept.filter("errata_n > 1").isEmpty():
+    if not kept.filter("n > 1").isEmpty():
         joined = joined.dropDuplicates(["doc_id", "errata_text"])
     return joined.drop("errata_text")
