@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from errata.llm.common import written
+from errata.llm.common import mapped, written
 
 NEIGHBOURS = 20
 TABLES = 2
@@ -150,7 +150,7 @@ def search_block(index_rows: DataFrame, index: Index, names: np.ndarray, queries
             ids = [kept[i] for i in owner[q0 : q0 + TILE[0]][q, at]]
             yield pa.RecordBatch.from_arrays([pa.array(names[q0 + q]), pa.array(best[q0 : q0 + TILE[0]][q, at]), pa.array(ids, pa.list_(pa.int64()))], ["query", "score", "ids"])
 
-    return index_rows.select("v", "ids").mapInArrow(search, "query long, score double, ids array<long>")
+    return mapped(index_rows.select("v", "ids"), search, "query long, score double, ids array<long>")
 
 
 def _forget_unused(kept: list, owner: np.ndarray, best: np.ndarray) -> tuple[list, np.ndarray]:

@@ -8,13 +8,23 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH_ROWS = 2000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def mapped(df: DataFrame, function, schema) -> DataFrame:
+    """df.mapInArrow, with batches of at most BATCH_ROWS rows: texts can be long, and a worker and its
+    executor hold a batch at a time. A smaller setting of the session stays."""
+    conf = df.sparkSession.conf
+    if int(conf.get(BATCH_SETTING, "10000")) not in range(1, BATCH_ROWS + 1):
+        conf.set(BATCH_SETTING, str(BATCH_ROWS))
+    return df.mapInArrow(function, schema)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share: the one named in spark.checkpoint.dir.
 

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from errata.llm.common import written
+from errata.llm.common import mapped, written
 
 #: A word before lower-casing.
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
@@ -201,8 +201,8 @@ FOUND = T.StructType(
 FOUND_ARROW = (pa.int64(), pa.list_(pa.int32()), pa.list_(pa.string()), pa.int64())
 
 
-def _scan_block(documents: DataFrame, automaton: SuffixAutomaton, ids: list[str]) -> DataFrame:
-    """documents with the columns of FOUND."""
+def _scan_block(documents: DataFrame, automaton: SuffixAutomaton, ids: list[str], then=None, schema: T.StructType | None = None) -> DataFrame:
+    """documents with the columns of FOUND; or what `then` makes of such a batch, with its schema."""
     shared = documents.sparkSession.sparkContext.broadcast((automaton, ids))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -214,9 +214,10 @@ def _scan_block(documents: DataFrame, automaton: SuffixAutomaton, ids: list[str]
                 spans, found, longest = machine.scan(words)
                 rows.append((len(words), list(chain.from_iterable(spans)), sorted({names[i] for i in found}), longest))
             added = [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(FOUND_ARROW)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *added], [*batch.schema.names, *FOUND.names])
+            out = pa.RecordBatch.from_arrays([*batch.columns, *added], [*batch.schema.names, *FOUND.names])
+            yield then(out) if then else out
 
-    return documents.mapInArrow(scan, T.StructType([*documents.schema.fields, *FOUND.fields]))
+    return mapped(documents, scan, schema or T.StructType([*documents.schema.fields, *FOUND.fields]))
 
 
 def _merge_spans(pairs: list[tuple[int, int]]) -> list[int]:
@@ -229,12 +230,12 @@ def _merge_spans(pairs: list[tuple[int, int]]) -> list[int]:
     return out
 
 
-def _scan(documents: DataFrame, benchmark: DataFrame, item_key: str, window: int, block_words: int) -> DataFrame:
-    """documents, all columns, with those of FOUND over all blocks."""
+def _scan(documents: DataFrame, benchmark: DataFrame, item_key: str, window: int, block_words: int, then=None, schema: T.StructType | None = None) -> DataFrame:
+    """documents, all columns, with those of FOUND over all blocks; or what `then` makes of them."""
     blocks = blocks_of(benchmark, item_key, window, block_words)
     first, second = next(blocks, ([], [])), next(blocks, None)
     if second is None:
-        return _scan_block(documents, SuffixAutomaton(first[1], window), first[0])
+        return _scan_block(documents, SuffixAutomaton(first[1], window), first[0], then, schema)
     # The rows get numbers, in a file, so that repeated ids stay apart and their hits can be merged.
     numbered = written(documents.withColumn("errata_row", F.monotonically_increasing_id()), "decontaminate")
     slim = numbered.select("errata_row", "text")
@@ -249,7 +250,8 @@ def _scan(documents: DataFrame, benchmark: DataFrame, item_key: str, window: int
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("errata_items")))).alias("errata_items"),
         F.max("errata_longest").alias("errata_longest"),
     )
-    return numbered.join(merged, "errata_row").drop("errata_row")
+    joined = numbered.join(merged, "errata_row").drop("errata_row")
+    return mapped(joined, lambda batches: map(then, batches), schema) if then else joined
 
 
 def scan_documents(documents: DataFrame, benchmark: DataFrame, *, key: str = "doc_id", item_key: str = "item_id", window: int = WINDOW, block_words: int = BLOCK_WORDS) -> DataFrame:
@@ -298,22 +300,20 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame, *, item_key: str =
     the hit spans and keep all their columns, with n_chars (if there is one) counted anew. Clean
     documents, null and empty texts pass unchanged.
     """
-    scanned = _scan(documents, benchmark, item_key, window, block_words)
     names = documents.columns
 
-    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            columns = {n: batch.column(n) for n in names}
-            texts, keep, counts = [], [], columns["n_chars"].to_pylist() if "n_chars" in columns else None
-            for i, (text, n, spans) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("text", "errata_n_words", "errata_spans")), strict=True)):
-                hit = sum(spans[1::2]) - sum(spans[::2])
-                keep.append(hit <= max_coverage * n)
-                texts.append(remove_spans(text, spans) if keep[-1] else text)
-                if hit and counts is not None:
-                    counts[i] = len(texts[-1])
-            columns["text"] = pa.array(texts, columns["text"].type)
-            if counts is not None:
-                columns["n_chars"] = pa.array(counts, columns["n_chars"].type)
-            yield pa.RecordBatch.from_arrays(list(columns.values()), names).filter(pa.array(keep))
-
-    return scanned.mapInArrow(clean, documents.schema)
+    def clean(batch: pa.RecordBatch) -> pa.RecordBatch:
+        columns = {n: batch.column(n) for n in names}
+        texts, keep, counts = [], [], columns["n_chars"].to_pylist() if "n_chars" in columns else None
+        for i, (text, n, spans) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("text", "errata_n_words", "errata_spans")), strict=True)):
+            hit = sum(spans[1::2]) - sum(spans[::2])
+            keep.append(hit <= max_coverage * n)
+            texts.append(remove_spans(text, spans) if keep[-1] else text)
+            if hit and counts is not None:
+                counts[i] = len(texts[-1])
+        columns["text"] = pa.array(texts, columns["text"].type)
+        if counts is not None:
+            columns["n_chars"] = pa.array(counts, columns["n_chars"].type)
+        return pa.RecordBatch.from_arrays(list(columns.values()), names).filter(pa.array(keep, pa.bool_()))
+
+    return _scan(documents, benchmark, item_key, window, block_words, clean, documents.schema)

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from errata.llm.common import mapped
 from errata.llm.license_texts import TEMPLATES
 
 CUE = re.compile(r"licen[cs]e|permission|copyright|redistribut|rights\s+reserved|public\s+domain", re.I)
@@ -146,7 +147,7 @@ def scan(documents: DataFrame, *, templates: dict[str, str] | None = None) -> Da
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(rows, arrow)], ["doc_id", "licenses"])
 
     slim = documents.select("doc_id", "text")
-    return slim.mapInArrow(find, T.StructType([slim.schema["doc_id"], T.StructField("licenses", kind)]))
+    return mapped(slim, find, T.StructType([slim.schema["doc_id"], T.StructField("licenses", kind)]))
 
 
 def report(documents: DataFrame) -> DataFrame:

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from errata.llm.common import written
+from errata.llm.common import mapped, written
 
 CAPACITY = 2048
 END_ID = 0
@@ -151,7 +151,7 @@ def pieces(documents: DataFrame, *, capacity: int = CAPACITY, tokenizer: str | N
                 arrays, names = [*arrays, pa.array(ids, pa.list_(pa.int32()))], [*names, "ids"]
             yield pa.RecordBatch.from_arrays(arrays, names)
 
-    return documents.select("doc_id", "text").mapInArrow(cut, schema)
+    return mapped(documents.select("doc_id", "text"), cut, schema)
 
 
 def fullest(counts: dict[int, int], capacity: int, ceiling: int) -> list[int]:
@@ -249,7 +249,7 @@ def place(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
                     offset[here] = np.array(places)[slot]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(sequence), pa.array(offset)], [*names, "sequence_id", "offset"])
 
-    return ranked.mapInArrow(locate, schema)
+    return mapped(ranked, locate, schema)
 
 
 def pack(documents: DataFrame, *, capacity: int = CAPACITY, tokenizer: str | None = None, with_ids: bool = False) -> DataFrame:

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from errata.llm.common import written
+from errata.llm.common import mapped, written
 from errata.llm.components import components
 
 BITS = 64
@@ -81,7 +81,7 @@ def fingerprints(documents: DataFrame, *, shingle: int = SHINGLE) -> DataFrame:
             found = np.array([fingerprint(hashes(t, shingle)) for t in batch.column("text").to_pylist()], np.uint64)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found.view(np.int64))], [*batch.schema.names, "errata_fp"])
 
-    return documents.mapInArrow(add, T.StructType([*documents.schema.fields, T.StructField("errata_fp", T.LongType())]))
+    return mapped(documents, add, T.StructType([*documents.schema.fields, T.StructField("errata_fp", T.LongType())]))
 
 
 def ring(segments: int) -> list[tuple[int, int]]:
@@ -198,9 +198,9 @@ def links(distinct: DataFrame, *, max_bits: int = MAX_BITS, segments: int = SEGM
                     yield pa.RecordBatch.from_arrays([pa.array(x) for x in (key.view(np.int64), owner.view(np.int64), ~stored)], ["key", "fp", "asks"])
 
     distinct = distinct.select("print", "errata_fp")
-    sizes = distinct.mapInArrow(lambda b: meet(b, True), "key long").groupBy("key").agg(F.count("*").alias("n"))
+    sizes = mapped(distinct, lambda b: meet(b, True), "key long").groupBy("key").agg(F.count("*").alias("n"))
     large = written(sizes.filter(F.col("n") > block), "large_keys")
-    rows = distinct.mapInArrow(meet, "key long, fp long, asks boolean").withColumn("turn", F.lit(0))
+    rows = mapped(distinct, meet, "key long, fp long, asks boolean").withColumn("turn", F.lit(0))
     if not large.isEmpty():
         # Every pair of blocks of a large key is a group of its own.
         blocks = F.ceil(F.col("n") / block).cast("int")
@@ -227,7 +227,7 @@ def links(distinct: DataFrame, *, max_bits: int = MAX_BITS, segments: int = SEGM
                     for number, a, b in _run_links(key[part].view(np.uint64), fp[part].view(np.uint64), ~asks[part], places, max_bits):
                         yield pa.RecordBatch.from_arrays([pa.array(number.astype(np.int32)), pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], ["print", "a", "b"])
 
-    return dealt.select("key", "turn", "fp", "asks").mapInArrow(connect, "print int, a long, b long").filter("a != b")
+    return mapped(dealt.select("key", "turn", "fp", "asks"), connect, "print int, a long, b long").filter("a != b")
 
 
 def _and_end(batches):
@@ -304,7 +304,7 @@ def _printed(documents: DataFrame, prints: int) -> DataFrame:
     slim = documents.select("doc_id", "text", F.xxhash64("text").alias("row_text"))
     key = documents.schema["doc_id"].dataType
     fields = [("doc_id", key), ("row_text", T.LongType()), ("content", T.LongType()), ("fps", T.ArrayType(T.LongType()))]
-    return slim.mapInArrow(add, T.StructType([T.StructField(n, k) for n, k in fields]))
+    return mapped(slim, add, T.StructType([T.StructField(n, k) for n, k in fields]))
 
 
 def _shingle_sets(texts: DataFrame, size: int) -> DataFrame:
@@ -315,7 +315,7 @@ def _shingle_sets(texts: DataFrame, size: int) -> DataFrame:
             found = [np.unique(hashes(t, size) >> np.uint64(32)).astype("<u4").tobytes() for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("content"), pa.array(found, pa.binary())], ["content", "shingles"])
 
-    return texts.select("content", "text").mapInArrow(add, "content long, shingles binary")
+    return mapped(texts.select("content", "text"), add, "content long, shingles binary")
 
 
 def _similar(pairs: DataFrame, least: float) -> DataFrame:
@@ -330,7 +330,7 @@ def _similar(pairs: DataFrame, least: float) -> DataFrame:
                 good.append(both >= least * (len(a) + len(b) - both) and both > 0)
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
-    return pairs.mapInArrow(keep, "a long, b long")
+    return mapped(pairs, keep, "a long, b long")
 
 
 def near_copies(documents: DataFrame, *, prints: int = PRINTS, words: int = WORDS, similarity: float = SIMILARITY, max_bits: int = MAX_BITS, segments: int = SEGMENTS, block: int = BLOCK) -> DataFrame:

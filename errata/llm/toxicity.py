@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from errata.llm.common import crc_mod, written
+from errata.llm.common import crc_mod, mapped, written
 
 SAMPLE = 20_000
 FEATURES = 3000
@@ -88,7 +88,7 @@ def _choose(rows: DataFrame, most: int) -> list[bytes]:
     totals = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if not totals.get(0) or not totals.get(1):
         return []
-    counted = rows.mapInArrow(count, "feature binary, clean long, toxic long").groupBy("feature").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
+    counted = mapped(rows, count, "feature binary, clean long, toxic long").groupBy("feature").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     a, b = F.col("toxic") + 0.5, F.col("clean") + 0.5
     rest_a, rest_b = totals[1] - F.col("toxic") + 0.5, totals[0] - F.col("clean") + 0.5
     odds = F.log(a) - F.log(rest_a) - F.log(b) + F.log(rest_b)
@@ -111,7 +111,7 @@ def fit(documents: DataFrame, labels: DataFrame, *, sample: int = SAMPLE, featur
             found = [[sorted(number[f] for f in x) for words in sentences_of(t) if (x := blank.found(words))] for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("toxic").cast(pa.int32()), pa.array(found, pa.list_(pa.list_(pa.int32())))], ["toxic", "bag"])
 
-    sampled = rows.mapInArrow(bags, "toxic int, bag array<array<int>>").groupBy("toxic", "bag").agg(F.count("*").alias("n")).collect()
+    sampled = mapped(rows, bags, "toxic int, bag array<array<int>>").groupBy("toxic", "bag").agg(F.count("*").alias("n")).collect()
     sampled.sort(key=lambda r: (r["toxic"], r["bag"]))
     return _descend(names, [(r["toxic"], r["bag"], r["n"]) for r in sampled if r["bag"]], steps, rate, ridge)
 
@@ -147,7 +147,7 @@ def scored(documents: DataFrame, model: Model) -> DataFrame:
             found = [shared.value.score(t) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.float64())], [*batch.schema.names, "errata_score"])
 
-    return documents.mapInArrow(score, T.StructType([*documents.schema.fields, T.StructField("errata_score", T.DoubleType())]))
+    return mapped(documents, score, T.StructType([*documents.schema.fields, T.StructField("errata_score", T.DoubleType())]))
 
 
 def report(documents: DataFrame, labels: DataFrame, *, threshold: float = THRESHOLD, **options) -> DataFrame:
@@ -169,7 +169,7 @@ def offending(documents: DataFrame, model: Model, *, least: float = 0.5) -> Data
             ids = batch.column("doc_id").take(pa.array([r[0] for r in rows], pa.int32()))
             yield pa.RecordBatch.from_arrays([ids, pa.array([r[1] for r in rows], pa.int32()), pa.array([r[2] for r in rows], pa.float64())], ["doc_id", "sentence", "probability"])
 
-    return documents.select("doc_id", "text").mapInArrow(locate, f"doc_id {key}, sentence int, probability double")
+    return mapped(documents.select("doc_id", "text"), locate, f"doc_id {key}, sentence int, probability double")
 
 
 def reject(documents: DataFrame, labels: DataFrame, *, threshold: float = THRESHOLD, **options) -> DataFrame:

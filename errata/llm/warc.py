@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from errata.llm.common import scratch_path, table, written
+from errata.llm.common import mapped, scratch_path, table, written
 
 LEAST_BYTES = 1000
 RECORDS_PER_FILE = 500
@@ -130,7 +130,7 @@ def read_records(spark: SparkSession, path: str, *, with_payload: bool = False)
                 yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names)
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path)
-    return files.select("content").mapInArrow(read, HEADERS + ", payload string" * with_payload)
+    return mapped(files.select("content"), read, HEADERS + ", payload string" * with_payload)
 
 
 def resolve(headers: DataFrame, *, least_bytes: int = LEAST_BYTES) -> DataFrame:
