@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from errata.llm.common import written
+from errata.llm.common import mapped, written
 
 #: Words of the shortest passage that counts.
 LEAST = 50
@@ -145,7 +145,7 @@ def kept_suffixes(documents: DataFrame, least: int, shingle: int) -> DataFrame:
             )
             doc += n
 
-    return documents.select("doc_id", "text").mapInArrow(keep, T.StructType([T.StructField(n, k) for n, k in fields]))
+    return mapped(documents.select("doc_id", "text"), keep, T.StructType([T.StructField(n, k) for n, k in fields]))
 
 
 def _runs_of(rows: DataFrame) -> DataFrame:
@@ -161,7 +161,7 @@ def _runs_of(rows: DataFrame) -> DataFrame:
             which = pa.array(at)
             yield pa.RecordBatch.from_arrays([*(batch.column(c).take(which) for c in ("minimiser", "alike", "low", "high")), pa.array(run), pa.array(number.astype(np.int32))], ["minimiser", "alike", "low", "high", "run", "number"])
 
-    return rows.select("minimiser", "alike", "low", "high", "runs").mapInArrow(each, "minimiser long, alike long, low long, high long, run long, number int")
+    return mapped(rows.select("minimiser", "alike", "low", "high", "runs"), each, "minimiser long, alike long, low long, high long, run long, number int")
 
 
 def matches(rows: DataFrame, least: int) -> DataFrame:
@@ -177,8 +177,9 @@ def matches(rows: DataFrame, least: int) -> DataFrame:
     some = suffixes.select("minimiser", "alike", "doc", "runs").join(compared, ["minimiser", "alike"]).filter("doc = low").drop("doc").dropDuplicates(["minimiser", "alike"])
     runs = written(_runs_of(some), "runs")
     shared = runs.groupBy("minimiser", "run").agg(F.min("low").alias("first_doc"), F.max("high").alias("last_doc")).filter("first_doc < last_doc")
-    found = runs.join(shared, ["minimiser", "run"]).groupBy("minimiser", "alike").agg(F.collect_list(F.struct("number", "first_doc")).alias("found"))  # a window's runs at most
-    whole = classes.filter("low < high").join(compared.select("minimiser", "alike"), ["minimiser", "alike"], "left_anti").select("minimiser", "alike", "low")
+    # Both are stored: joins with what is read from files can split the rows of one class.
+    found = written(runs.join(shared, ["minimiser", "run"]).groupBy("minimiser", "alike").agg(F.collect_list(F.struct("number", "first_doc")).alias("found")), "found")  # a window's runs at most
+    whole = written(classes.filter("low < high").join(compared.select("minimiser", "alike"), ["minimiser", "alike"], "left_anti").select("minimiser", "alike", "low"), "whole")
     places = suffixes.select("minimiser", "alike", "doc", "first", "size")
     one = places.join(whole, ["minimiser", "alike"]).select("doc", F.col("first").alias("start"), (F.col("first") + F.col("size") - 1 + least).alias("end"), (F.col("doc") > F.col("low")).alias("later"))
     other = places.join(found, ["minimiser", "alike"]).select("doc", "first", F.explode("found").alias("f"))
@@ -218,9 +219,10 @@ def _covered(spans: str) -> Column:
 
 
 def report(documents: DataFrame, **options) -> DataFrame:
-    """Per document row: doc_id, n_words, n_repeated, n_later (words covered), spans start:end."""
+    """Per document row that shares a passage: doc_id, n_words, n_repeated (words covered), spans start:end."""
     shown = F.array_join(F.transform("spans", lambda s: F.concat_ws(":", s["start"], s["end"])), ",")
-    return passages(documents, **options).select("doc_id", "n_words", _covered("spans").alias("n_repeated"), _covered("later").alias("n_later"), shown.alias("spans"))
+    found = passages(documents, **options).filter("size(spans) > 0")
+    return found.select("doc_id", "n_words", _covered("spans").alias("n_repeated"), shown.alias("spans"))
 
 
 def without(text: str | None, spans: list[tuple[int, int]]) -> str | None:
