@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from errata.llm import ann, decontaminate, licenses, pack, pitman_yor, secrets, simhash, suffixes, toxicity, warc
 from errata.llm.common import table
+from errata.llm.sql import ORACLE_SQL
 
 
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,7 +42,7 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("longest_match")
 
 
 def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,6 +61,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_decontamination": op9_decontamination,
     "op10_neighbours": op10_neighbours,
 }
-ORACLE_SQL: dict[str, str] = {
-    "op1_warc": warc.ORACLE_SQL,
-}
+
+__all__ = ["ORACLE_SQL", "QUERIES"]
