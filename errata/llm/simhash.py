@@ -38,7 +38,7 @@ SEGMENTS = 5
 #: Fingerprints of one key that a task takes at once; more are dealt in blocks of so many.
 BLOCK = 8192
 #: Up to so many pairs of one key are compared at once; beyond, neighbours are searched one by one.
-PAIRS_AT_ONCE = 4096
+PAIRS_AT_ONCE = 256
 #: The bit of a key from which on it says where the chain starts; the segments lie below.
 START = 44
 #: Shingle hashes whose bits are counted at once.
