@@ -17,17 +17,18 @@ in blocks, of which each pair goes to another task.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from errata.llm.common import mapped, written
+from errata.llm.common import forget, mapped, written
 from errata.llm.components import components
 
 BITS = 64
@@ -269,44 +270,154 @@ def as_hex(column: str = "errata_fp"):
 
 # ---- near copies by shingle similarity -------------------------------------------------------------
 
-#: Independent fingerprints of a text's distinct words. Of texts that share 0.8 of their five-word
-#: shingles, a few hundredths of the words differ, and so about 4 bits of each fingerprint.
-PRINTS = 6
 WORDS = 5
 SIMILARITY = 0.8
+#: The least bits of a text's parity map, and those that rows of shared shingles carry.
+PARITY = 512
+#: Of so many texts one is read for the frequent shingles, once there are SAMPLED times as many.
+SAMPLE, SAMPLED = 4, 10_000
+#: Up to so many frequent shingles are ordered by frequency, of those seen so often in the sample.
+FREQUENT, SEEN = 1_000_000, 2
 
 
-def word_prints(words: list[bytes], prints: int) -> np.ndarray:
-    """Fingerprints of the distinct words, by hashes that are independent of each other."""
-    digest = xxhash.xxh64_intdigest
-    base = np.array([digest(w, SEED) for w in set(words)], np.uint64)
-    out = []
-    for k in range(prints):
-        mixed = (base ^ np.uint64((2 * k + 1) * 0x9E3779B97F4A7C15 % 2**64)) * np.uint64(0xBF58476D1CE4E5B9)
-        mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0x94D049BB133111EB)
-        out.append(fingerprint(mixed ^ (mixed >> np.uint64(32))))
-    return np.array(out, np.uint64)
-
-
-def _printed(documents: DataFrame, prints: int) -> DataFrame:
-    """doc_id, row_text (a hash of the text), content (a hash of its words), fps."""
+def _contents(documents: DataFrame) -> DataFrame:
+    """doc_id, row_text (a hash of the text), content (a hash of its words)."""
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            content, found = [], []
-            for text in batch.column("text").to_pylist():
-                words = text.encode().lower().split() if text else []
-                content.append(xxhash.xxh3_64_intdigest(b" ".join(words)))
-                found.append(word_prints(words, prints).view(np.int64))
-            columns = [batch.column("doc_id"), batch.column("row_text"), pa.array(np.array(content, np.uint64).view(np.int64)), pa.array(found, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "row_text", "content", "fps"])
+            content = [xxhash.xxh3_64_intdigest(b" ".join(text.encode().lower().split() if text else [])) for text in batch.column("text").to_pylist()]
+            columns = [batch.column("doc_id"), batch.column("row_text"), pa.array(np.array(content, np.uint64).view(np.int64))]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "row_text", "content"])
 
     slim = documents.select("doc_id", "text", F.xxhash64("text").alias("row_text"))
     key = documents.schema["doc_id"].dataType
-    fields = [("doc_id", key), ("row_text", T.LongType()), ("content", T.LongType()), ("fps", T.ArrayType(T.LongType()))]
+    fields = [("doc_id", key), ("row_text", T.LongType()), ("content", T.LongType())]
     return mapped(slim, add, T.StructType([T.StructField(n, k) for n, k in fields]))
 
 
+def _frequent(texts: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Frequent shingles, sorted, and their rank by frequency. They only order the shingles: which
+    of them are known changes the work and not the result."""
+    n = texts.count()
+    sample = texts.filter(F.pmod("content", F.lit(max(1, min(SAMPLE, n // SAMPLED)))) == 0)
+
+    def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for text in batch.column("text").to_pylist():
+                yield pa.RecordBatch.from_arrays([pa.array(np.unique(hashes(text, size)).view(np.int64))], ["key"])
+
+    counted = mapped(sample.select("text"), spell, "key long").groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") >= SEEN)
+    rows = counted.orderBy(F.desc("n"), "key").limit(FREQUENT).select("key").toArrow()
+    keys = rows["key"].to_numpy().astype(np.int64).view(np.uint64)
+    order = np.argsort(keys)
+    return keys[order], len(keys) - order
+
+
+def parity(values: np.ndarray) -> bytes:
+    """How often each place is hit by distinct hashes, modulo 2: maps of two sets differ in at most as
+    many bits as the sets in members. There are at least as many bits as hashes."""
+    size = max(PARITY, 1 << max(0, len(values) - 1).bit_length())
+    hit = np.bincount((values & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1
+    return np.packbits(hit.astype(np.uint8), bitorder="little").tobytes()
+
+
+def folded(bits: bytes, size: int) -> np.ndarray:
+    """The map of `size` bytes of the same hashes."""
+    return np.bitwise_xor.reduce(np.frombuffer(bits, "<u8").reshape(-1, size // 8), axis=0)
+
+
+def _shapes(texts: DataFrame, size: int) -> DataFrame:
+    """content, its number of distinct shingles, their parity map, and the map folded to PARITY bits."""
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [np.unique(hashes(t, size)) for t in batch.column("text").to_pylist()]
+            maps = [parity(v) for v in sets]
+            least = [folded(m, PARITY // 8).tobytes() for m in maps]
+            yield pa.RecordBatch.from_arrays([batch.column("content"), pa.array([len(v) for v in sets], pa.int32()), pa.array(maps, pa.binary()), pa.array(least, pa.binary())], ["content", "n", "bits", "least"])
+
+    return mapped(texts.select("content", "text"), add, "content long, n int, bits binary, least binary")
+
+
+def _prefixes(texts: DataFrame, size: int, least: float, frequent: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+    """(key, content, n, at): of each text's n shingles, in an order that all texts share and that puts
+    frequent ones last, so many that two similar texts have one of them in common; `at` is its place in that order."""
+    known, rank = frequent
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for content, text in zip(batch.column("content").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                values = np.unique(hashes(text, size))
+                if not len(values):
+                    continue
+                take = len(values) - math.ceil(least * len(values) - 1e-9) + 1
+                place = np.searchsorted(known, values)
+                place[place == len(known)] = 0
+                late = np.where(known[place] == values, rank[place], 0) if len(known) else np.zeros(len(values), np.int64)
+                keys = values[np.lexsort((values, late))[:take]]
+                rows = len(keys)
+                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(np.full(rows, content, np.int64)), pa.array(np.full(rows, len(values), np.int32)), pa.array(np.arange(rows, dtype=np.int32))], ["key", "content", "n", "at"])
+
+    return mapped(texts.select("content", "text"), add, "key long, content long, n int, at int")
+
+
+def _most(a, b, least: float):
+    """The most members in which sets of a and b members can differ that are so similar."""
+    return (a + b) * (1 - least) / (1 + least) + 1e-9
+
+
+def _possible(pairs: DataFrame, shapes: DataFrame, least: float) -> DataFrame:
+    """The pairs (a, b) that their parity maps do not rule out."""
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            good = []
+            for n, m, x, y in zip(*(batch.column(c).to_pylist() for c in ("n", "m", "x", "y")), strict=True):
+                size = min(len(x), len(y))
+                good.append(int(np.bitwise_count(folded(x, size) ^ folded(y, size)).sum()) <= _most(n, m, least))
+            yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
+
+    left = pairs.join(shapes.select(F.col("content").alias("a"), "n", F.col("bits").alias("x")), "a")
+    both = left.join(shapes.select(F.col("content").alias("b"), F.col("n").alias("m"), F.col("bits").alias("y")), "b")
+    return mapped(both.select("a", "b", "n", "m", "x", "y"), keep, "a long, b long")
+
+
+def _across(rows: DataFrame, least: float) -> DataFrame:
+    """Pairs (a, b) of rows (key, content, n, at, root, least) of one key and different roots that
+    their sizes, the key's places and folded maps do not rule out: of the keys that a similar pair
+    shares, the first leaves enough behind it in both."""
+
+    def pairs(key, content, n, at, root, bits) -> Iterator[pa.RecordBatch]:
+        cuts = np.append(np.flatnonzero(np.append(True, key[1:] != key[:-1])), len(key))
+        for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+            for i in range(lo, hi - 1):
+                end = lo + int(np.searchsorted(n[lo:hi], n[i] / least + 1e-6, "right"))
+                j = i + 1 + np.flatnonzero(root[i + 1 : end] != root[i])
+                j = j[np.minimum(n[i] - at[i], n[j] - at[j]) >= (n[i] + n[j]) * least / (1 + least) - 1e-6]
+                if len(j):
+                    j = j[np.bitwise_count(bits[j] ^ bits[i]).sum(axis=1) <= _most(n[i], n[j], least)]
+                    if len(j):
+                        a, b = np.minimum(content[i], content[j]), np.maximum(content[i], content[j])
+                        yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = None
+        for batch in _and_end(batches):
+            if batch is not None:
+                now = [batch.column(c).to_numpy() for c in ("key", "content", "n", "at", "root")]
+                now.append(np.frombuffer(b"".join(batch.column("least").to_pylist()), "<u8").reshape(-1, PARITY // 64))
+                rest = now if rest is None else [np.concatenate(x) for x in zip(rest, now, strict=True)]
+                cut = int(np.argmax(rest[0] == rest[0][-1]))  # the last run may go on in the next batch
+            else:
+                cut = 0 if rest is None else len(rest[0])
+            if cut:
+                yield from pairs(*(x[:cut] for x in rest))
+                rest = [x[cut:] for x in rest]
+
+    dealt = rows.select("key", "content", "n", "at", "root", "least").repartition("key").sortWithinPartitions("key", "n")
+    return mapped(dealt, meet, "a long, b long")
+
+
 def _shingle_sets(texts: DataFrame, size: int) -> DataFrame:
     """content and its distinct word shingles, as sorted 32-bit hashes; a shorter text is one shingle."""
 
@@ -333,32 +444,47 @@ def _similar(pairs: DataFrame, least: float) -> DataFrame:
     return mapped(pairs, keep, "a long, b long")
 
 
-def near_copies(documents: DataFrame, *, prints: int = PRINTS, words: int = WORDS, similarity: float = SIMILARITY, max_bits: int = MAX_BITS, segments: int = SEGMENTS, block: int = BLOCK) -> DataFrame:
+def _confirmed(pairs: DataFrame, texts: DataFrame, shapes: DataFrame, size: int, least: float) -> DataFrame:
+    """The pairs (a, b) of contents that are in fact so similar."""
+    pairs = written(_possible(pairs.distinct(), shapes, least), "pairs")
+    involved = pairs.select(F.explode(F.array("a", "b")).alias("content")).distinct()
+    sets = written(_shingle_sets(texts.join(involved, "content"), size), "shingles")
+    left = pairs.join(sets.select(F.col("content").alias("a"), F.col("shingles").alias("x")), "a")
+    full = left.join(sets.select(F.col("content").alias("b"), F.col("shingles").alias("y")), "b").select("a", "b", "x", "y")
+    edges = written(_similar(full, least), "similar")
+    forget(sets, pairs)
+    return edges
+
+
+def near_copies(documents: DataFrame, *, words: int = WORDS, similarity: float = SIMILARITY) -> DataFrame:
     """doc_id, row_text and component_id of every row: texts of equal words are one group, and groups
-    are linked if near in any fingerprint and if their word shingles are in fact as similar.
+    are linked if their word shingles are as similar. No such pair is lost.
 
-    Candidates are, for each fingerprint, the links of its pigeonring join, and each text with one
-    that shares its fingerprint; several fingerprints give a text several of them.
+    Similar texts have a shingle of their prefixes in common. Of the texts that share one, each is
+    tested with the first; then, of those that share one and are not linked yet, every pair.
     """
-    marked = written(_printed(documents, prints), "prints")
-    texts = written(marked.groupBy("content").agg(F.min("doc_id").alias("least"), F.min(F.struct("doc_id", "row_text")).alias("row"), F.min("fps").alias("fps")), "contents")
-    each = written(texts.select("content", F.posexplode("fps").alias("print", "errata_fp")), "each")
-    holders = written(each.groupBy("print", "errata_fp").agg(F.min("content").alias("holder")), "holders")
-    near = links(holders, max_bits=max_bits, segments=segments, block=block)
-    a = holders.select("print", F.col("errata_fp").alias("a"), F.col("holder").alias("ha"))
-    b = holders.select("print", F.col("errata_fp").alias("b"), F.col("holder").alias("hb"))
-    between = near.distinct().join(a, ["print", "a"]).join(b, ["print", "b"]).select(F.col("ha").alias("a"), F.col("hb").alias("b"))
-    within = each.join(holders, ["print", "errata_fp"]).select(F.col("content").alias("a"), F.col("holder").alias("b"))
-    both = between.unionByName(within).filter("a != b")
-    pairs = written(both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
-    involved = pairs.select(F.explode(F.array("a", "b")).alias("content")).distinct()
-    wanted = texts.join(involved, "content").select("content", F.col("row.doc_id").alias("errata_id"), F.col("row.row_text").alias("errata_row"))
+    marked = written(_contents(documents), "contents")
+    named = marked.groupBy("content").agg(F.min("doc_id").alias("least"), F.min(F.struct("doc_id", "row_text")).alias("row"))
+    wanted = named.select("content", F.col("row.doc_id").alias("errata_id"), F.col("row.row_text").alias("errata_row"))
     found = documents.select("doc_id", "text").join(wanted.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("errata_id")) & (F.xxhash64("text") == F.col("errata_row")))
-    sets = written(_shingle_sets(found, words).dropDuplicates(["content"]), "shingles")
-    left = pairs.join(sets.select(F.col("content").alias("a"), F.col("shingles").alias("x")), "a")
-    full = left.join(sets.select(F.col("content").alias("b"), F.col("shingles").alias("y")), "b").select("a", "b", "x", "y")
-    roots = components(_similar(full, similarity))
-    named = texts.join(roots, F.col("content") == F.col("node"), "left").select("content", "least", F.coalesce("root", "content").alias("root"))
+    texts = written(found.dropDuplicates(["content"]).select("content", "text"), "texts", "zstd")
+    shapes = written(_shapes(texts, words), "shapes")
+
+    key = Window.partitionBy("key")
+    first = F.min(F.struct("content", "n", "at")).over(key)
+    prefixes = _prefixes(texts, words, similarity, _frequent(texts, words))
+    shared = prefixes.withColumn("first", first).withColumn("size", F.count("*").over(key)).filter("size > 1 and content != first.content")
+    shared = written(shared.select("key", "content", "n", "at", F.col("first.content").alias("first"), F.col("first.n").alias("m"), F.col("first.at").alias("place"), "size"), "shared")
+    alike = F.least(F.col("n") - F.col("at"), F.col("m") - F.col("place")) >= (F.col("n") + F.col("m")) * similarity / (1 + similarity) - 1e-6
+    one = _confirmed(shared.filter(alike).select(F.col("first").alias("a"), F.col("content").alias("b")), texts, shapes, words, similarity)
+
+    roots = written(components(one).withColumnRenamed("node", "content"), "roots")
+    rest = shared.filter("size > 2").join(roots, "content", "left").select("key", "content", "n", "at", F.coalesce("root", "content").alias("root"))
+    rest = rest.withColumn("low", F.min("root").over(key)).withColumn("high", F.max("root").over(key)).filter("low != high")
+    two = _confirmed(_across(rest.join(shapes.select("content", "least"), "content"), similarity), texts, shapes, words, similarity)
+
+    roots = components(one.unionByName(two))
+    named = named.join(roots, F.col("content") == F.col("node"), "left").select("content", "least", F.coalesce("root", "content").alias("root"))
     least = named.groupBy("root").agg(F.min("least").alias("component_id"))
     return marked.join(named.join(least, "root").select("content", "component_id"), "content").select("doc_id", "row_text", "component_id")
 

@@ -106,3 +106,26 @@ def test_dissimilar_stay(documents):
     other = [w if i % 6 else f"n{i}" for i, w in enumerate(base)]
     assert sh.deduplicate(documents([(1, " ".join(base)), (2, " ".join(other))])).count() == 2
     assert sh.near_copies(documents([(None, "x y z"), (None, "x y z")])).filter(F.col("component_id").isNull()).count() == 2
+
+
+def expected(rows):
+    edges = [(a, b) for a, x in rows for b, y in rows if a < b and jaccard(x, y) >= 0.8]
+    return brute_components([i for i, _ in rows], edges)
+
+
+def test_near_copies_of_large_families(documents):
+    """Of many texts that are near the family's first, and of each other, no similar pair is lost."""
+    rnd = random.Random(11)
+    base = [f"w{i}" for i in range(150)]
+    rows = []
+    for i in range(0, 120, 2):
+        one = list(base)
+        rnd.shuffle(one)
+        one[rnd.randrange(150)] = f"n{i}"
+        two = list(one)
+        two[rnd.randrange(150)] = f"m{i}"
+        rows += [(i, " ".join(one)), (i + 1, " ".join(two))]
+    want = expected(rows)
+    assert len(set(want.values())) == 60
+    got = {r.doc_id: r.component_id for r in sh.near_copies(documents(rows)).collect()}
+    assert got == want
