@@ -129,3 +129,20 @@ def test_near_copies_of_large_families(documents):
     assert len(set(want.values())) == 60
     got = {r.doc_id: r.component_id for r in sh.near_copies(documents(rows)).collect()}
     assert got == want
+
+
+def test_near_copies_of_equal_word_sets(documents):
+    """Texts that have the same words in other orders hide no similar pair among them."""
+    rnd = random.Random(12)
+    base = [f"w{i}" for i in range(150)]
+    rows = []
+    for i in range(0, 60, 2):
+        one = list(base)
+        rnd.shuffle(one)
+        two = list(one)
+        two[3], two[4] = two[4], two[3]
+        rows += [(i, " ".join(one)), (i + 1, " ".join(two))]
+    want = expected(rows)
+    assert len(set(want.values())) == 30
+    got = {r.doc_id: r.component_id for r in sh.near_copies(documents(rows)).collect()}
+    assert got == want
