@@ -146,3 +146,19 @@ def test_near_copies_of_equal_word_sets(documents):
     assert len(set(want.values())) == 30
     got = {r.doc_id: r.component_id for r in sh.near_copies(documents(rows)).collect()}
     assert got == want
+
+
+def test_near_copies_of_blocks(documents):
+    """Copies that are cut short, added to or have a block inserted are found as scattered edits are."""
+    rnd = random.Random(13)
+    rows = []
+    for i in range(0, 80, 2):
+        base = [f"w{rnd.randrange(10**6)}" for _ in range(rnd.choice([100, 300]))]
+        more = [f"b{rnd.random()}" for _ in range(len(base) // 5 - 2)]
+        at = len(base) // 2
+        own = {0: base + more, 1: base[: len(base) - len(more) + 2], 2: base[:at] + more[:-4] + base[at:], 3: more + base}[i // 2 % 4]
+        rows += [(i, " ".join(base)), (i + 1, " ".join(own))]
+    want = expected(rows)
+    assert len(set(want.values())) == 40
+    got = {r.doc_id: r.component_id for r in sh.near_copies(documents(rows)).collect()}
+    assert got == want
