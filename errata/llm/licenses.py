@@ -55,13 +55,10 @@ class Scanner:
             self.own[name] = len(self.plain.compress(data))
 
     def blocks(self, text: str, reach: int) -> Iterator[tuple[int, int]]:
-        """Ranges around the cues, cut at empty lines, joined where they overlap."""
+        """Ranges around the cues, joined where they overlap. Empty lines don't end them: licences have paragraphs."""
         last = None
         for cue in CUE.finditer(text):
             start, end = max(0, cue.start() - reach), min(len(text), cue.end() + reach)
-            start = max(start, text.rfind("\n\n", start, cue.start()) + 1)
-            stop = text.find("\n\n", cue.end(), end)
-            end = stop if stop >= 0 else end
             if last and start <= last[1] and end - last[0] <= 4 * reach:
                 last = (last[0], max(end, last[1]))
             else:

@@ -34,3 +34,11 @@ def test_report(documents):
     got = {(r.doc_id, r.n_licenses, r.names) for r in licenses.report(documents([(1, "All rights reserved."), (2, None), (3, ""), (None, "x")])).collect()}
     assert got == {(1, 1, "reserved-notice"), (2, 0, ""), (3, 0, ""), (None, 0, "")}
     assert licenses.report(documents([])).count() == 0
+
+
+def test_licences_of_several_paragraphs():
+    mit = TEMPLATES["MIT"].replace("conditions: ", "conditions:\n\n").replace(", to deal", ",\nto deal")
+    bsd = TEMPLATES["BSD-2-Clause"].replace("met: 1.", "met:\n\n1.").replace("disclaimer. 2.", "disclaimer.\n\n2.")
+    for name, text in (("MIT", mit), ("BSD-2-Clause", bsd)):
+        found = licenses.Scanner(TEMPLATES).scan("A title\n\nCopyright (c) 2020 A. Holder\n\n" + text + "\n\nOther words follow here.")
+        assert [f[0] for f in found] == [name]
