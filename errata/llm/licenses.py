@@ -2,7 +2,7 @@
 
 A candidate block is the text around a word that licence texts use. It is compressed alone and with
 each template as raw zstandard dictionary; what a template saves, relative to the template's own
-compressed size, ranks the templates. The best are confirmed by their exact wording: the differences
+compressed size, ranks the templates. They are confirmed by their exact wording: the differences
 between the template's words and the block's, which are reported, may not exceed a share.
 
 Scale: a map over documents. A block is bounded by the longest template, so a very long document is
@@ -27,8 +27,6 @@ from errata.llm.license_texts import TEMPLATES
 
 CUE = re.compile(r"licen[cs]e|permission|copyright|redistribut|rights\s+reserved|public\s+domain", re.I)
 WORD = re.compile(r"\w+(?:[.\-/]\w+)*")
-#: Templates, in order of rank, whose wording is compared.
-CONFIRMED = 4
 #: The share of a template's words that may be missing, changed or interrupted.
 DIFFERENCES = 0.1
 #: The least saving, relative to the template's own size, of a template that is looked at.
@@ -76,21 +74,37 @@ class Scanner:
         return sorted(((s, n) for s, n in zip(savings, names, strict=True) if s >= SAVING), key=lambda x: (-x[0], x[1]))
 
     def wording(self, name: str, words: list[tuple[str, int, int]]) -> tuple[int, int, int] | None:
-        """(first word, last word, differences) of the best place of the template in the block."""
+        """(first word, last word, differences) of a place of the template in the block, if it has one.
+
+        A place is sought in line with the longest common run. A run that leads to none, such as a
+        quotation's, is left out, and the next one is tried, down to the longest that a place can lack.
+        """
         wanted = self.words[name]
+        most = int(DIFFERENCES * len(wanted))
         own = [w for w, _, _ in words]
-        matcher = SequenceMatcher(None, own, wanted, autojunk=False)
-        longest = matcher.find_longest_match()
-        if not longest.size:
-            return None
-        # Only the neighbourhood in which the template can lie, in line with its longest common run.
-        slack = 2 + int(DIFFERENCES * len(wanted))
-        first = max(0, longest.a - longest.b - slack)
-        part = own[first : longest.a + len(wanted) - longest.b + slack]
+        while True:
+            longest = SequenceMatcher(None, own, wanted, autojunk=False).find_longest_match()
+            # `most` differences cut what is left of the template into at most one run more.
+            if longest.size * (most + 1) < len(wanted) - most or not longest.size:
+                return None
+            run = own[longest.a : longest.a + longest.size]
+            for b in range(len(wanted) - longest.size + 1):
+                if wanted[b : b + longest.size] == run and (hit := self._place(wanted, words, longest.a, b, most)):
+                    return hit
+            own[longest.a : longest.a + longest.size] = ["\0"] * longest.size
+
+    def _place(self, wanted: list[str], words: list[tuple[str, int, int]], a: int, b: int, most: int) -> tuple[int, int, int] | None:
+        # Only the neighbourhood in which the template can lie, if its word b is the block's word a.
+        slack = 2 + most
+        first = max(0, a - b - slack)
+        part = [w for w, _, _ in words[first : a + len(wanted) - b + slack]]
         runs = [m for m in SequenceMatcher(None, part, wanted, autojunk=False).get_matching_blocks() if m.size]
+        if not runs:
+            return None
         inside = sum(m.size for m in runs)
         span = runs[-1].a + runs[-1].size - runs[0].a
-        return first + runs[0].a, first + runs[-1].a + runs[-1].size - 1, (len(wanted) - inside) + (span - inside)
+        differences = (len(wanted) - inside) + (span - inside)
+        return (first + runs[0].a, first + runs[-1].a + runs[-1].size - 1, differences) if differences <= most else None
 
     def scan(self, text: str | None) -> list[tuple[str, int, int, int, float]]:
         """(template, start, end, differing words, saving) of the confirmed templates, in order.
@@ -102,19 +116,12 @@ class Scanner:
         for names, start, end in ((n, *b) for r, n in self.tiers.items() for b in self.blocks(text or "", r)):
             block = text[start:end]
             words = _words(block)
-            confirmed = 0
             for saving, name in self.ranked(block, names):
-                if confirmed >= CONFIRMED:
-                    break
-                here, rest = 0, words
+                rest = words
                 while hit := self.wording(name, rest):
                     first, last, differences = hit
-                    if differences > DIFFERENCES * len(self.words[name]):
-                        break
                     found.append((name, start + rest[first][1], start + rest[last][2], differences, saving))
-                    here += 1
                     rest = rest[:first] + [("\0", 0, 0)] + rest[last + 1 :]
-                confirmed += here > 0
         found.sort(key=lambda x: (x[3], -(x[2] - x[1]), x[1], x[0]))
         out: list[tuple[str, int, int, int, float]] = []
         for hit in found:

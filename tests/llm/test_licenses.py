@@ -42,3 +42,14 @@ def test_licences_of_several_paragraphs():
     for name, text in (("MIT", mit), ("BSD-2-Clause", bsd)):
         found = licenses.Scanner(TEMPLATES).scan("A title\n\nCopyright (c) 2020 A. Holder\n\n" + text + "\n\nOther words follow here.")
         assert [f[0] for f in found] == [name]
+
+
+def test_all_notices_of_a_block():
+    six = ["MIT-notice", "Apache-2.0-notice", "CC-BY-4.0-notice", "CC-BY-SA-4.0-notice", "CC-BY-NC-4.0-notice", "reserved-notice"]
+    assert names(" ".join(TEMPLATES[n] for n in six)) == six
+
+
+def test_a_partial_quotation_hides_no_copy():
+    words = TEMPLATES["MIT"].split()
+    edited = [f"changed{i}" if i in (20, 40, 60) else w for i, w in enumerate(words)]
+    assert names("They quote " + " ".join(words[8:50]) + " and more of it. " + "Then other words come. " * 6 + " ".join(edited)) == ["MIT"]
