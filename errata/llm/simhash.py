@@ -13,6 +13,9 @@ chain is tested before the full Hamming distance. This loses no pair.
 Copies share a fingerprint and are one node. Fingerprints that meet under one key are linked by a
 spanning forest of that key's graph and not by all pairs, and a key with very many of them is dealt
 in blocks, of which each pair goes to another task.
+
+near_copies() groups texts whose shingles are similar: SimHash links come first, and a join of
+shingle prefixes, exact, finds those that fingerprints miss.
 """
 
 from __future__ import annotations
@@ -24,7 +27,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,6 +41,8 @@ SEED = 42
 SEGMENTS = 5
 #: Fingerprints of one key that a task takes at once; more are dealt in blocks of so many.
 BLOCK = 8192
+#: Sizes of keys are estimated from at least one of so many fingerprints.
+SAMPLED_OF = 16
 #: Up to so many pairs of one key are compared at once; beyond, neighbours are searched one by one.
 PAIRS_AT_ONCE = 256
 #: The bit of a key from which on it says where the chain starts; the segments lie below.
@@ -187,19 +192,19 @@ def links(distinct: DataFrame, *, max_bits: int = MAX_BITS, segments: int = SEGM
         raise ValueError("the first segment of a chain is to be equal: more segments than bits are needed")
     spark, places = distinct.sparkSession, ring(segments)
 
-    def meet(batches: Iterator[pa.RecordBatch], stored_only: bool = False) -> Iterator[pa.RecordBatch]:
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             values = batch.column("errata_fp").to_numpy().view(np.uint64)
             prints = batch.column("print").to_numpy().astype(np.uint64)
             for start in range(segments):
                 key, owner, stored = _keys(values, prints, start, places)
-                if stored_only:
-                    yield pa.RecordBatch.from_arrays([pa.array(key[stored].view(np.int64))], ["key"])
-                else:
-                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in (key.view(np.int64), owner.view(np.int64), ~stored)], ["key", "fp", "asks"])
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (key.view(np.int64), owner.view(np.int64), ~stored)], ["key", "fp", "asks"])
 
     distinct = distinct.select("print", "errata_fp")
-    sizes = mapped(distinct, lambda b: meet(b, True), "key long").groupBy("key").agg(F.count("*").alias("n"))
+    # A sample tells which keys are large, those that ask included; every fingerprint is then compared.
+    every = max(1, min(SAMPLED_OF, distinct.count() // block))
+    sample = distinct.filter(F.pmod(F.xxhash64("errata_fp"), F.lit(every)) == 0)
+    sizes = mapped(sample, meet, "key long, fp long, asks boolean").groupBy("key").agg((F.count("*") * every).alias("n"))
     large = written(sizes.filter(F.col("n") > block), "large_keys")
     rows = mapped(distinct, meet, "key long, fp long, asks boolean").withColumn("turn", F.lit(0))
     if not large.isEmpty():
@@ -207,8 +212,7 @@ def links(distinct: DataFrame, *, max_bits: int = MAX_BITS, segments: int = SEGM
         blocks = F.ceil(F.col("n") / block).cast("int")
         rows = rows.join(large, "key", "left").withColumn("blocks", F.coalesce(blocks, F.lit(1)))
         own = F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")
-        pair = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda other: F.least(own, other) * F.col("blocks") + F.greatest(own, other))
-        rows = rows.withColumn("turn", F.explode(pair)).select("key", "fp", "asks", "turn")
+        rows = rows.withColumn("turn", F.explode(_turns(own, F.col("blocks")))).select("key", "fp", "asks", "turn")
     dealt = rows.repartition("key", "turn").sortWithinPartitions("key", "turn", "asks")
 
     def connect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -327,16 +331,19 @@ def folded(bits: bytes, size: int) -> np.ndarray:
 
 
 def _shapes(texts: DataFrame, size: int) -> DataFrame:
-    """content, its number of distinct shingles, their parity map, and the map folded to PARITY bits."""
+    """content, its fingerprint, its number of distinct shingles, their parity map, and the map folded to PARITY bits."""
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [np.unique(hashes(t, size)) for t in batch.column("text").to_pylist()]
+            all_hashes = [hashes(t, size) for t in batch.column("text").to_pylist()]
+            prints = np.array([fingerprint(v) for v in all_hashes], np.uint64)
+            sets = [np.unique(v) for v in all_hashes]
             maps = [parity(v) for v in sets]
             least = [folded(m, PARITY // 8).tobytes() for m in maps]
-            yield pa.RecordBatch.from_arrays([batch.column("content"), pa.array([len(v) for v in sets], pa.int32()), pa.array(maps, pa.binary()), pa.array(least, pa.binary())], ["content", "n", "bits", "least"])
+            columns = [batch.column("content"), pa.array(prints.view(np.int64)), pa.array([len(v) for v in sets], pa.int32()), pa.array(maps, pa.binary()), pa.array(least, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["content", "errata_fp", "n", "bits", "least"])
 
-    return mapped(texts.select("content", "text"), add, "content long, n int, bits binary, least binary")
+    return mapped(texts.select("content", "text"), add, "content long, errata_fp long, n int, bits binary, least binary")
 
 
 def _prefixes(texts: DataFrame, size: int, least: float, frequent: tuple[np.ndarray, np.ndarray]) -> DataFrame:
@@ -382,17 +389,27 @@ def _possible(pairs: DataFrame, shapes: DataFrame, least: float) -> DataFrame:
     return mapped(both.select("a", "b", "n", "m", "x", "y"), keep, "a long, b long")
 
 
-def _across(rows: DataFrame, least: float) -> DataFrame:
-    """Pairs (a, b) of rows (key, content, n, at, root, least) of one key and different roots that
-    their sizes, the key's places and folded maps do not rule out: of the keys that a similar pair
-    shares, the first leaves enough behind it in both."""
+def _turns(own, blocks):
+    """The numbers of the pairs of blocks that a row of block `own` meets in."""
+    return F.transform(F.sequence(F.lit(0), blocks - 1), lambda other: F.least(own, other) * blocks + F.greatest(own, other))
+
 
-    def pairs(key, content, n, at, root, bits) -> Iterator[pa.RecordBatch]:
-        cuts = np.append(np.flatnonzero(np.append(True, key[1:] != key[:-1])), len(key))
+def _across(rows: DataFrame, least: float, block: int) -> DataFrame:
+    """Pairs (a, b) of rows (key, size, content, n, at, root, least) of one key and different roots
+    that their sizes, the key's places and folded maps do not rule out: of the keys that a similar
+    pair shares, the first leaves enough behind it in both. A key of more than `block` texts is dealt
+    in blocks, of which each pair goes to another task."""
+
+    def pairs(key, turn, own, content, n, at, root, bits) -> Iterator[pa.RecordBatch]:
+        cuts = np.append(np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (turn[1:] != turn[:-1]))), len(key))
         for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+            # a turn of two blocks compares rows of one with rows of the other only
+            both = own[lo:hi].min() != own[lo:hi].max()
             for i in range(lo, hi - 1):
                 end = lo + int(np.searchsorted(n[lo:hi], n[i] / least + 1e-6, "right"))
                 j = i + 1 + np.flatnonzero(root[i + 1 : end] != root[i])
+                if both:
+                    j = j[own[j] != own[i]]
                 j = j[np.minimum(n[i] - at[i], n[j] - at[j]) >= (n[i] + n[j]) * least / (1 + least) - 1e-6]
                 if len(j):
                     j = j[np.bitwise_count(bits[j] ^ bits[i]).sum(axis=1) <= _most(n[i], n[j], least)]
@@ -404,17 +421,20 @@ def _across(rows: DataFrame, least: float) -> DataFrame:
         rest = None
         for batch in _and_end(batches):
             if batch is not None:
-                now = [batch.column(c).to_numpy() for c in ("key", "content", "n", "at", "root")]
+                now = [batch.column(c).to_numpy() for c in ("key", "turn", "own", "content", "n", "at", "root")]
                 now.append(np.frombuffer(b"".join(batch.column("least").to_pylist()), "<u8").reshape(-1, PARITY // 64))
                 rest = now if rest is None else [np.concatenate(x) for x in zip(rest, now, strict=True)]
-                cut = int(np.argmax(rest[0] == rest[0][-1]))  # the last run may go on in the next batch
+                cut = int(np.argmax((rest[0] == rest[0][-1]) & (rest[1] == rest[1][-1])))  # the last run may go on in the next batch
             else:
                 cut = 0 if rest is None else len(rest[0])
             if cut:
                 yield from pairs(*(x[:cut] for x in rest))
                 rest = [x[cut:] for x in rest]
 
-    dealt = rows.select("key", "content", "n", "at", "root", "least").repartition("key").sortWithinPartitions("key", "n")
+    blocks = F.greatest(F.lit(1), F.ceil(F.col("size") / block)).cast("int")
+    dealt = rows.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("content"), F.col("blocks")).cast("int"))
+    dealt = dealt.withColumn("turn", F.explode(_turns(F.col("own"), F.col("blocks"))))
+    dealt = dealt.select("key", "turn", "own", "content", "n", "at", "root", "least").repartition("key", "turn").sortWithinPartitions("key", "turn", "n")
     return mapped(dealt, meet, "a long, b long")
 
 
@@ -456,12 +476,31 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, shapes: DataFrame, size: int,
     return edges
 
 
-def near_copies(documents: DataFrame, *, words: int = WORDS, similarity: float = SIMILARITY) -> DataFrame:
+def _seeds(shapes: DataFrame, max_bits: int, segments: int, block: int) -> DataFrame:
+    """Pairs (a, b) of contents that SimHash finds: each text with the first of its fingerprint, and
+    the first texts of linked fingerprints."""
+    prints = written(shapes.filter("n > 0").groupBy(F.lit(0).alias("print"), "errata_fp").agg(F.min("content").alias("first")), "prints")
+    one, other = (prints.select(F.col("errata_fp").alias(x), F.col("first").alias(f"text_{x}")) for x in ("a", "b"))
+    near = links(prints, max_bits=max_bits, segments=segments, block=block).join(one, "a").join(other, "b")
+    same = shapes.join(prints.select("errata_fp", "first"), "errata_fp").filter("content != first")
+    return near.select(F.col("text_a").alias("a"), F.col("text_b").alias("b")).unionByName(same.select(F.col("first").alias("a"), F.col("content").alias("b")))
+
+
+def _named(rows: DataFrame, roots: DataFrame, column: str, root: str) -> DataFrame:
+    """rows with the root of the content in `column`: itself, where it is linked with no other."""
+    return rows.join(roots.select(F.col("content").alias(column), F.col("root").alias(root)), column, "left").withColumn(root, F.coalesce(root, column))
+
+
+def near_copies(documents: DataFrame, *, words: int = WORDS, similarity: float = SIMILARITY, max_bits: int = MAX_BITS, segments: int = SEGMENTS, block: int = BLOCK) -> DataFrame:
     """doc_id, row_text and component_id of every row: texts of equal words are one group, and groups
     are linked if their word shingles are as similar. No such pair is lost.
 
-    Similar texts have a shingle of their prefixes in common. Of the texts that share one, each is
-    tested with the first; then, of those that share one and are not linked yet, every pair.
+    SimHash links come first and join most copies; each is confirmed by the shingles. What
+    fingerprints miss is found by the shingles themselves: similar texts have a shingle of their
+    prefixes in common. Each text is tested with one text that shares one; then with the first text
+    of each of its shingles that it is not linked with yet; then all pairs that share one and are
+    not linked yet. A pair left out is one that links already join, so the groups are the same
+    whatever the fingerprints and blocks are.
     """
     marked = written(_contents(documents), "contents")
     named = marked.groupBy("content").agg(F.min("doc_id").alias("least"), F.min(F.struct("doc_id", "row_text")).alias("row"))
@@ -470,22 +509,30 @@ def near_copies(documents: DataFrame, *, words: int = WORDS, similarity: float =
     texts = written(found.dropDuplicates(["content"]).select("content", "text"), "texts", "zstd")
     shapes = written(_shapes(texts, words), "shapes")
 
-    key = Window.partitionBy("key")
-    first = F.min(F.struct("content", "n", "at")).over(key)
-    prefixes = _prefixes(texts, words, similarity, _frequent(texts, words))
-    shared = prefixes.withColumn("first", first).withColumn("size", F.count("*").over(key)).filter("size > 1 and content != first.content")
+    prefixes = written(_prefixes(texts, words, similarity, _frequent(texts, words)), "prefixes")
+    # Both are stored: a join of what is read from files can split the rows of one key.
+    groups = written(prefixes.groupBy("key").agg(F.count("*").alias("size"), F.min(F.struct("content", "n", "at")).alias("first")).filter("size > 1"), "groups")
+    shared = prefixes.join(groups, "key").filter("content != first.content")
     shared = written(shared.select("key", "content", "n", "at", F.col("first.content").alias("first"), F.col("first.n").alias("m"), F.col("first.at").alias("place"), "size"), "shared")
-    alike = F.least(F.col("n") - F.col("at"), F.col("m") - F.col("place")) >= (F.col("n") + F.col("m")) * similarity / (1 + similarity) - 1e-6
-    one = _confirmed(shared.filter(alike).select(F.col("first").alias("a"), F.col("content").alias("b")), texts, shapes, words, similarity)
+    forget(prefixes, groups)
+    alike = shared.filter(F.least(F.col("n") - F.col("at"), F.col("m") - F.col("place")) >= (F.col("n") + F.col("m")) * similarity / (1 + similarity) - 1e-6)
+    leaders = alike.groupBy("content").agg(F.min("first").alias("first")).select(F.col("first").alias("a"), F.col("content").alias("b"))
+    one = _confirmed(_seeds(shapes, max_bits, segments, block).unionByName(leaders), texts, shapes, words, similarity)
 
     roots = written(components(one).withColumnRenamed("node", "content"), "roots")
-    rest = shared.filter("size > 2").join(roots, "content", "left").select("key", "content", "n", "at", F.coalesce("root", "content").alias("root"))
-    rest = rest.withColumn("low", F.min("root").over(key)).withColumn("high", F.max("root").over(key)).filter("low != high")
-    two = _confirmed(_across(rest.join(shapes.select("content", "least"), "content"), similarity), texts, shapes, words, similarity)
+    apart = _named(_named(alike, roots, "content", "root"), roots, "first", "other").filter("root != other")
+    two = _confirmed(apart.select(F.col("first").alias("a"), F.col("content").alias("b")), texts, shapes, words, similarity)
+
+    roots = written(components(one.unionByName(two)).withColumnRenamed("node", "content"), "roots")
+    rest = _named(shared.filter("size > 2").select("key", "content", "n", "at", "size"), roots, "content", "root")
+    mixed = rest.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low != high").select("key")
+    mixed = written(rest.join(written(mixed, "mixed"), "key"), "apart")
+    three = _confirmed(_across(mixed.join(shapes.select("content", "least"), "content"), similarity, block), texts, shapes, words, similarity)
 
-    roots = components(one.unionByName(two))
+    roots = components(one.unionByName(two).unionByName(three))
     named = named.join(roots, F.col("content") == F.col("node"), "left").select("content", "least", F.coalesce("root", "content").alias("root"))
     least = named.groupBy("root").agg(F.min("least").alias("component_id"))
+    forget(shared, mixed)
     return marked.join(named.join(least, "root").select("content", "component_id"), "content").select("doc_id", "row_text", "component_id")
 
 

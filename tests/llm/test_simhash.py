@@ -162,3 +162,26 @@ def test_near_copies_of_blocks(documents):
     assert len(set(want.values())) == 40
     got = {r.doc_id: r.component_id for r in sh.near_copies(documents(rows)).collect()}
     assert got == want
+
+
+def test_near_copies_whatever_the_blocks(documents, monkeypatch):
+    """A template with many edits, a chain of copies, and texts that share boilerplate: the groups are
+    those of exact similarity, whatever is compared at once."""
+    rnd = random.Random(14)
+    template = [f"w{i}" for i in range(120)]
+    rows = []
+    for i in range(90):
+        own = list(template)
+        for at in rnd.sample(range(120), rnd.randrange(1, 9)):
+            own[at] = f"e{rnd.randrange(40)}"
+        rows.append((i, " ".join(own)))
+    chain = [f"c{i}" for i in range(100)]
+    for i in range(90, 110):
+        rows.append((i, " ".join(chain)))
+        chain[5 * (i - 90)] = f"d{i}"
+    rows += [(i, " ".join(template[:80] + [f"o{i}-{k}" for k in range(16)])) for i in range(110, 140)]
+    want = expected(rows)
+    for block, pairs in ((8192, 256), (8, 4)):
+        monkeypatch.setattr(sh, "PAIRS_AT_ONCE", pairs)
+        got = {r.doc_id: r.component_id for r in sh.near_copies(documents(rows), block=block).collect()}
+        assert got == want
