@@ -1,19 +1,23 @@
 """Approximate nearest neighbours by multiprobe p-stable hashing.
 
-Vectors are hashed by several tables of p-stable (Gaussian) functions floor((a.x + b) / w). A query
-visits, table by table, the buckets in the order of their estimated success - the squared distance
-from its own projections to the bucket's slots, in units of w - up to a score that is calibrated;
-the tables' candidates are merged and ranked by the exact measure on the original vectors.
+Vectors are hashed by several tables of p-stable (Gaussian) functions floor((a.x + b) / w), whose
+values, clamped to SLOTS slots each, name a bucket. A row is stored once in each table, under its
+bucket. A query's probes are made function by function: perturbed buckets in the order of their
+estimated success - the squared distance from the query's own projections to the bucket's slots, in
+units of w - as far as a score that is calibrated. Probes meet the stored buckets in a join; what lies
+in them is ranked by the exact measure on the original vectors, and the tables' candidates are merged.
 
 The measure is the inner product. Vectors get one more component, that makes all of one length;
 among these the nearest by distance are those of the largest inner product with a query.
 
 Calibration: for a bounded sample of queries the exact neighbours are found among all rows, and the
-score up to which buckets are visited is that which finds `recall` of them.
+score up to which buckets are probed is that which finds `recall` of them.
 
-Scale: equal vectors are one class, of which only the k + 1 smallest ids can be in any result. Index
-rows are never moved for a search: queries are taken in blocks of bounded size (a broadcast each),
-and a task keeps its best k + 1 classes of each query, whatever the number of rows that it reads.
+Scale: equal vectors are one class, of which only the k + 1 smallest ids can be in any result. Buckets
+are packed into groups of about GROUP_ROWS rows, and a query is sent once to each group in which it
+probes a bucket. A group that a hot bucket makes larger is cut into pieces, and the queries that
+probe it into blocks; every piece meets every block, each pair in a task of its own. A task emits its
+best k + 1 classes of each query.
 """
 
 from __future__ import annotations
@@ -23,23 +27,33 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from errata.llm.common import mapped, written
+from errata.llm.common import forget, mapped, written
 
 NEIGHBOURS = 20
 TABLES = 2
-FUNCTIONS = 10
+#: Each function takes one of so many slots; those at the ends are open.
+SLOTS = 8
+#: A width of so many standard deviations; a function then halves the rows, about.
 WIDTH = 2.0
+#: There are so many functions that a bucket has about so many rows, and within these limits.
+BUCKET_ROWS = 256
+FUNCTIONS = (2, 16)
 RECALL = 0.97
 SAMPLE_QUERIES = 96
 SAMPLE_ROWS = 4000
-QUERY_BLOCK = 8192
 QUERY_EVERY = 20
-#: Queries and rows whose scores are worked out at once.
-TILE = (512, 2048)
+#: Rows and queries that a task takes at once, about.
+GROUP_ROWS = 16384
+QUERY_BLOCK = 4096
+#: Queries whose probes, or scores, are worked out at once.
+PROBED = 16
+TILE = 256
 
 
 def usable(vectors: DataFrame, key: str, column: str) -> DataFrame:
@@ -71,8 +85,8 @@ class Index:
 
     norm: float
     a: np.ndarray  # tables, functions, dimensions + 1
-    b: np.ndarray
-    width: np.ndarray
+    b: np.ndarray  # tables, functions
+    width: np.ndarray  # tables
     reach: float = np.inf
 
     def hashed(self, x: np.ndarray) -> np.ndarray:
@@ -89,97 +103,206 @@ class Index:
         return (np.einsum("nd,tfd->ntf", x, self.a) + self.b) / self.width[None, :, None]
 
     @staticmethod
-    def scores(asked: np.ndarray, buckets: np.ndarray) -> np.ndarray:
-        """Queries by buckets, of one table: squared distance to the slots; the own bucket has 0."""
-        total = np.zeros((len(asked), len(buckets)), np.float32)
-        for f in range(asked.shape[1]):
-            gap = asked[:, f, None].astype(np.float32) - buckets[None, :, f].astype(np.float32)
-            total += np.maximum(0, np.maximum(-gap, gap - 1)) ** 2
-        return total
-
-    def visited(self, asked: np.ndarray, rows: np.ndarray) -> np.ndarray:
-        """Whether a query's visits, in any table, reach the rows' buckets: queries by rows."""
-        out = np.zeros((len(asked), len(rows)), bool)
-        for t in range(rows.shape[1]):
-            buckets, of = np.unique(np.floor(rows[:, t]).astype(np.int64), axis=0, return_inverse=True)
-            out |= (self.scores(asked[:, t], buckets) <= self.reach)[:, of.ravel()]
+    def slots(hashed: np.ndarray) -> np.ndarray:
+        return np.clip(np.floor(hashed) + SLOTS // 2, 0, SLOTS - 1).astype(np.int64)
+
+    @staticmethod
+    def gaps(asked: np.ndarray, slots: np.ndarray) -> np.ndarray:
+        """Squared distances to slots; those at the ends are open."""
+        gap = asked - (slots - SLOTS // 2)
+        below = np.where(slots == 0, 0, np.maximum(0, -gap))
+        above = np.where(slots == SLOTS - 1, 0, np.maximum(0, gap - 1))
+        return (below + above) ** 2
+
+    @staticmethod
+    def buckets(slots: np.ndarray) -> np.ndarray:
+        """The number of each bucket, from the last axis."""
+        out = np.zeros(slots.shape[:-1], np.int64)
+        for f in range(slots.shape[-1]):
+            out = out * SLOTS + slots[..., f]
         return out
 
+    def probes(self, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(query, bucket) of one table, for each query in the order of estimated success. Buckets are
+        perturbed function by function; what is beyond the reach already is not perturbed further."""
+        every = np.arange(SLOTS)
+        query, cost, bucket = np.arange(len(asked)), np.zeros(len(asked)), np.zeros(len(asked), np.int64)
+        for f in range(asked.shape[1]):
+            more = cost[:, None] + self.gaps(asked[query, f][:, None], every[None, :])
+            at, slot = np.nonzero(more <= self.reach)
+            query, cost, bucket = query[at], more[at, slot], bucket[at] * SLOTS + slot
+        order = np.lexsort((bucket, cost, query))
+        return query[order], bucket[order]
+
 
 def _exact(x: np.ndarray, q: np.ndarray) -> np.ndarray:
     """Inner products along the last axis, summed in the same order wherever a vector stands."""
     return np.ascontiguousarray(x * q).sum(-1)
 
 
-def search_block(index_rows: DataFrame, index: Index, names: np.ndarray, queries: np.ndarray, most: int) -> DataFrame:
-    """Of each query the best `most` classes in each task: query (its name), score, ids."""
-    shared = index_rows.sparkSession.sparkContext.broadcast((index, names, queries))
+def _vectors(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
+    values = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    return values.flatten().to_numpy(zero_copy_only=False).reshape(len(values), -1)
+
+
+def _best(x: np.ndarray, first: np.ndarray, q: np.ndarray, seen, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query, row, score) of the best `most` rows of each query, of those that seen(queries) allows."""
+    out = []
+    for at in range(0, len(q), TILE):
+        part = slice(at, min(at + TILE, len(q)))
+        rough = seen(part, q[part])
+        n = min(most + 3, rough.shape[1])
+        top = np.argpartition(-rough, n - 1, axis=1)[:, :n]
+        score = _exact(x[top], q[part][:, None, :])
+        score[np.isneginf(np.take_along_axis(rough, top, 1))] = -np.inf
+        order = np.lexsort((first[top], -score), axis=1)[:, :most]
+        score, top = np.take_along_axis(score, order, 1), np.take_along_axis(top, order, 1)
+        query, place = np.nonzero(np.isfinite(score))
+        out.append((at + query, top[query, place], score[query, place]))
+    return tuple(np.concatenate(c) for c in zip(*out, strict=True)) if out else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
+
+
+FOUND = "query long, score double, ids array<long>"
+
+
+def _found(names: np.ndarray, query: np.ndarray, score: np.ndarray, row: np.ndarray, ids) -> list[pa.Array]:
+    return [pa.array(names[query]), pa.array(score), ids.take(pa.array(row)).cast(pa.list_(pa.int64()))]
+
+
+def exact_search(index_rows: DataFrame, names: np.ndarray, queries: np.ndarray, most: int) -> DataFrame:
+    """Of a few queries the best `most` classes in each batch of rows: query (its name), score, ids."""
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index, names, queries = shared.value
-        asked = index.asked(queries)
-        best = np.full((len(queries), most), -np.inf)
-        owner = np.full((len(queries), most), -1, np.int64)
-        firsts = np.zeros((len(queries), most), np.int64)
-        kept: list = []
         for batch in batches:
-            x = batch.column("v").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
-            base = len(kept)
-            kept += batch.column("ids").to_pylist()
-            first = np.array([k[0] for k in kept[base:]], np.int64)
-            hashed = index.hashed(x) if np.isfinite(index.reach) else None
-            for q0 in range(0, len(queries), TILE[0]):
-                part = slice(q0, q0 + TILE[0])
-                for r0 in range(0, len(x), TILE[1]):
-                    rows = slice(r0, r0 + TILE[1])
-                    rough = queries[part] @ x[rows].T
-                    if hashed is not None:
-                        rough[~index.visited(asked[part], hashed[rows])] = -np.inf
-                    n = min(most + 3, rough.shape[1])
-                    top = np.argpartition(-rough, n - 1, axis=1)[:, :n]
-                    score = _exact(x[rows][top], queries[part][:, None, :])
-                    score[np.isneginf(np.take_along_axis(rough, top, 1))] = -np.inf
-                    all_scores = np.concatenate([best[part], score], 1)
-                    all_owners = np.concatenate([owner[part], top + base + r0], 1)
-                    all_firsts = np.concatenate([firsts[part], first[rows][top]], 1)
-                    order = np.lexsort((all_firsts, -all_scores), axis=1)[:, :most]
-                    best[part], owner[part], firsts[part] = (np.take_along_axis(y, order, 1) for y in (all_scores, all_owners, all_firsts))
-            kept, owner = _forget_unused(kept, owner, best)
-        for q0 in range(0, len(queries), TILE[0]):
-            q, at = np.nonzero(np.isfinite(best[q0 : q0 + TILE[0]]))
-            ids = [kept[i] for i in owner[q0 : q0 + TILE[0]][q, at]]
-            yield pa.RecordBatch.from_arrays([pa.array(names[q0 + q]), pa.array(best[q0 : q0 + TILE[0]][q, at]), pa.array(ids, pa.list_(pa.int64()))], ["query", "score", "ids"])
-
-    return mapped(index_rows.select("v", "ids"), search, "query long, score double, ids array<long>")
-
-
-def _forget_unused(kept: list, owner: np.ndarray, best: np.ndarray) -> tuple[list, np.ndarray]:
-    """Only the classes that some query still holds, so that memory doesn't grow with the rows."""
-    used, place = np.unique(np.where(np.isfinite(best), owner, -1), return_inverse=True)
-    place = place.reshape(owner.shape)
-    if used[0] == -1:
-        used, place = used[1:], place - 1
-    return [kept[i] for i in used], place
-
-
-def build(index_rows: DataFrame, *, tables: int = TABLES, functions: int = FUNCTIONS, width: float = WIDTH, seed: int = 7) -> Index:
-    """Hash functions fitted to a bounded sample of rows; the norm is that of all rows."""
+            if batch.num_rows:
+                x = _vectors(batch.column("v"))
+                first = pc.list_element(batch.column("ids"), 0).to_numpy()
+                query, row, score = _best(x, first, queries, lambda part, q, x=x: q @ x.T, most)
+                yield pa.RecordBatch.from_arrays(_found(names, query, score, row, batch.column("ids")), ["query", "score", "ids"])
+
+    return mapped(index_rows.select("v", "ids"), search, FOUND)
+
+
+def _placed(index_rows: DataFrame, index: Index, groups: int) -> DataFrame:
+    """name, v, ids, t, bucket, g: each row in each table."""
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                slots = index.slots(index.hashed(_vectors(batch.column("v"))))
+                for t in range(slots.shape[1]):
+                    yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.full(batch.num_rows, t, np.int32)), pa.array(index.buckets(slots[:, t]))], [*names, "t", "bucket"])
+
+    names = ["name", "v", "ids"]
+    fields = [*(index_rows.schema[c] for c in names), T.StructField("t", T.IntegerType()), T.StructField("bucket", T.LongType())]
+    return mapped(index_rows.select(names), place, T.StructType(fields)).withColumn("g", _group(F.col("bucket"), groups))
+
+
+def _group(bucket, groups: int):
+    return F.pmod(F.xxhash64(bucket), F.lit(groups)).cast("int")
+
+
+def _probed(queries: DataFrame, index: Index, groups: int) -> DataFrame:
+    """name, v, t, g, buckets (in the order of the probes): each query in each group that it probes."""
+
+    def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            asked = index.asked(_vectors(batch.column("v")))
+            for t in range(asked.shape[1]):
+                for at in range(0, len(asked), PROBED):
+                    query, bucket = index.probes(asked[at : at + PROBED, t])
+                    sizes = np.bincount(query, minlength=len(asked[at : at + PROBED]))
+                    offsets = pa.array(np.append(0, np.cumsum(sizes)).astype(np.int32))
+                    part = batch.slice(at, PROBED)
+                    yield pa.RecordBatch.from_arrays([*part.columns, pa.array(np.full(part.num_rows, t, np.int32)), pa.ListArray.from_arrays(offsets, pa.array(bucket))], ["name", "v", "t", "all"])
+
+    fields = [*(queries.schema[c] for c in ("name", "v")), T.StructField("t", T.IntegerType()), T.StructField("all", T.ArrayType(T.LongType()))]
+    found = mapped(queries.select("name", "v"), probe, T.StructType(fields))
+    if groups == 1:
+        return found.select("name", "v", "t", F.lit(0).alias("g"), F.col("all").alias("buckets"))
+    own = F.transform("all", lambda b: F.struct(_group(b, groups).alias("g"), b.alias("b")))
+    each = found.withColumn("own", own).withColumn("g", F.explode(F.array_distinct(F.col("own.g"))))
+    buckets = F.transform(F.filter("own", lambda o: o["g"] == F.col("g")), lambda o: o["b"])
+    return each.select("name", "v", "t", "g", buckets.alias("buckets"))
+
+
+def search(index_rows: DataFrame, queries: DataFrame, index: Index, most: int, *, group_rows: int = GROUP_ROWS, query_block: int = QUERY_BLOCK) -> DataFrame:
+    """Of each query (name, v) the best `most` classes of each task: query, score, ids."""
+    groups = max(1, -(-index_rows.count() // group_rows))
+    placed = written(_placed(index_rows, index, groups), "placed")
+    probed = written(_probed(queries, index, groups), "probed")
+    key = ["t", "g"]
+    pieces = placed.groupBy(key).agg(F.ceil(F.count("*") / (2 * group_rows)).cast("int").alias("pieces"))
+    blocks = probed.groupBy(key).agg(F.ceil(F.count("*") / query_block).cast("int").alias("blocks"))
+    sizes = written(pieces.join(blocks, key), "sizes")
+    own_piece, own_block = F.pmod(F.xxhash64("name"), F.col("pieces")), F.pmod(F.xxhash64("name"), F.col("blocks"))
+    rows = placed.join(sizes, key).withColumn("piece", own_piece).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    asking = probed.join(sizes, key).withColumn("block", own_block).withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
+
+    def meet(own: pa.Table, asked: pa.Table) -> pa.Table:
+        if not own.num_rows or not asked.num_rows:
+            return pa.table({"query": pa.array([], pa.int64()), "score": pa.array([], pa.float64()), "ids": pa.array([], pa.list_(pa.int64()))})
+        own = own.sort_by("bucket")
+        x, bucket = _vectors(own["v"]), own["bucket"].to_numpy()
+        ids = own["ids"].combine_chunks()
+        first = pc.list_element(ids, 0).to_numpy()
+        q, probes = _vectors(asked["v"]), asked["buckets"].combine_chunks()
+        there, start = np.unique(bucket, return_index=True)
+        end = np.append(start[1:], len(bucket))
+        edges = probes.offsets.to_numpy()
+
+        def seen(part: slice, tile: np.ndarray) -> np.ndarray:
+            scores = np.full((len(tile), len(x)), -np.inf)
+            wanted = probes.values.to_numpy()[edges[part.start] : edges[part.stop]]
+            who = np.repeat(np.arange(len(tile)), np.diff(edges[part.start : part.stop + 1]))
+            at = np.minimum(np.searchsorted(there, wanted), len(there) - 1)
+            hit = there[at] == wanted
+            who, at = who[hit], at[hit]
+            order = np.argsort(at, kind="stable")
+            who, at = who[order], at[order]
+            cuts = np.append(np.flatnonzero(np.diff(at, prepend=-1)), len(at))
+            for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+                rows = slice(start[at[lo]], end[at[lo]])
+                scores[who[lo:hi], rows] = tile[who[lo:hi]] @ x[rows].T
+            return scores
+
+        query, row, score = _best(x, first, q, seen, most)
+        return pa.table(_found(asked["name"].to_numpy(), query, score, row, ids), names=["query", "score", "ids"])
+
+    by = ["t", "g", "piece", "block"]
+    found = rows.select(*by, "bucket", "v", "ids").groupBy(by).cogroup(asking.select(*by, "name", "v", "buckets").groupBy(by)).applyInArrow(meet, FOUND)
+    best = written(best_of(found, most), "neighbours")
+    forget(placed, probed, sizes)
+    return best
+
+
+def build(index_rows: DataFrame, *, tables: int = TABLES, functions: int | None = None, width: float = WIDTH, seed: int = 7) -> Index:
+    """Hash functions fitted to a bounded sample of rows; the norm, and the number of functions if it
+    is not given, are those for all rows."""
     square = F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)
-    norm = float(np.sqrt(index_rows.agg(F.max(square)).first()[0])) * (1 + 1e-12)
+    most, n = index_rows.agg(F.max(square), F.count("*")).first()
+    norm = float(np.sqrt(most)) * (1 + 1e-12)
+    if functions is None:
+        functions = int(np.clip(round(np.log2(max(1, n / BUCKET_ROWS))), *FUNCTIONS))
     sample = np.array([r["v"] for r in index_rows.orderBy(F.xxhash64("name")).limit(SAMPLE_ROWS).select("v").collect()])
     random = np.random.default_rng(seed)
     a = random.normal(size=(tables, functions, sample.shape[1] + 1))
     index = Index(norm, a, np.zeros((tables, functions)), np.ones(tables))
-    spread = index.hashed(sample).std(axis=0).mean(axis=1)
-    index.width = np.maximum(spread, 1e-9) * width
-    index.b = random.uniform(size=(tables, functions)) * index.width[:, None]
+    hashed = index.hashed(sample)
+    index.width = np.maximum(hashed.std(axis=0).mean(axis=1), 1e-9) * width
+    # Slots lie about the middle of the rows, shifted at random within one.
+    index.b = random.uniform(size=(tables, functions)) * index.width[:, None] - hashed.mean(axis=0)
     return index
 
 
 def best_of(found: DataFrame, most: int) -> DataFrame:
-    """The best classes of each query over all tasks; a query's rows are cut before they are shuffled."""
+    """The best classes of each query over all tasks and tables, each once: what several tables found
+    has the same score and first id, and so one place. A query's rows are cut before they are shuffled."""
     order = Window.partitionBy("query").orderBy(F.desc("score"), F.element_at("ids", 1))
-    return found.withColumn("turn", F.row_number().over(order)).filter(F.col("turn") <= most).drop("turn")
+    kept = found.withColumn("turn", F.dense_rank().over(order)).filter(F.col("turn") <= most)
+    return kept.groupBy("query", "turn").agg(F.first("score").alias("score"), F.first("ids").alias("ids")).drop("turn")
 
 
 def calibrate(index_rows: DataFrame, queries: DataFrame, index: Index, most: int, recall: float) -> Index:
@@ -188,49 +311,40 @@ def calibrate(index_rows: DataFrame, queries: DataFrame, index: Index, most: int
     if not sample:
         return index
     names, q = np.array([r["name"] for r in sample], np.int64), np.array([r["v"] for r in sample])
-    exact = best_of(search_block(index_rows, index, names, q, most), most).select("query", F.element_at("ids", 1).alias("name"))
+    exact = best_of(exact_search(index_rows, names, q, most), most).select("query", F.element_at("ids", 1).alias("name"))
     near = exact.join(index_rows.select("name", "v"), "name").collect()
     if not near:
         return index
     place = {n: i for i, n in enumerate(names.tolist())}
     asked = index.asked(q)[[place[r["query"]] for r in near]]
-    buckets = np.floor(index.hashed(np.array([r["v"] for r in near])))
-    gap = asked - buckets
-    score = (np.maximum(0, np.maximum(-gap, gap - 1)) ** 2).sum(-1).min(axis=1)
+    score = index.gaps(asked, index.slots(index.hashed(np.array([r["v"] for r in near])))).sum(-1).min(axis=1)
     index.reach = float(np.quantile(score, recall)) + 1e-6
     return index
 
 
-def neighbours(vectors: DataFrame, *, key: str = "vec_id", column: str = "embedding", k: int = NEIGHBOURS, every: int = QUERY_EVERY, recall: float = RECALL, block: int = QUERY_BLOCK, **shape) -> DataFrame:
+def neighbours(vectors: DataFrame, *, key: str = "vec_id", column: str = "embedding", k: int = NEIGHBOURS, every: int = QUERY_EVERY, recall: float = RECALL, group_rows: int = GROUP_ROWS, query_block: int = QUERY_BLOCK, **shape) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: of each query its k best rows found, without itself.
 
     Queries are the rows whose id is divisible by `every`. Ties go to the smaller id. If there are
-    fewer than k candidates, all come back that are found. No usable vectors give no rows.
+    fewer than k candidates, all come back that are found. No usable vectors give no rows: those that
+    are null, zero, or hold a null or a component that is not finite are not usable, nor those of
+    another dimension than most have, with which an inner product is not defined.
     """
     spark = vectors.sparkSession
     schema = "query_id long, rank int, vec_id long, score double"
     rows = usable(vectors, key, column).withColumn("id", F.col("id").cast("long"))
     index_rows = written(classes_of(rows, k + 1), "vectors")
-    if index_rows.isEmpty():
-        return spark.createDataFrame([], schema)
     asking = rows.filter(F.col("id") % every == 0)
     # A query's class goes by the least id that asks; (id, name) pairs carry no vectors further on.
     same = F.md5(F.col("v").cast("string").cast("binary"))
     asking = written(asking.withColumn("same", same), "asking")
+    if index_rows.isEmpty() or asking.isEmpty():
+        return spark.createDataFrame([], schema)
     least = asking.groupBy("same").agg(F.min("id").alias("name"))
     members = written(asking.select("id", "same").join(least, "same").select("id", "name").distinct(), "members")
     queries = written(asking.join(least, "same").filter("id = name").select("name", "v").distinct(), "queries")
     index = calibrate(index_rows, queries, build(index_rows, **shape), k + 1, recall)
-    blocks = -(-queries.count() // block)
-    found = None
-    for number in range(blocks):
-        taken = queries.filter(F.pmod(F.xxhash64("name", F.lit(2)), F.lit(blocks)) == number).collect()
-        if taken:
-            part = search_block(index_rows, index, np.array([r["name"] for r in taken], np.int64), np.array([r["v"] for r in taken]), k + 1)
-            found = part if found is None else found.unionByName(part)
-    if found is None:
-        return spark.createDataFrame([], schema)
-    best = written(best_of(found, k + 1), "neighbours")
+    best = search(index_rows, queries, index, k + 1, group_rows=group_rows, query_block=query_block)
     each = members.join(best.select(F.col("query").alias("name"), "score", F.explode("ids").alias("vec_id")), "name").filter("vec_id != id")
     rank = F.row_number().over(Window.partitionBy("id").orderBy(F.desc("score"), "vec_id"))
     return each.select(F.col("id").alias("query_id"), rank.alias("rank"), "vec_id", "score").filter(F.col("rank") <= k)

@@ -30,11 +30,11 @@ def by_query(df):
     return out
 
 
-@pytest.mark.parametrize("block", [8192, 7])
-def test_exact_with_full_reach(spark, block):
+@pytest.mark.parametrize(("group", "block"), [(16384, 4096), (40, 4)])
+def test_exact_with_full_reach(spark, group, block):
     rows = random_rows(300, 8, 1)
     rows += [(1000 + i, rows[20][1]) for i in range(60)] + [(2000 + i, rows[40][1]) for i in range(30)]
-    got = by_query(ann.neighbours(table(spark, rows), recall=1.0, k=10, block=block))
+    got = by_query(ann.neighbours(table(spark, rows), recall=1.0, k=10, group_rows=group, query_block=block))
     assert got == brute(rows, 10, 20)
 
 
@@ -61,8 +61,24 @@ def test_what_takes_no_part(spark):
     assert ann.neighbours(table(spark, [(1, [1.0, 2.0]), (3, [1.0, 1.0])])).count() == 0
 
 
-def test_visiting_order():
-    index = ann.Index(1.0, np.zeros((1, 2, 3)), np.zeros((1, 2)), np.ones(1))
-    asked = np.array([[0.9, 0.5]])
-    buckets = np.array([[0, 0], [1, 0], [-1, 0], [1, 1], [2, 0]])
-    assert np.allclose(index.scores(asked, buckets)[0], [0, 0.01, 0.81, 0.26, 1.21])
+def test_probes_are_visited_in_order_of_success():
+    """All buckets within reach, against every bucket there is, in the order of their distances."""
+    index = ann.Index(1.0, np.zeros((1, 3, 3)), np.zeros((1, 3)), np.ones(1), reach=4.0)
+    asked = np.array([[0.9, 0.5, -3.2], [-9.0, 7.0, 0.0]])
+    query, bucket = index.probes(asked)
+    every = np.stack(np.meshgrid(*[np.arange(ann.SLOTS)] * 3, indexing="ij"), -1).reshape(-1, 3)
+    for q in (0, 1):
+        cost = index.gaps(asked[q], every).sum(1)
+        order = np.lexsort((index.buckets(every), cost))
+        assert bucket[query == q].tolist() == index.buckets(every)[order][cost[order] <= 4.0].tolist()
+    assert index.gaps(np.array([0.9]), np.array([5]))[0] == pytest.approx(0.01)
+    assert index.gaps(np.array([-9.0]), np.array([0]))[0] == 0
+
+
+def test_hot_bucket_in_pieces(spark):
+    """A third of all rows in one small ball, in one bucket: pieces and blocks lose none of them."""
+    rng = np.random.default_rng(9)
+    near = [(i, [float(np.float32(v)) for v in [1, 0, 0, 0] + rng.normal(size=4) * 1e-3]) for i in range(300, 450)]
+    rows = random_rows(300, 4, 4) + near
+    got = by_query(ann.neighbours(table(spark, rows), recall=1.0, group_rows=30, query_block=3))
+    assert got == brute(rows, 20, 20)
