@@ -42,9 +42,9 @@ SLOTS = 8
 #: A width of so many standard deviations; a function then halves the rows, about.
 WIDTH = 2.0
 #: There are so many functions that a bucket has about so many rows, and within these limits.
-BUCKET_ROWS = 256
+BUCKET_ROWS = 32
 FUNCTIONS = (2, 16)
-RECALL = 0.97
+RECALL = 0.95
 SAMPLE_QUERIES = 96
 SAMPLE_ROWS = 4000
 QUERY_EVERY = 20

@@ -394,11 +394,12 @@ def _turns(own, blocks):
     return F.transform(F.sequence(F.lit(0), blocks - 1), lambda other: F.least(own, other) * blocks + F.greatest(own, other))
 
 
-def _across(rows: DataFrame, least: float, block: int) -> DataFrame:
+def _across(rows: DataFrame, least: float, block: int, *, nearest: bool) -> DataFrame:
     """Pairs (a, b) of rows (key, size, content, n, at, root, least) of one key and different roots
     that their sizes, the key's places and folded maps do not rule out: of the keys that a similar
-    pair shares, the first leaves enough behind it in both. A key of more than `block` texts is dealt
-    in blocks, of which each pair goes to another task."""
+    pair shares, the first leaves enough behind it in both. `nearest`: of each row only the one whose
+    map is the nearest. A key of more than `block` texts is dealt in blocks, of which each pair goes to
+    another task."""
 
     def pairs(key, turn, own, content, n, at, root, bits) -> Iterator[pa.RecordBatch]:
         cuts = np.append(np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (turn[1:] != turn[:-1]))), len(key))
@@ -412,8 +413,12 @@ def _across(rows: DataFrame, least: float, block: int) -> DataFrame:
                     j = j[own[j] != own[i]]
                 j = j[np.minimum(n[i] - at[i], n[j] - at[j]) >= (n[i] + n[j]) * least / (1 + least) - 1e-6]
                 if len(j):
-                    j = j[np.bitwise_count(bits[j] ^ bits[i]).sum(axis=1) <= _most(n[i], n[j], least)]
-                    if len(j):
+                    differ = np.bitwise_count(bits[j] ^ bits[i]).sum(axis=1)
+                    near = differ <= _most(n[i], n[j], least)
+                    if near.any():
+                        j = j[near]
+                        if nearest:
+                            j = j[[np.argmin(differ[near])]]
                         a, b = np.minimum(content[i], content[j]), np.maximum(content[i], content[j])
                         yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
@@ -491,6 +496,12 @@ def _named(rows: DataFrame, roots: DataFrame, column: str, root: str) -> DataFra
     return rows.join(roots.select(F.col("content").alias(column), F.col("root").alias(root)), column, "left").withColumn(root, F.coalesce(root, column))
 
 
+def _mixed(rows: DataFrame) -> DataFrame:
+    """The rows, stored, of keys that have more than one root."""
+    keys = rows.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low != high").select("key")
+    return written(rows.join(written(keys, "mixed"), "key"), "apart")
+
+
 def near_copies(documents: DataFrame, *, words: int = WORDS, similarity: float = SIMILARITY, max_bits: int = MAX_BITS, segments: int = SEGMENTS, block: int = BLOCK) -> DataFrame:
     """doc_id, row_text and component_id of every row: texts of equal words are one group, and groups
     are linked if their word shingles are as similar. No such pair is lost.
@@ -498,9 +509,10 @@ def near_copies(documents: DataFrame, *, words: int = WORDS, similarity: float =
     SimHash links come first and join most copies; each is confirmed by the shingles. What
     fingerprints miss is found by the shingles themselves: similar texts have a shingle of their
     prefixes in common. Each text is tested with one text that shares one; then with the first text
-    of each of its shingles that it is not linked with yet; then all pairs that share one and are
-    not linked yet. A pair left out is one that links already join, so the groups are the same
-    whatever the fingerprints and blocks are.
+    of each of its shingles that it is not linked with yet; then, for each shingle, with the nearest
+    of those that it is not linked with yet, and at last all pairs that share one and are not linked
+    yet. A pair left out is one that links already join, so the groups are the same whatever the
+    fingerprints and blocks are.
     """
     marked = written(_contents(documents), "contents")
     named = marked.groupBy("content").agg(F.min("doc_id").alias("least"), F.min(F.struct("doc_id", "row_text")).alias("row"))
@@ -523,16 +535,18 @@ def near_copies(documents: DataFrame, *, words: int = WORDS, similarity: float =
     apart = _named(_named(alike, roots, "content", "root"), roots, "first", "other").filter("root != other")
     two = _confirmed(apart.select(F.col("first").alias("a"), F.col("content").alias("b")), texts, shapes, words, similarity)
 
-    roots = written(components(one.unionByName(two)).withColumnRenamed("node", "content"), "roots")
-    rest = _named(shared.filter("size > 2").select("key", "content", "n", "at", "size"), roots, "content", "root")
-    mixed = rest.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low != high").select("key")
-    mixed = written(rest.join(written(mixed, "mixed"), "key"), "apart")
-    three = _confirmed(_across(mixed.join(shapes.select("content", "least"), "content"), similarity, block), texts, shapes, words, similarity)
+    edges = one.unionByName(two)
+    rest = shared.filter("size > 2").select("key", "content", "n", "at", "size")
+    for nearest in (True, False):
+        roots = written(components(edges).withColumnRenamed("node", "content"), "roots")
+        mixed = _mixed(_named(rest, roots, "content", "root"))
+        pairs = _across(mixed.join(shapes.select("content", "least"), "content"), similarity, block, nearest=nearest)
+        edges = edges.unionByName(_confirmed(pairs, texts, shapes, words, similarity))
+        rest = mixed.drop("root")
 
-    roots = components(one.unionByName(two).unionByName(three))
+    roots = components(edges)
     named = named.join(roots, F.col("content") == F.col("node"), "left").select("content", "least", F.coalesce("root", "content").alias("root"))
     least = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    forget(shared, mixed)
     return marked.join(named.join(least, "root").select("content", "component_id"), "content").select("doc_id", "row_text", "component_id")
 
 
