@@ -38,9 +38,9 @@ from errata.llm.common import forget, mapped, written
 NEIGHBOURS = 20
 TABLES = 2
 #: Each function takes one of so many slots; those at the ends are open.
-SLOTS = 8
-#: A width of so many standard deviations; a function then halves the rows, about.
-WIDTH = 2.0
+SLOTS = 4
+#: A width of so many standard deviations, and the bits that a function's slots then tell.
+WIDTH, SLOT_BITS = 1.3, 1.65
 #: There are so many functions that a bucket has about so many rows, and within these limits.
 BUCKET_ROWS = 32
 FUNCTIONS = (2, 16)
@@ -184,22 +184,25 @@ def exact_search(index_rows: DataFrame, names: np.ndarray, queries: np.ndarray,
 
 
 def _placed(index_rows: DataFrame, index: Index, groups: int) -> DataFrame:
-    """name, v, ids, t, bucket, g: each row in each table."""
+    """name, v, ids, t, g, bucket: each row in each table."""
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
                 slots = index.slots(index.hashed(_vectors(batch.column("v"))))
                 for t in range(slots.shape[1]):
-                    yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.full(batch.num_rows, t, np.int32)), pa.array(index.buckets(slots[:, t]))], [*names, "t", "bucket"])
+                    bucket = index.buckets(slots[:, t])
+                    yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.full(batch.num_rows, t, np.int32)), pa.array(_groups(bucket, groups)), pa.array(bucket)], [*names, "t", "g", "bucket"])
 
     names = ["name", "v", "ids"]
-    fields = [*(index_rows.schema[c] for c in names), T.StructField("t", T.IntegerType()), T.StructField("bucket", T.LongType())]
-    return mapped(index_rows.select(names), place, T.StructType(fields)).withColumn("g", _group(F.col("bucket"), groups))
+    fields = [*(index_rows.schema[c] for c in names), T.StructField("t", T.IntegerType()), T.StructField("g", T.IntegerType()), T.StructField("bucket", T.LongType())]
+    return mapped(index_rows.select(names), place, T.StructType(fields))
 
 
-def _group(bucket, groups: int):
-    return F.pmod(F.xxhash64(bucket), F.lit(groups)).cast("int")
+def _groups(bucket: np.ndarray, groups: int) -> np.ndarray:
+    """The group of each bucket, as even as a hash is."""
+    mixed = bucket.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    return ((mixed ^ mixed >> np.uint64(32)) % np.uint64(groups)).astype(np.int32)
 
 
 def _probed(queries: DataFrame, index: Index, groups: int) -> DataFrame:
@@ -213,19 +216,16 @@ def _probed(queries: DataFrame, index: Index, groups: int) -> DataFrame:
             for t in range(asked.shape[1]):
                 for at in range(0, len(asked), PROBED):
                     query, bucket = index.probes(asked[at : at + PROBED, t])
-                    sizes = np.bincount(query, minlength=len(asked[at : at + PROBED]))
-                    offsets = pa.array(np.append(0, np.cumsum(sizes)).astype(np.int32))
-                    part = batch.slice(at, PROBED)
-                    yield pa.RecordBatch.from_arrays([*part.columns, pa.array(np.full(part.num_rows, t, np.int32)), pa.ListArray.from_arrays(offsets, pa.array(bucket))], ["name", "v", "t", "all"])
+                    g = _groups(bucket, groups)
+                    order = np.lexsort((g, query))  # stable: a group's probes keep their order
+                    query, bucket, g = query[order], bucket[order], g[order]
+                    new = np.flatnonzero(np.append(True, (query[1:] != query[:-1]) | (g[1:] != g[:-1])))
+                    offsets = pa.array(np.append(new, len(query)).astype(np.int32))
+                    own = batch.slice(at, PROBED).take(pa.array(query[new]))
+                    yield pa.RecordBatch.from_arrays([*own.columns, pa.array(np.full(len(new), t, np.int32)), pa.array(g[new]), pa.ListArray.from_arrays(offsets, pa.array(bucket))], ["name", "v", "t", "g", "buckets"])
 
-    fields = [*(queries.schema[c] for c in ("name", "v")), T.StructField("t", T.IntegerType()), T.StructField("all", T.ArrayType(T.LongType()))]
-    found = mapped(queries.select("name", "v"), probe, T.StructType(fields))
-    if groups == 1:
-        return found.select("name", "v", "t", F.lit(0).alias("g"), F.col("all").alias("buckets"))
-    own = F.transform("all", lambda b: F.struct(_group(b, groups).alias("g"), b.alias("b")))
-    each = found.withColumn("own", own).withColumn("g", F.explode(F.array_distinct(F.col("own.g"))))
-    buckets = F.transform(F.filter("own", lambda o: o["g"] == F.col("g")), lambda o: o["b"])
-    return each.select("name", "v", "t", "g", buckets.alias("buckets"))
+    fields = [*(queries.schema[c] for c in ("name", "v")), T.StructField("t", T.IntegerType()), T.StructField("g", T.IntegerType()), T.StructField("buckets", T.ArrayType(T.LongType()))]
+    return mapped(queries.select("name", "v"), probe, T.StructType(fields))
 
 
 def search(index_rows: DataFrame, queries: DataFrame, index: Index, most: int, *, group_rows: int = GROUP_ROWS, query_block: int = QUERY_BLOCK) -> DataFrame:
@@ -237,7 +237,8 @@ def search(index_rows: DataFrame, queries: DataFrame, index: Index, most: int, *
     pieces = placed.groupBy(key).agg(F.ceil(F.count("*") / (2 * group_rows)).cast("int").alias("pieces"))
     blocks = probed.groupBy(key).agg(F.ceil(F.count("*") / query_block).cast("int").alias("blocks"))
     sizes = written(pieces.join(blocks, key), "sizes")
-    own_piece, own_block = F.pmod(F.xxhash64("name"), F.col("pieces")), F.pmod(F.xxhash64("name"), F.col("blocks"))
+    # Both sides' keys are of one type: they are dealt by their hashes.
+    own_piece, own_block = F.pmod(F.xxhash64("name"), F.col("pieces")).cast("int"), F.pmod(F.xxhash64("name"), F.col("blocks")).cast("int")
     rows = placed.join(sizes, key).withColumn("piece", own_piece).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     asking = probed.join(sizes, key).withColumn("block", own_block).withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
 
@@ -285,7 +286,7 @@ def build(index_rows: DataFrame, *, tables: int = TABLES, functions: int | None
     most, n = index_rows.agg(F.max(square), F.count("*")).first()
     norm = float(np.sqrt(most)) * (1 + 1e-12)
     if functions is None:
-        functions = int(np.clip(round(np.log2(max(1, n / BUCKET_ROWS))), *FUNCTIONS))
+        functions = int(np.clip(round(np.log2(max(1, n / BUCKET_ROWS)) / SLOT_BITS), *FUNCTIONS))
     sample = np.array([r["v"] for r in index_rows.orderBy(F.xxhash64("name")).limit(SAMPLE_ROWS).select("v").collect()])
     random = np.random.default_rng(seed)
     a = random.normal(size=(tables, functions, sample.shape[1] + 1))

@@ -38,9 +38,12 @@ def test_exact_with_full_reach(spark, group, block):
     assert got == brute(rows, 10, 20)
 
 
-def test_recall_and_order(spark):
+def test_recall_and_order(spark, monkeypatch):
     rows = random_rows(3000, 16, 2)
-    got, want = by_query(ann.neighbours(table(spark, rows))), brute(rows, 20, 20)
+    monkeypatch.setattr(ann, "BUCKET_ROWS", 8)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # keys meet by their hashes alone
+    got, want = by_query(ann.neighbours(table(spark, rows), group_rows=500)), brute(rows, 20, 20)
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     assert set(got) == set(want)
     found = [len({i for i, _ in got[q]} & {i for i, _ in want[q]}) / 20 for q in want]
     assert np.mean(found) >= 0.9
@@ -71,7 +74,7 @@ def test_probes_are_visited_in_order_of_success():
         cost = index.gaps(asked[q], every).sum(1)
         order = np.lexsort((index.buckets(every), cost))
         assert bucket[query == q].tolist() == index.buckets(every)[order][cost[order] <= 4.0].tolist()
-    assert index.gaps(np.array([0.9]), np.array([5]))[0] == pytest.approx(0.01)
+    assert index.gaps(np.array([0.9]), np.array([ann.SLOTS // 2 + 1]))[0] == (0 if ann.SLOTS == 2 else pytest.approx(0.01))
     assert index.gaps(np.array([-9.0]), np.array([0]))[0] == 0
 
 
