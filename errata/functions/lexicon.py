@@ -53,6 +53,11 @@ class Lexicon:
         """Word boundaries spelt out, so that every regular expression engine agrees on them."""
         return rf"(^|[^\p{{L}}\p{{N}}_]){any_of(self.bare)}($|[^\p{{L}}\p{{N}}_])" if self.bare else "a^"
 
+    @property
+    def alone_pattern(self) -> str:
+        """The bare words alone, without what stands around them; for Spark's regular expressions."""
+        return rf"(?<![\p{{L}}\p{{N}}_]){any_of(self.bare)}(?![\p{{L}}\p{{N}}_])" if self.bare else "a^"
+
     @property
     def pattern(self) -> str:
         return f"{any_of(self.phrases)}|{self.bare_pattern}" if self.phrases else self.bare_pattern

@@ -11,6 +11,8 @@ from errata.functions.labels import MONTHS
 from errata.functions.lexicon import NORWEGIAN, SECTIONS, TITLE_SUFFIXES, Lexicon, any_of
 
 MAX_BLOCK = 2000
+#: Longer than any start of a block that is looked for, in characters before lower-casing.
+MAX_START = 100
 MAX_HOURS = 24 * 365 * 5
 
 
@@ -45,53 +47,64 @@ def has_trigger(text: Column, lexicon: Lexicon = NORWEGIAN) -> Column:
 
 
 def is_noise(text: Column, lexicon: Lexicon = NORWEGIAN) -> Column:
-    return F.lower(text).rlike("^" + any_of(lexicon.noise))
+    return F.lower(F.substring(text, 1, MAX_START)).rlike("^" + any_of(lexicon.noise))
 
 
 def usable_block(text: Column, lexicon: Lexicon = NORWEGIAN) -> Column:
     return F.length(text).between(1, MAX_BLOCK) & ~is_noise(text, lexicon)
 
 
+def bound(value: Column, use) -> Column:
+    """use(value), in which value is worked out once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _place(text: Column, pattern: str) -> Column:
+    """1-based place of the first match, else 0: what lies before it is the first of two parts."""
+    return bound(F.split(text, pattern, 2), lambda parts: F.when(F.size(parts) > 1, F.length(F.get(parts, F.lit(0))) + 1).otherwise(0))
+
+
 def _bare_position(lowered: Column, lexicon: Lexicon) -> Column:
     """1-based place of the first bare word that stands alone, else 0."""
-    before = F.regexp_extract(lowered, f"(?s)^(.*?){lexicon.bare_pattern}", 0)
-    around = F.regexp_extract(lowered, lexicon.bare_pattern, 0)
-    word = F.regexp_extract(lowered, lexicon.bare_pattern, 2)
-    after = F.regexp_extract(lowered, lexicon.bare_pattern, 3)
-    return F.when(around == "", 0).otherwise(F.length(before) - F.length(after) - F.length(word) + 1)
+    return _place(lowered, lexicon.alone_pattern)
 
 
 def phrase_position(lowered: Column, lexicon: Lexicon = NORWEGIAN) -> Column:
     """1-based place of the earliest phrase, else 0."""
-    places = F.array(*[F.locate(p, lowered) for p in lexicon.phrases])
-    return F.coalesce(F.array_min(F.filter(places, lambda p: p > 0)), F.lit(0))
+    return _place(lowered, any_of(lexicon.phrases)) if lexicon.phrases else F.lit(0)
 
 
 def trigger_position(text: Column, lexicon: Lexicon = NORWEGIAN) -> Column:
     """1-based place of the earliest phrase or, only if there is none, of the first bare word; else 0."""
-    lowered = F.lower(text)
-    phrase = phrase_position(lowered, lexicon)
-    return F.when(phrase > 0, phrase).otherwise(_bare_position(lowered, lexicon))
 
+    def of(lowered: Column) -> Column:
+        return bound(phrase_position(lowered, lexicon), lambda phrase: F.when(phrase > 0, phrase).otherwise(_bare_position(lowered, lexicon)))
 
-def trim_to_correction(text: Column, lexicon: Lexicon = NORWEGIAN) -> Column:
-    """The text from the start of the sentence that holds the trigger; a single pass, not idempotent."""
-    place = trigger_position(text, lexicon)
-    chunk = F.substring(text, F.lit(1), place - 1)
-    after_stop = F.regexp_extract(chunk, r"(?s)^.*\. (.*)$", 1)
-    capital = F.regexp_extract(chunk, r"(?s)\.([A-ZÆØÅ][^.]*)$", 1)
-    after_line = F.regexp_extract(chunk, r"(?s)^.*\n(.*)$", 1)
-    tail = F.substring(text, place, F.length(text))
-    cut = (
+    return bound(F.lower(text), of)
+
+
+def _cut(text: Column, chunk: Column, tail: Column) -> Column:
+    """The tail and, of the chunk before it, what belongs to the tail's sentence."""
+    after_stop, after_dot, after_line = (F.substring_index(chunk, mark, -1) for mark in (". ", ".", "\n"))
+    return (
         F.when(F.contains(chunk, F.lit(". ")), F.concat(after_stop, tail))
         .when(F.endswith(chunk, F.lit(".")), tail)
-        .when(capital != "", F.concat(capital, tail))
+        .when(F.contains(chunk, F.lit(".")) & after_dot.rlike("^[A-ZÆØÅ]"), F.concat(after_dot, tail))
         .when(F.contains(chunk, F.lit("\n")), F.concat(after_line, tail))
         .otherwise(text)
     )
-    stripped = strip(cut)
-    started = F.lower(text).rlike("^" + any_of(lexicon.good_starts))
-    return F.when(started | (place == 0), text).otherwise(F.when(stripped == "", text).otherwise(stripped))
+
+
+def trim_to_correction(text: Column, lexicon: Lexicon = NORWEGIAN) -> Column:
+    """The text from the start of the sentence that holds the trigger; a single pass, not idempotent."""
+
+    def of(place: Column) -> Column:
+        chunk, tail = F.substring(text, F.lit(1), place - 1), F.substring(text, place, F.length(text))
+        cut = bound(chunk, lambda c: strip(_cut(text, c, tail)))
+        return F.when(place == 0, text).otherwise(bound(cut, lambda c: F.when(c == "", text).otherwise(c)))
+
+    started = F.lower(F.substring(text, 1, MAX_START)).rlike("^" + any_of(lexicon.good_starts))
+    return F.when(started, text).otherwise(bound(trigger_position(text, lexicon), of))
 
 
 def starts_with_trigger(text: Column, lexicon: Lexicon = NORWEGIAN) -> Column:

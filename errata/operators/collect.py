@@ -11,8 +11,7 @@ from pyspark.sql.window import Window
 from errata.functions.lexicon import SECTIONS
 from errata.functions.text import blank_coalesce, in_sections, iso_timestamp
 from errata.schema import RAW_DDL
-
-PAGE_STEP = 20
+from errata.sources.connectors import PAGE_STEP
 
 
 def unknown(candidates: DataFrame, known: DataFrame, key: str = "url") -> DataFrame:
@@ -21,8 +20,11 @@ def unknown(candidates: DataFrame, known: DataFrame, key: str = "url") -> DataFr
 
 
 def first_seen(candidates: DataFrame, key: str, *order: str) -> DataFrame:
-    """Of each key the first row by the order; copies are cut before the shuffle."""
-    turn = F.row_number().over(Window.partitionBy(key).orderBy(*order))
+    """Of each key the first row by the order and then by its other values, so that the result does not
+    depend on how the rows lie; copies are cut before the shuffle."""
+    given = {c for c in order if isinstance(c, str)}
+    rest = [c for c, kind in candidates.dtypes if c not in given | {key} and "map<" not in kind and "variant" not in kind]
+    turn = F.row_number().over(Window.partitionBy(key).orderBy(*order, *rest, F.lit(0)))
     return candidates.withColumn("errata_turn", turn).filter("errata_turn = 1").drop("errata_turn")
 
 
@@ -51,7 +53,12 @@ def up_to_last(results: DataFrame, key: str = "term", page: str = "page", more:
 def sitemap_candidates(urls: DataFrame, known: DataFrame, as_of: datetime, days: int, *, lenient: bool, sections: tuple[str, ...] = SECTIONS) -> DataFrame:
     """New addresses of a sitemap: url, lastmod."""
     good = recent(urls.filter(in_sections(F.col("loc"), sections)), as_of, days, lenient=lenient)
-    return unknown(good.select(F.col("loc").alias("url"), "lastmod").dropDuplicates(["url"]), known)
+    return unknown(first_seen(good.select(F.col("loc").alias("url"), "lastmod"), "url"), known)
+
+
+def capped(rows: DataFrame, most: int, *order) -> DataFrame:
+    """At most so many rows, the first by the order: the caps of a run (sitemaps, addresses)."""
+    return rows.orderBy(*order).limit(most)
 
 
 def records(found: DataFrame, source: str, ingested: datetime) -> DataFrame:
@@ -72,8 +79,8 @@ def records(found: DataFrame, source: str, ingested: datetime) -> DataFrame:
 
 
 def append(raw: DataFrame, new: DataFrame) -> DataFrame:
-    """raw with the new records whose url it lacks, one of each."""
-    fresh = unknown(new.dropDuplicates(["url"]), raw)
+    """raw with the new records whose url it lacks, one of each: the least by id, date and the rest."""
+    fresh = unknown(first_seen(new, "url", *[c for c in ("id", "date") if c in new.columns]), raw)
     return raw.unionByName(fresh, allowMissingColumns=True)
 
 

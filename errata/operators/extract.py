@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from errata.functions.lexicon import NEXT_PAGE, NORWEGIAN, SECTIONS, Lexicon
-from errata.functions.text import blank_coalesce, has_trigger, in_sections, is_noise, strip, trim_to_correction, url_section, usable_block, without_suffixes
+from errata.functions.text import blank_coalesce, bound, has_trigger, in_sections, is_noise, strip, trim_to_correction, url_section, usable_block, without_suffixes
 
 
 def distinct_blocks(blocks: Column) -> Column:
@@ -22,19 +22,20 @@ def distinct_blocks(blocks: Column) -> Column:
 def correction_blocks(page: Column, lexicon: Lexicon = NORWEGIAN, *, trim: bool = True) -> Column:
     """The usable blocks with a trigger, in the order of the passes; <div>s only if the others have none."""
 
-    def of_pass(number: int) -> Column:
-        texts = F.transform(F.filter(page["blocks"], lambda b: b["pass"] == number), lambda b: b["text"])
-        good = F.filter(texts, lambda t: usable_block(t, lexicon) & has_trigger(t, lexicon))
-        return F.transform(good, lambda t: trim_to_correction(t, lexicon)) if trim else good
+    def good(which) -> Column:
+        return F.filter(page["blocks"], lambda b: which(b["pass"]) & usable_block(b["text"], lexicon) & has_trigger(b["text"], lexicon))
 
-    first = F.concat(of_pass(1), of_pass(2))
-    return F.when(F.size(first) > 0, first).otherwise(of_pass(3))
+    def in_order(blocks: Column) -> Column:
+        return F.concat(F.filter(blocks, lambda b: b["pass"] == 1), F.filter(blocks, lambda b: b["pass"] == 2))
+
+    first = good(lambda number: number < 3)
+    found = bound(first, lambda blocks: F.when(F.size(blocks) > 0, in_order(blocks)).otherwise(good(lambda number: number == 3)))
+    return F.transform(found, lambda b: trim_to_correction(b["text"], lexicon) if trim else b["text"])
 
 
 def correction_text(page: Column, lexicon: Lexicon = NORWEGIAN, *, trim: bool = True) -> Column:
     """The blocks joined by ' | ', or null if there are none."""
-    blocks = correction_blocks(page, lexicon, trim=trim)
-    return F.when(F.size(blocks) > 0, F.array_join(distinct_blocks(blocks), " | "))
+    return bound(correction_blocks(page, lexicon, trim=trim), lambda blocks: F.when(F.size(blocks) > 0, F.array_join(distinct_blocks(blocks), " | ")))
 
 
 def standalone_text(page: Column, lexicon: Lexicon = NORWEGIAN) -> Column:
@@ -97,5 +98,6 @@ def detect(pages: DataFrame, lexicon: Lexicon = NORWEGIAN, *, trim: bool = True,
     found = correction_text(page, lexicon, trim=trim)
     if standalone is not None:
         found = F.when(standalone, standalone_text(page, lexicon)).otherwise(found)
-    hits = pages.filter(has_trigger(page["page_text"], lexicon)).select("url", page_title(page).alias("title"), published(page).alias("published"), found.alias("correction"))
-    return hits.filter(F.col("correction").isNotNull())
+    # Exploding an array of one or none keeps the text from being worked out again for a filter.
+    one = F.explode(F.array_compact(F.array(found)))
+    return pages.filter(has_trigger(page["page_text"], lexicon)).select("url", page_title(page).alias("title"), published(page).alias("published"), one.alias("correction"))

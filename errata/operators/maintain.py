@@ -15,10 +15,12 @@ def to_refetch(raw: DataFrame, lexicon: Lexicon = NORWEGIAN) -> DataFrame:
     return raw.filter(needs_refetch(F.coalesce("correction_text_raw", "correction"), lexicon))
 
 
-def upserted(table: DataFrame, new: DataFrame, column: str, *, key: str = "url", lexicon: Lexicon = NORWEGIAN) -> DataFrame:
+def upserted(table: DataFrame, new: DataFrame, column: str, *, key: str = "url", order: str | None = None, lexicon: Lexicon = NORWEGIAN) -> DataFrame:
     """The table with `column` replaced where new (key, new_text) is better. Of several new rows of a
-    key the greatest text counts, so that the result does not depend on the order of rows."""
-    once = new.groupBy(F.col(key).alias("errata_key")).agg(F.max("new_text").alias("errata_new"))
+    key the last by `order` counts (of those as late, the greatest text); without an order, the
+    greatest text. The result does not depend on how the rows lie."""
+    last = F.max(F.struct(order, "new_text"))["new_text"] if order else F.max("new_text")
+    once = new.groupBy(F.col(key).alias("errata_key")).agg(last.alias("errata_new"))
     joined = table.join(once, F.col(key) == F.col("errata_key"), "left")
     better = F.coalesce(is_better(F.col("errata_new"), F.col(column), lexicon), F.lit(False))
     return joined.withColumn(column, F.when(better, F.col("errata_new")).otherwise(F.col(column))).select(*table.columns)

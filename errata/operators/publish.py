@@ -12,7 +12,13 @@ SHOWN = ("genuine_correction", "uncertain", "pending")
 
 
 def published_view(raw: DataFrame) -> DataFrame:
-    """The 21 published columns of records whose status is shown (a missing one is pending), newest first."""
+    """The published rows, newest first: what is written or shown as a whole."""
+    return published_rows(raw).orderBy(F.desc("date"), "url")
+
+
+def published_rows(raw: DataFrame) -> DataFrame:
+    """The 21 published columns of records whose status is shown (a missing one is pending), in no
+    order: what searches, facets and pages start from."""
     status = F.coalesce("qa_status", F.lit("pending"))
     empty = F.lit("")
     derived = {
@@ -25,7 +31,7 @@ def published_view(raw: DataFrame) -> DataFrame:
     }
     plain = {"id", "correction_date", "time_to_correct_hours"}
     columns = [derived[c].alias(c) if c in derived else F.col(c) if c in plain else F.coalesce(c, empty).alias(c) for c in PUBLISHED]
-    return raw.filter(status.isin(*SHOWN)).select(*columns).orderBy(F.desc("date"), "url")
+    return raw.filter(status.isin(*SHOWN)).select(*columns)
 
 
 def status_counts(raw: DataFrame) -> DataFrame:

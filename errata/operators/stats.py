@@ -52,5 +52,14 @@ def facet(rows: DataFrame, column: Column) -> DataFrame:
     return rows.select(blank_coalesce(column).alias("value")).filter("value IS NOT NULL").distinct().orderBy("value")
 
 
+def label_facet(rows: DataFrame, column: Column, labels: dict[str, str]) -> DataFrame:
+    """The distinct codes that are not blank (value), their labels, and their place in the Norwegian
+    order of labels, from 1. Codes are few: the window is over them alone."""
+    values = rows.select(blank_coalesce(column).alias("value")).filter("value IS NOT NULL").distinct()
+    named = values.withColumn("label", label_of(F.col("value"), labels, fallback=True))
+    place = F.row_number().over(Window.orderBy(F.collate("label", "no"), "value"))
+    return named.withColumn("place", place).orderBy("place")
+
+
 def years(rows: DataFrame, stamp: Column) -> DataFrame:
     return rows.select(F.date_format(stamp, "yyyy").alias("value")).filter("value IS NOT NULL").distinct().orderBy(F.desc("value"))

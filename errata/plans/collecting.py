@@ -141,17 +141,15 @@ def correction_blocks(spark, sf):
     return extract.detect(parsed(pages(spark, sf)), lexicon)
 
 
-@query(None)
-def block_dedup(spark, sf):
-    blocks = F.transform("page.blocks", lambda b: b["text"])
-    return parsed(pages(spark, sf)).select("page_id", F.size("page.blocks").alias("n_blocks"), F.array_join(extract.distinct_blocks(blocks), " | ").alias("kept"))
-
-
-@query(None)
-def standalone_text(spark, sf):
-    return parsed(pages(spark, sf)).select("page_id", extract.standalone_text(F.col("page"), LEXICON).alias("standalone"))
+NODE = "x"
+for entity, character in ENTITIES:
+    NODE = f"replace({NODE}, '{entity}', '{character}')"
+BODY = rf"""array_to_string([y FOR y IN [regexp_replace({NODE}, '^\s+|\s+$', '', 'g') FOR x IN string_split_regex(regexp_extract(html, '(?s)<article>(.*?)(</article>|$)', 1), '<[^>]*>')] IF y <> ''], ' ')"""
 
 
-@query(None)
+@query(rf"""
+SELECT page_id, substring(regexp_replace({HEADING}, '^\s+|\s+$', '', 'g'), 1, 300) AS headline, split_part(url, '/', 1) AS nrk_section, '' AS publication_date, '' AS modified_date,
+  '' AS intro_text, '' AS journalist, '' AS responsible_editor, substring({BODY}, 1, 20000) AS article_body FROM pages WHERE url IS NOT NULL
+""")
 def article_metadata(spark, sf):
     return parsed(pages(spark, sf).filter("url IS NOT NULL")).select("page_id", extract.metadata(F.col("page"), F.col("url")).alias("m")).select("page_id", "m.*")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from errata.functions.labels import CATEGORY_LABELS, TYPE_LABELS
 from errata.functions.text import duration_label, html_escape, iso_timestamp, long_date, valid_hours, year_of
 from errata.operators import publish, search, stats
-from errata.plans.fixture import DURATIONS_SQL, RAW_SQL, durations, quoted, raw, table
+from errata.plans.fixture import DURATIONS_SQL, RAW_SQL, durations, raw, sql_labels, table
 from errata.streaming.stream import daily_counts
 
 QUERIES, ORACLE_SQL = {}, {}
@@ -27,10 +27,6 @@ def hours():
     return valid_hours(F.col("o_orderdate"), F.col("l_shipdate"))
 
 
-def labels_sql(code: str, labels: dict[str, str]) -> str:
-    return f"CASE {code} " + " ".join(f"WHEN {quoted(k)} THEN {quoted(v)}" for k, v in labels.items()) + " END"
-
-
 @query(f"WITH {DURATIONS_SQL} SELECT l_orderkey, l_linenumber, hours FROM t")
 def time_to_correct(spark, sf):
     return durations(spark, sf).select("l_orderkey", "l_linenumber", hours().alias("hours"))
@@ -80,7 +76,7 @@ def type_breakdown_filtered(spark, sf):
 
 @query(f"""
 WITH {RAW_SQL}, c AS (SELECT correction_type AS code, count(*) AS n FROM raw GROUP BY 1)
-SELECT code, coalesce({labels_sql("code", TYPE_LABELS)}, code) AS label, n, floor(100 * n / sum(n) OVER () + 0.5)::BIGINT AS percent FROM c
+SELECT code, coalesce({sql_labels("code", TYPE_LABELS)}, code) AS label, n, floor(100 * n / sum(n) OVER () + 0.5)::BIGINT AS percent FROM c
 """)
 def type_share_pct(spark, sf):
     return stats.with_share(stats.type_breakdown(raw(spark, sf), F.col("correction_type")))
@@ -138,30 +134,30 @@ SEARCHED = """lower(coalesce(title, '')) LIKE '%licens%' OR lower(coalesce(corre
 
 @query(f"""
 WITH v AS ({PUBLISHED_SQL})
-SELECT id, url FROM v WHERE {SEARCHED} OR lower({labels_sql("news_category", CATEGORY_LABELS)}) LIKE '%licens%'
-  OR lower({labels_sql("correction_type", TYPE_LABELS)}) LIKE '%licens%'
+SELECT id, url FROM v WHERE {SEARCHED} OR lower({sql_labels("news_category", CATEGORY_LABELS)}) LIKE '%licens%'
+  OR lower({sql_labels("correction_type", TYPE_LABELS)}) LIKE '%licens%'
 """)
 def free_text_search(spark, sf):
-    return search.search(publish.published_view(raw(spark, sf)), term="Licens").select("id", "url")
+    return search.search(publish.published_rows(raw(spark, sf)), term="Licens").select("id", "url")
 
 
 @query(f"""
 WITH v AS ({PUBLISHED_SQL})
-SELECT id, url FROM v WHERE news_category = 'science' AND (lower({labels_sql("correction_type", TYPE_LABELS)}) LIKE '%feil%' OR lower(title) LIKE '%feil%' OR lower(correction) LIKE '%feil%')
+SELECT id, url FROM v WHERE news_category = 'science' AND (lower({sql_labels("correction_type", TYPE_LABELS)}) LIKE '%feil%' OR lower(title) LIKE '%feil%' OR lower(correction) LIKE '%feil%')
 """)
 def search_with_facets(spark, sf):
-    return search.search(publish.published_view(raw(spark, sf)), term="feil", category="science").select("id", "url")
+    return search.search(publish.published_rows(raw(spark, sf)), term="feil", category="science").select("id", "url")
 
 
 @query(f"WITH v AS ({PUBLISHED_SQL}) SELECT id, url, length(correction_text_raw)::INT AS size FROM v ORDER BY length(correction_text_raw) DESC, url LIMIT 50 OFFSET 50")
 def list_sorted_page(spark, sf):
-    rows = search.ordered(publish.published_view(raw(spark, sf)), "correction_length")
+    rows = search.ordered(publish.published_rows(raw(spark, sf)), "correction_length")
     return search.page(rows, 1).select("id", "url", F.length("correction_text_raw").alias("size"))
 
 
 @query(f"WITH v AS ({PUBLISHED_SQL}) SELECT id, url, date FROM v ORDER BY date, url LIMIT 50")
 def list_oldest_page(spark, sf):
-    return search.page(search.ordered(publish.published_view(raw(spark, sf)), "date_asc"), 0).select("id", "url", "date")
+    return search.page(search.ordered(publish.published_rows(raw(spark, sf)), "date_asc"), 0).select("id", "url", "date")
 
 
 @query(f"WITH {RAW_SQL} SELECT id, coalesce(nullif(correction, ''), '') AS shown FROM raw")

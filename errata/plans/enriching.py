@@ -2,17 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
-from datetime import datetime
-
 from pyspark.sql import functions as F
 
 from errata.functions import text as fn
-from errata.functions.labels import CATEGORY_LABELS, label_of
-from errata.functions.lexicon import Lexicon
+from errata.functions.labels import CATEGORY_LABELS, TYPE_LABELS, label_of
 from errata.operators import enrich
 from errata.plans import fixture as fx
 from errata.plans.fixture import table
+from errata.session import shared_path
 from errata.streaming import stream
 
 QUERIES, ORACLE_SQL = {}, {}
@@ -77,22 +74,10 @@ def query_encoding(spark, sf):
     return table(spark, sf, "nation").select("n_nationkey", fn.quoted_query(F.col("n_name")).alias("encoded"))
 
 
-@query(f"WITH {fx.RAW_SQL} SELECT id, news_category AS code FROM raw")
+@query(f"WITH {fx.RAW_SQL} SELECT id, {fx.sql_labels('news_category', CATEGORY_LABELS)} AS label, coalesce({fx.sql_labels('source', TYPE_LABELS)}, source) AS shown FROM raw")
 def label_dimension(spark, sf):
-    rows = fx.raw(spark, sf).select("id", "news_category")
-    return rows.filter(label_of(F.col("news_category"), CATEGORY_LABELS, fallback=False).isNotNull()).select("id", F.col("news_category").alias("code"))
-
-
-STREAMED = Lexicon(phrases=(" the ", " de ", " der "), bare=("la",), good_starts=("licens",), noise=("skip to",))
-
-
-@query(None)
-def stream_collect(spark, sf):
-    """Pages as a stream of files into a table, until all is read."""
-    folder = _folder(spark)
-    table(spark, sf, "pages").repartition(2).write.parquet(f"{folder}/pages")
-    stream.collect_stream(stream.page_stream(spark, f"{folder}/pages"), f"{folder}/raw", f"{folder}/checkpoint", source="sitemap", ingested=datetime(2024, 2, 1), lexicon=STREAMED).awaitTermination()
-    return spark.read.parquet(f"{folder}/raw").select("url", "title", "correction", "source", "qa_status")
+    """A code's label, and a value without one as itself."""
+    return fx.raw(spark, sf).select("id", label_of(F.col("news_category"), CATEGORY_LABELS, fallback=False).alias("label"), label_of(F.col("source"), TYPE_LABELS, fallback=True).alias("shown"))
 
 
 @query("SELECT strftime(ts, '%Y-%m-%d') AS day, count(*) AS n FROM events GROUP BY 1")
@@ -112,7 +97,4 @@ def stream_daily(spark, sf):
 
 
 def _folder(spark) -> str:
-    import uuid
-
-    shared = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="errata-stream-")
-    return f"{shared.rstrip('/')}/errata/stream-{uuid.uuid4().hex}"
+    return shared_path(spark, "stream")

@@ -33,7 +33,7 @@ def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         n.alias("id"),
         F.concat(F.lit("https://example.org/"), F.col("lang"), F.lit("/"), n.cast("string")).alias("url"),
         F.concat(F.lit("2024-01-"), F.lpad((n % 28 + 1).cast("string"), 2, "0")).alias("date"),
-        F.substring("text", 1, 60).alias("title"),
+        F.col("text").alias("title"),
         F.when(n % 5 == 0, "").when(n % 7 != 0, F.upper("lang")).alias("headline"),
         F.lit(None).cast("string").alias("what"),
         F.when(n % 3 == 0, "").otherwise(F.col("text")).alias("correction_text_raw"),
@@ -62,7 +62,7 @@ def _list(values: tuple[str, ...]) -> str:
 RAW_SQL = f"""
 raw AS (
   SELECT d.doc_id AS id, 'https://example.org/' || d.lang || '/' || d.doc_id AS url,
-    '2024-01-' || lpad((d.doc_id % 28 + 1)::VARCHAR, 2, '0') AS date, substring(d.text, 1, 60) AS title,
+    '2024-01-' || lpad((d.doc_id % 28 + 1)::VARCHAR, 2, '0') AS date, d.text AS title,
     CASE WHEN d.doc_id % 5 = 0 THEN '' WHEN d.doc_id % 7 <> 0 THEN upper(d.lang) END AS headline,
     CASE WHEN d.doc_id % 3 = 0 THEN '' ELSE d.text END AS correction_text_raw, d.text AS correction,
     CASE WHEN l.toxic = 1 THEN 'not_a_correction' WHEN l.quality = 1 THEN 'genuine_correction'
@@ -96,6 +96,10 @@ def quoted(value: str) -> str:
     return "'" + value.replace("'", "''") + "'"
 
 
+def sql_labels(code: str, labels: dict[str, str]) -> str:
+    return f"CASE {code} " + " ".join(f"WHEN {quoted(k)} THEN {quoted(v)}" for k, v in labels.items()) + " END"
+
+
 def sql_trigger(text: str) -> str:
     return f"regexp_matches(lower({text}), {quoted(LEXICON.pattern)})"
 

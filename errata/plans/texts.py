@@ -64,7 +64,7 @@ def needs_refetch(spark, sf):
     return docs(spark, sf).filter(fn.needs_refetch(F.col("text"), LEXICON)).select("doc_id")
 
 
-NEW = "substring(text, (CASE WHEN doc_id % 2 = 0 THEN greatest(1, place) ELSE 1 END)::INT, 400)"
+NEW = "substring(text, (CASE WHEN doc_id % 2 = 0 THEN greatest(1, place) ELSE 1 END)::INT)"
 
 
 @query(f"""
@@ -75,7 +75,7 @@ def better_text_upsert(spark, sf):
     base = docs(spark, sf)
     place = fn.trigger_position(F.col("text"), LEXICON)
     start = F.when(F.col("doc_id") % 2 == 0, F.greatest(F.lit(1), place)).otherwise(1)
-    new = base.select("doc_id", F.substring(F.col("text"), start, F.lit(400)).alias("new_text"))
+    new = base.select("doc_id", F.substring(F.col("text"), start, F.length("text")).alias("new_text"))
     return maintain.upserted(base, new, "text", key="doc_id", lexicon=LEXICON)
 
 

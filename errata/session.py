@@ -6,6 +6,7 @@ import atexit
 import os
 import shutil
 import tempfile
+import uuid
 from pathlib import Path
 
 from pyspark.sql import SparkSession
@@ -26,6 +27,18 @@ def local_session(cores: str = "8", shuffle_partitions: int = 8, **settings: str
     return builder.getOrCreate()
 
 
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new folder in the one that driver and executors share, named in spark.checkpoint.dir. Only a
+    local session without that setting gets a folder of this machine."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = "file://" + tempfile.mkdtemp(prefix="errata-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return f"{folder.rstrip('/')}/errata/{name}-{uuid.uuid4().hex}"
+
+
 def ship(spark: SparkSession) -> None:
     """Send this package to the executors, once for each session's context, so that they can import it."""
     context = spark.sparkContext

@@ -8,15 +8,26 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Iterator
+from urllib.parse import quote
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from errata.functions.lexicon import NEXT_PAGE
+from errata.sources.html import read_page
 
 Fetch = Callable[[str], tuple[int, str]]
+Search = Callable[[str], str | None]
 Classify = Callable[[str], str | None]
+#: A page of search results, by quoted phrase and offset; each page has so many results.
+SEARCH_PAGE = "https://www.nrk.no/sok/?scope=nrkno&q=%s&from=%d"
+PAGE_STEP = 20
 RETRIES = 2
 PAUSE = 3.0
+#: Seconds to wait after each answer that the classifier takes no more requests, before asking again.
+WAITS = (60.0, 120.0, 180.0)
 #: An answer that says the classifier takes no more requests for now.
 RATE_LIMITED = "RATE_LIMITED"
 
@@ -67,9 +78,43 @@ def fetched_from(urls: DataFrame, pages: DataFrame) -> DataFrame:
     return joined.select("url", F.when(F.col("html").isNotNull(), 200).otherwise(404).alias("status"), "html", F.lit(None).cast("string").alias("error"))
 
 
-def classified(rows: DataFrame, prompt: str, classify: Classify, *, key: str = "url", delay: float = 0.0) -> DataFrame:
-    """key and response (text, or null if there is none). After a rate limit, the rest of a task's
-    rows are left unanswered, and so stay pending."""
+def searched(terms: DataFrame, search: Search, *, address: str = SEARCH_PAGE, pages: int | None = None, delay: float = 0.0) -> DataFrame:
+    """All columns of terms (term among them), page, offset and html of the result pages: of each term
+    from the first on, until one has no next page or cannot be had. `pages` is the most of a term."""
+    names = terms.columns
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, term in enumerate(batch.column("term").to_pylist()):
+                number, more = 0, term is not None
+                while more and (pages is None or number < pages):
+                    html = search(address % (quote(f'"{term}"'), number * PAGE_STEP))
+                    if html is None:
+                        break
+                    own = [batch.column(c).slice(i, 1) for c in names]
+                    yield pa.RecordBatch.from_arrays([*own, pa.array([number], pa.int32()), pa.array([number * PAGE_STEP], pa.int32()), pa.array([html])], [*names, "page", "offset", "html"])
+                    more = any(link["text"] == NEXT_PAGE for link in read_page(html)["links"])
+                    number += 1
+                    if delay:
+                        time.sleep(delay)
+
+    fields = [*terms.schema.fields, T.StructField("page", T.IntegerType()), T.StructField("offset", T.IntegerType()), T.StructField("html", T.StringType())]
+    return terms.mapInArrow(ask, T.StructType(fields))
+
+
+def _asked(classify: Classify, text: str, waits: tuple[float, ...], sleep) -> str | None:
+    """The answer; a rate limit is waited for, longer each time, before it is the answer."""
+    for wait in waits:
+        answer = classify(text)
+        if answer != RATE_LIMITED:
+            return answer
+        sleep(wait)
+    return classify(text)
+
+
+def classified(rows: DataFrame, prompt: str, classify: Classify, *, key: str = "url", delay: float = 0.0, waits: tuple[float, ...] = WAITS, sleep=time.sleep) -> DataFrame:
+    """key and response (text, or null if there is none). A rate limit is waited for; after the last
+    wait, the rest of a task's rows are left unanswered, and so stay pending. A null prompt has none."""
     names = [key, "response"]
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -77,7 +122,7 @@ def classified(rows: DataFrame, prompt: str, classify: Classify, *, key: str = "
         for batch in batches:
             answers = []
             for text in batch.column(prompt).to_pylist():
-                answer = None if stopped or text is None else classify(text)
+                answer = None if stopped or text is None else _asked(classify, text, waits, sleep)
                 stopped = stopped or answer == RATE_LIMITED
                 answers.append(None if answer == RATE_LIMITED else answer)
                 if delay and not stopped:

@@ -2,11 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import json
+import uuid
+from collections.abc import Iterator
+from datetime import date
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from errata.schema import CHECKPOINT_DDL, DEAD_LETTER_DDL, RAW_DDL, SITEMAP_DDL
 
+#: The file of a replaced table that names its current version.
+POINTER = "_CURRENT"
+
 
 def exists(spark: SparkSession, path: str) -> bool:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -21,10 +30,10 @@ def json_table(spark: SparkSession, path: str, schema: str = RAW_DDL, *, require
 
 
 def stored_table(spark: SparkSession, path: str, schema: str = RAW_DDL) -> DataFrame:
-    """The same, stored as Parquet."""
+    """The same, stored as Parquet: the current version, if the table is one that replace() writes."""
     if not exists(spark, path):
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(path)
+    return spark.read.schema(schema).parquet(_version(spark, path) or path)
 
 
 def dead_letters(spark: SparkSession, path: str) -> DataFrame:
@@ -40,30 +49,69 @@ def sitemap_index(spark: SparkSession, path: str) -> DataFrame:
     return _sitemap(spark, path, "sitemap")
 
 
-def sitemap_urls(spark: SparkSession, path: str) -> DataFrame:
-    return _sitemap(spark, path, "url")
+def sitemap_urls(spark: SparkSession, path: str, *, partitions: str = "") -> DataFrame:
+    """loc and lastmod of all sitemaps below path, and the columns that its folders name."""
+    return _sitemap(spark, path, "url", partitions)
 
 
-def _sitemap(spark: SparkSession, path: str, row: str) -> DataFrame:
-    return spark.read.format("xml").schema(SITEMAP_DDL).option("rowTag", row).load(path)
+def _sitemap(spark: SparkSession, path: str, row: str, partitions: str = "") -> DataFrame:
+    schema = f"{SITEMAP_DDL}, {partitions}" if partitions else SITEMAP_DDL
+    return spark.read.format("xml").schema(schema).option("rowTag", row).load(path)
 
 
 def pages_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def _files(spark: SparkSession, path: str):
+    """The file system of a path, and Hadoop's Path type."""
+    jpath = spark._jvm.org.apache.hadoop.fs.Path
+    return jpath(path).getFileSystem(spark._jsc.hadoopConfiguration()), jpath
+
+
+def _put(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file beside its place and move it there in one step, over what was there."""
+    fs, jpath = _files(spark, path)
+    side = jpath(f"{path}.{uuid.uuid4().hex}")
+    out = fs.create(side, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    options = spark._jvm.org.apache.hadoop.fs.Options.Rename
+    over = spark._sc._gateway.new_array(options, 1)
+    over[0] = options.OVERWRITE
+    spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration()).rename(side, jpath(path), over)
+
+
+def _version(spark: SparkSession, path: str) -> str | None:
+    """The folder of the current version of a replaced table, or null if there is none."""
+    fs, jpath = _files(spark, path)
+    pointer = jpath(f"{path}/{POINTER}")
+    if not fs.exists(pointer):
+        return None
+    data = fs.open(pointer)
+    name = spark._jvm.org.apache.commons.io.IOUtils.toString(data, "UTF-8")
+    data.close()
+    return f"{path}/{name}"
+
+
 def replace(df: DataFrame, path: str) -> None:
-    """Overwrite a Parquet table that df may itself be read from: write beside it, then swap."""
+    """Overwrite a table that df may itself be read from.
+
+    The rows go to a new folder of the table; then a pointer file is moved over the old one, in one
+    step. A reader finds the old version or the new one, a crash in between leaves the old. The
+    version before stays for those who read it still; older ones are deleted.
+    """
     spark = df.sparkSession
-    new, old = f"{path}.new", f"{path}.old"
-    df.write.mode("overwrite").parquet(new)
-    jpath = spark._jvm.org.apache.hadoop.fs.Path
-    fs = jpath(path).getFileSystem(spark._jsc.hadoopConfiguration())
-    fs.delete(jpath(old), True)
-    if fs.exists(jpath(path)):
-        fs.rename(jpath(path), jpath(old))
-    fs.rename(jpath(new), jpath(path))
-    fs.delete(jpath(old), True)
+    before = _version(spark, path)
+    name = f"version-{uuid.uuid4().hex}"
+    df.write.parquet(f"{path}/{name}")
+    _put(spark, f"{path}/{POINTER}", name)
+    fs, jpath = _files(spark, path)
+    keep = {name, before.rsplit("/", 1)[1] if before else name}
+    for status in fs.listStatus(jpath(path)):
+        own = status.getPath().getName()
+        if own.startswith("version-") and own not in keep:
+            fs.delete(status.getPath(), True)
 
 
 def export_json(df: DataFrame, path: str) -> None:
@@ -71,3 +119,33 @@ def export_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
+def write_array(df: DataFrame, path: str) -> None:
+    """df as JSON arrays, indented, with its null fields: an array for each part of df, in one file.
+    A part without rows is an empty array. json_table() reads them back."""
+
+    def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        opening = "["
+        for batch in batches:
+            for record in batch.column("record").to_pylist():
+                text = json.dumps(json.loads(record), indent=2, ensure_ascii=False)
+                yield pa.RecordBatch.from_arrays([pa.array([opening + "\n  " + text.replace("\n", "\n  ")])], ["value"])
+                opening = ","
+        yield pa.RecordBatch.from_arrays([pa.array(["[]" if opening == "[" else "]"])], ["value"])
+
+    records = df.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("record"))
+    records.mapInArrow(lines, "value string").write.mode("overwrite").text(path)
+
+
+def export_dated(df: DataFrame, folder: str, day: date, name: str = "rettelser") -> str:
+    """The full set as one JSON array in a folder that the date names; returns its path. One file is
+    the feature here: it is what a person downloads."""
+    path = f"{folder}/{name}-{day.isoformat()}.json"
+    write_array(df.coalesce(1), path)
+    return path
+
+
+def counting(df: DataFrame, name: str, **counts: Column) -> tuple[DataFrame, Observation]:
+    """df, and the counters of a run over it: `rows` and each condition's count. They can be read once
+    an action on df has ended, and cost no other pass."""
+    seen = Observation(name)
+    return df.observe(seen, F.count(F.lit(1)).alias("rows"), *[F.count_if(c).alias(n) for n, c in counts.items()]), seen

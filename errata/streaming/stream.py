@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from errata.functions.lexicon import NORWEGIAN, Lexicon
-from errata.operators.collect import records, unknown
+from errata.operators.collect import first_seen, records, unknown
 from errata.operators.extract import detect
 from errata.schema import RAW_DDL
 from errata.sources.html import parsed
@@ -24,12 +24,13 @@ def page_stream(spark: SparkSession, folder: str, schema: str = "page_id long, u
 
 def collect_stream(pages: DataFrame, target: str, checkpoint: str, *, source: str, ingested: datetime, lexicon: Lexicon = NORWEGIAN) -> StreamingQuery:
     """Append the corrections of new pages to the Parquet table at target, until all that is there is
-    read. A batch that is repeated after a failure adds nothing twice: its urls are then known."""
+    read. A batch that is repeated after a failure adds nothing twice: its urls are then known. Of the
+    table, a batch reads the urls alone."""
 
     def add(batch: DataFrame, _: int) -> None:
         spark = batch.sparkSession
         known = spark.read.schema(RAW_DDL).parquet(target) if exists(spark, target) else spark.createDataFrame([], RAW_DDL)
-        fresh = unknown(batch.select("url", "html").dropDuplicates(["url"]), known)
+        fresh = unknown(first_seen(batch.select("url", "html"), "url"), known)
         rows = records(detect(parsed(fresh), lexicon), source, ingested)
         full = spark.createDataFrame([], RAW_DDL).unionByName(rows, allowMissingColumns=True)
         full.write.mode("append").parquet(target)
@@ -46,6 +47,15 @@ def daily_counts(events: DataFrame, column: str = "ts", delay: str = "1 day") ->
     return windows.select(F.date_format("window.start", "yyyy-MM-dd").alias("day"), "n")
 
 
+def within(query: StreamingQuery, seconds: float) -> bool:
+    """Let a stream run for so long, and stop it then: whether it ended by itself. What it has done is
+    kept, and the next run goes on from there."""
+    ended = query.awaitTermination(seconds)
+    if not ended:
+        query.stop()
+    return bool(ended)
+
+
 def refreshed(view: DataFrame, refresh: Callable[[DataFrame, int], None], checkpoint: str, every: str = "30 minutes") -> StreamingQuery:
     """Call refresh on what is new, at a fixed interval."""
     return view.writeStream.foreachBatch(refresh).option("checkpointLocation", checkpoint).trigger(processingTime=every).start()
