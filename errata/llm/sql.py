@@ -54,15 +54,16 @@ SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesc
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN t USING (doc_id)
 """
 
+# Rows are told apart by a number, whatever their ids are.
 SUFFIXES = rf"""
-WITH d AS (SELECT doc_id, regexp_extract_all({LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents),
-r AS (SELECT doc_id, p, md5(array_to_string(w[p:p + 49], ' ')) AS run FROM d, unnest(range(1, len(w) - 48)) AS u(p)),
-s AS (SELECT run FROM r GROUP BY run HAVING min(doc_id) < max(doc_id)),
-f AS (SELECT doc_id, p, CASE WHEN p <= lag(p) OVER (PARTITION BY doc_id ORDER BY p) + 50 THEN 0 ELSE 1 END AS new FROM r JOIN s USING (run)),
-g AS (SELECT doc_id, p, sum(new) OVER (PARTITION BY doc_id ORDER BY p) AS span FROM f),
-e AS (SELECT doc_id, min(p) - 1 AS a, max(p) + 49 AS b FROM g GROUP BY doc_id, span),
-t AS (SELECT doc_id, sum(b - a)::BIGINT AS n, string_agg(a || ':' || b, ',' ORDER BY a) AS spans FROM e GROUP BY doc_id)
-SELECT d.doc_id, len(w)::BIGINT AS n_words, n AS n_repeated, spans FROM d JOIN t USING (doc_id)
+WITH d AS (SELECT row_number() OVER () AS n, doc_id, regexp_extract_all({LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+r AS (SELECT n, p, md5(array_to_string(w[p:p + 49], ' ')) AS run FROM d, unnest(range(1, len(w) - 48)) AS u(p)),
+s AS (SELECT run FROM r GROUP BY run HAVING min(n) < max(n)),
+f AS (SELECT n, p, CASE WHEN p <= lag(p) OVER (PARTITION BY n ORDER BY p) + 50 THEN 0 ELSE 1 END AS new FROM r JOIN s USING (run)),
+g AS (SELECT n, p, sum(new) OVER (PARTITION BY n ORDER BY p) AS span FROM f),
+e AS (SELECT n, min(p) - 1 AS a, max(p) + 49 AS b FROM g GROUP BY n, span),
+t AS (SELECT n, sum(b - a)::BIGINT AS covered, string_agg(a || ':' || b, ',' ORDER BY a) AS spans FROM e GROUP BY n)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, covered AS n_repeated, spans FROM d JOIN t USING (n)
 """
 
 ORACLE_SQL = {"op1_warc": warc.ORACLE_SQL, "op4_secrets": SECRETS, "op7_suffixes": SUFFIXES, "op9_decontamination": DECONTAMINATION}

@@ -61,9 +61,49 @@ def test_only_other_documents_count(documents):
 def test_later_keeps_one_copy(documents):
     text = " ".join(f"w{i}" for i in range(60))
     docs = documents([(1, "a " + text), (2, text + " b"), (3, "c c")]).coalesce(1)
-    later = {r.doc_id: [tuple(s) for s in r.later] for r in sx.passages(docs).collect()}
+    later = {r.doc_id: [tuple(s) for s in r.later] for r in sx.passages(docs, later=True).collect()}
     assert later == {1: [], 2: [(0, 60)], 3: []}
     assert sx.without(text + " b", later[2]) == " b"
+    assert {r.doc_id: r.text for r in sx.deduplicated(docs).collect()} == {1: "a " + text, 2: " b", 3: "c c"}
+
+
+def test_later_against_brute_force(documents):
+    rnd = random.Random(8)
+    passages = [[f"p{rnd.randrange(40)}" for _ in range(25)] for _ in range(4)]
+    rows = []
+    for i in range(60):
+        words = [f"w{rnd.randrange(400)}" for _ in range(rnd.randrange(20))]
+        for p in rnd.sample(passages, rnd.randrange(3)):
+            at, cut = rnd.randrange(len(words) + 1), rnd.randrange(12)
+            words[at:at] = p[cut:]
+        rows.append((i, " ".join(words)))
+    got = {r.doc_id: [tuple(s) for s in r.later] for r in sx.passages(documents(rows).coalesce(1), least=8, shingle=3, later=True).collect()}
+    seen = {}
+    for i, text in rows:
+        w = split(text)
+        for k in range(len(w) - 7):
+            seen.setdefault(tuple(w[k : k + 8]), i)
+    for i, text in rows:
+        w, spans = split(text), []
+        for k in range(len(w) - 7):
+            if seen[tuple(w[k : k + 8])] < i:
+                if spans and k <= spans[-1][1]:
+                    spans[-1] = (spans[-1][0], k + 8)
+                else:
+                    spans.append((k, k + 8))
+        assert got[i] == spans
+
+
+def test_maximal_lengths(documents):
+    """A passage longer than the window, among other words, comes back at its full length, also where
+    it agrees with one document to the left and with another to the right."""
+    rnd = random.Random(3)
+    shared = [f"s{i}" for i in range(700)]
+    own = lambda n: [f"o{rnd.random()}" for _ in range(n)]
+    rows = [(1, " ".join(own(30) + shared + own(9))), (2, " ".join(own(11) + shared + own(70))), (3, " ".join(own(5) + shared[100:149] + own(5)))]
+    rows += [(4, " ".join(own(60) + shared[200:300] + own(3))), (5, " ".join(shared[:30] + own(80) + shared[650:]))]
+    got = {r.doc_id: r.spans for r in sx.report(documents(rows)).collect()}
+    assert got == {1: "30:730", 2: "11:711", 4: "60:160", 5: "110:160"}
 
 
 def test_rolling_and_minimisers():
