@@ -15,6 +15,7 @@ import re
 from collections.abc import Iterator
 from difflib import SequenceMatcher
 from functools import lru_cache
+from typing import NamedTuple
 
 import pyarrow as pa
 import zstandard
@@ -37,6 +38,17 @@ def _words(text: str) -> list[tuple[str, int, int]]:
     return [(m[0].lower(), *m.span()) for m in WORD.finditer(text)]
 
 
+class Hit(NamedTuple):
+    """A template's place in characters, its number of differing words, its saving, and these words."""
+
+    name: str
+    start: int
+    end: int
+    differences: int
+    saving: float
+    wording: str
+
+
 class Scanner:
     def __init__(self, templates: dict[str, str]):
         self.words = {k: [w for w, _, _ in _words(v)] for k, v in templates.items()}
@@ -106,13 +118,13 @@ class Scanner:
         differences = (len(wanted) - inside) + (span - inside)
         return (first + runs[0].a, first + runs[-1].a + runs[-1].size - 1, differences) if differences <= most else None
 
-    def scan(self, text: str | None) -> list[tuple[str, int, int, int, float]]:
-        """(template, start, end, differing words, saving) of the confirmed templates, in order.
+    def scan(self, text: str | None) -> list[Hit]:
+        """The confirmed templates, in the order of their places.
 
-        All places of a template in a block are found, the best first; a shorter template inside a
-        longer one that is confirmed is left out.
+        All places of a template in a block are found, the best first; of templates that overlap
+        that stays which has the most words but for its differences.
         """
-        found: list[tuple[str, int, int, int, float]] = []
+        found: list[Hit] = []
         for names, start, end in ((n, *b) for r, n in self.tiers.items() for b in self.blocks(text or "", r)):
             block = text[start:end]
             words = _words(block)
@@ -120,14 +132,23 @@ class Scanner:
                 rest = words
                 while hit := self.wording(name, rest):
                     first, last, differences = hit
-                    found.append((name, start + rest[first][1], start + rest[last][2], differences, saving))
+                    found.append(Hit(name, start + rest[first][1], start + rest[last][2], differences, saving, self.wanting(name, rest[first : last + 1])))
                     rest = rest[:first] + [("\0", 0, 0)] + rest[last + 1 :]
-        found.sort(key=lambda x: (x[3], -(x[2] - x[1]), x[1], x[0]))
-        out: list[tuple[str, int, int, int, float]] = []
+        found.sort(key=lambda x: (x.differences - len(self.words[x.name]), x.start, x.name))
+        out: list[Hit] = []
         for hit in found:
-            if not any(hit[1] < b and a < hit[2] for _, a, b, _, _ in out):
+            if not any(hit.start < o.end and o.start < hit.end for o in out):
                 out.append(hit)
-        return sorted(out, key=lambda x: x[1])
+        return sorted(out, key=lambda x: x.start)
+
+    def wanting(self, name: str, words: list[tuple[str, int, int]]) -> str:
+        """The differences in wording: -words that the template has and the place has not, +words the other way."""
+        wanted, own = self.words[name], [w for w, _, _ in words]
+        out = []
+        for tag, a, b, c, d in SequenceMatcher(None, wanted, own, autojunk=False).get_opcodes():
+            if tag != "equal":
+                out += [f"-{w}" for w in wanted[a:b]] + [f"+{w}" for w in own[c:d]]
+        return " ".join(out)
 
 
 @lru_cache(maxsize=4)
@@ -136,18 +157,18 @@ def _scanner(templates: tuple[tuple[str, str], ...]) -> Scanner:
 
 
 def scan(documents: DataFrame, *, templates: dict[str, str] | None = None) -> DataFrame:
-    """Per document row: doc_id and its licenses (name, start, end in characters, differences, saving).
+    """Per document row: doc_id and its licenses (name, start, end in characters, differences, saving, wording).
 
     Null, empty and unlicensed texts have none. Repeated rows give repeated results.
     """
     chosen = tuple(sorted((TEMPLATES if templates is None else templates).items()))
-    kind = T.ArrayType(T.StructType([T.StructField("name", T.StringType()), T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType()), T.StructField("differences", T.IntegerType()), T.StructField("saving", T.DoubleType())]))
-    arrow = pa.list_(pa.struct([("name", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("differences", pa.int32()), ("saving", pa.float64())]))
+    kind = T.ArrayType(T.StructType([T.StructField("name", T.StringType()), T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType()), T.StructField("differences", T.IntegerType()), T.StructField("saving", T.DoubleType()), T.StructField("wording", T.StringType())]))
+    arrow = pa.list_(pa.struct([("name", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("differences", pa.int32()), ("saving", pa.float64()), ("wording", pa.string())]))
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             scanner = _scanner(chosen)
-            rows = [[dict(zip(("name", "start", "end", "differences", "saving"), hit, strict=True)) for hit in scanner.scan(t)] for t in batch.column("text").to_pylist()]
+            rows = [[hit._asdict() for hit in scanner.scan(t)] for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(rows, arrow)], ["doc_id", "licenses"])
 
     slim = documents.select("doc_id", "text")
@@ -155,11 +176,14 @@ def scan(documents: DataFrame, *, templates: dict[str, str] | None = None) -> Da
 
 
 def report(documents: DataFrame) -> DataFrame:
-    """Per document row: doc_id, n_licenses, names (sorted, each once) and spans name:start:end."""
+    """Per document row: doc_id, n_licenses, names (sorted, each once), spans name:start:end, the number
+    of differing words in all, and for each licence that has any its name and these words."""
     found = F.col("licenses")
     return scan(documents).select(
         "doc_id",
         F.size(found).cast("long").alias("n_licenses"),
         F.array_join(F.array_sort(F.array_distinct(found["name"])), ",").alias("names"),
         F.array_join(F.transform(found, lambda x: F.concat_ws(":", x["name"], x["start"], x["end"])), ",").alias("spans"),
+        F.aggregate(found, F.lit(0), lambda n, x: n + x["differences"]).cast("long").alias("n_differences"),
+        F.array_join(F.transform(F.filter(found, lambda x: x["differences"] > 0), lambda x: F.concat_ws(" ", x["name"], x["wording"])), "; ").alias("differences"),
     )

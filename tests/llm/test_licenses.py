@@ -53,3 +53,42 @@ def test_a_partial_quotation_hides_no_copy():
     words = TEMPLATES["MIT"].split()
     edited = [f"changed{i}" if i in (20, 40, 60) else w for i, w in enumerate(words)]
     assert names("They quote " + " ".join(words[8:50]) + " and more of it. " + "Then other words come. " * 6 + " ".join(edited)) == ["MIT"]
+
+
+def plain_scan(text):
+    """Every template at every run of words as long as it is, without compression: those whose words
+    differ least from it, by the longest common subsequence, within the share."""
+    words = [w for w, _, _ in licenses._words(text)]
+    found = set()
+    for name, template in TEMPLATES.items():
+        wanted = [w for w, _, _ in licenses._words(template)]
+        most = int(licenses.DIFFERENCES * len(wanted))
+        for at in range(len(words)):
+            for size in range(len(wanted) - most, len(wanted) + most + 1):
+                own = words[at : at + size]
+                row = [0] * (len(wanted) + 1)
+                for w in own:
+                    before = row[:]
+                    for k, v in enumerate(wanted, 1):
+                        row[k] = before[k - 1] + 1 if v == w else max(row[k - 1], before[k])
+                if len(own) == size and len(wanted) + size - 2 * row[-1] <= most:
+                    found.add(name)
+    return found
+
+
+def test_against_a_plain_scan():
+    """Each text's templates are those of a scan of everything, but for those inside a longer one."""
+    short = [n for n, t in TEMPLATES.items() if len(t) < 120]
+    inside = {"Apache-2.0-notice", "GPL-3.0-notice", "GPL-2.0-notice", "CC-BY-4.0-sentence", "CC-BY-SA-4.0-sentence"}
+    texts = [TEMPLATES[a] + " Then more follows. " + TEMPLATES[b] for a, b in zip(short, short[1:], strict=False)]
+    texts += ["Licensed under the Apache License 2.0.", "All rights kept.", "Released by us under the MIT License.", "no licence here", "permission for all rights reserved"]
+    for text in texts:
+        got, want = set(names(text)), plain_scan(text)
+        assert got <= want and want - got <= inside, text
+
+
+def test_longer_template_and_its_wording():
+    changed = TEMPLATES["Apache-2.0-header"].replace("compliance", "accordance")
+    (hit,) = licenses.Scanner(TEMPLATES).scan(changed)
+    assert (hit.name, hit.differences, hit.wording) == ("Apache-2.0-header", 2, "-compliance +accordance")
+    assert names(TEMPLATES["BSD-3-Clause"]) == ["BSD-3-Clause"]
