@@ -5,16 +5,17 @@ blob, which rule versions have scanned it and the spans they found. A scan takes
 and rule version that the ledger lacks, reads one copy of each such blob, and joins the findings
 back to all paths. Everything runs in Spark's own expressions.
 
-Scale: copies are reduced to one before their text is moved; the text is dealt by blob and path
-together, so that a blob with very many copies does not meet in one task; the join back is on rows
-without text, of which Spark splits a large blob.
+Scale: rows that repeat path and text are reduced to one before their text is moved; the text is dealt
+by blob and path together, so that a blob of very many paths does not meet in one task; the join back
+is on rows without text, of which Spark splits a large blob. What is put together in a text with very
+many matches grows with their number.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from errata.llm.common import text_or_empty, written
@@ -46,6 +47,8 @@ ADDED = (
     Rule("pem", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----"),
 )
 RULES = BASE + ADDED
+#: Spans that are put together at once.
+BLOCK = 256
 SPANS = "array<struct<start:int,kind:int,end:int>>"
 LEDGER = f"blob binary, scanned map<string,{SPANS}>"
 
@@ -59,48 +62,88 @@ def spans_of(text: Column, rule: Rule, number: int) -> Column:
         F.transform(F.regexp_extract_all(text, pattern, F.lit(0)), F.length).alias("size"),
         F.transform(F.regexp_extract_all(text, pattern, F.lit(rule.group)), F.length).alias("own"),
     )
-    nothing = F.array().cast(SPANS)
 
-    def step(done: Column, part: Column) -> Column:
-        start = done["at"] + part["gap"]
+    def step(at: Column, part: Column) -> tuple[Column, Column, Column]:
+        start = at + part["gap"]
         end = start + part["size"]
-        one = F.array(F.struct(start.alias("start"), F.lit(number).alias("kind"), end.alias("end")))
-        return F.struct(end.alias("at"), F.when(part["own"] >= rule.least, F.concat(done["out"], one)).otherwise(done["out"]).alias("out"))
+        return end, part["own"] >= rule.least, F.struct(start.alias("start"), F.lit(number).alias("kind"), end.alias("end"))
+
+    return F.when(text.rlike(rule.pattern), carried(parts, step, SPANS)).otherwise(F.array().cast(SPANS))
+
+
+def carried(items: Column, step, kind: str) -> Column:
+    """The values that step(number carried, item) = (number, whether to keep, value) keeps, of the
+    array kind. Items are taken in blocks, so that the work grows with their number and not with its
+    square, as it would if an array were copied for every item."""
+    nothing = F.array().cast(kind)
+    count = F.ceil(F.size(items) / BLOCK).cast("int")
+    blocks = F.transform(F.filter(F.sequence(F.lit(0), count), lambda b: b < count), lambda b: F.slice(items, b * BLOCK + 1, F.lit(BLOCK)))
+
+    def one(done: Column, item: Column) -> Column:
+        at, keep, value = step(done["at"], item)
+        return F.struct(at.alias("at"), F.when(keep, F.concat(done["out"], F.array(value))).otherwise(done["out"]).alias("out"))
+
+    def block(done: Column, own: Column) -> Column:
+        inner = F.aggregate(own, F.struct(done["at"].alias("at"), nothing.alias("out")), one)
+        return F.get(F.transform(F.array(inner), lambda i: F.struct(i["at"].alias("at"), F.concat(done["out"], F.array(i["out"])).alias("out"))), F.lit(0))
+
+    start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{kind}>").alias("out"))
+    return F.flatten(F.aggregate(blocks, start, block, lambda done: done["out"]))
+
+
+def addressed(paths: DataFrame, key: str, text: str, version: str | None = None) -> DataFrame:
+    """path, (version,) blob, spot (a number of the path) and text of every row."""
+    more = [F.col(version).alias("version")] if version else []
+    return paths.select(F.col(key).alias("path"), *more, F.unhex(F.sha2(text_or_empty(text), 256)).alias("blob"), F.xxhash64(F.col(key)).alias("spot"), text_or_empty(text).alias("text"))
+
+
+def empty_ledger(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([], LEDGER)
+
 
-    start = F.struct(F.lit(0).alias("at"), nothing.alias("out"))
-    found = F.aggregate(parts, start, step, lambda done: done["out"])
-    return F.when(text.rlike(rule.pattern), found).otherwise(nothing)
+def load_ledger(spark: SparkSession, path: str) -> DataFrame:
+    """The ledger that save_ledger() wrote last, or an empty one."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(target):
+        return empty_ledger(spark)
+    runs = sorted(s.getPath().getName() for s in files.listStatus(target) if files.exists(spark._jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS")))
+    return spark.read.schema(LEDGER).parquet(f"{path}/{runs[-1]}") if runs else empty_ledger(spark)
 
 
-def addressed(paths: DataFrame, key: str, text: str) -> DataFrame:
-    return paths.select(F.col(key).alias("path"), F.unhex(F.sha2(text_or_empty(text), 256)).alias("blob"), text_or_empty(text).alias("text"))
+def save_ledger(ledger: DataFrame, path: str, run: str) -> None:
+    """Keep the ledger of a run, named so that later runs sort behind it. A run that breaks off leaves
+    no _SUCCESS and is not read."""
+    ledger.write.parquet(f"{path}/{run}")
 
 
-def update(paths: DataFrame, ledger: DataFrame | None = None, *, key: str = "doc_id", text: str = "text", rules: tuple[Rule, ...] = RULES) -> tuple[DataFrame, DataFrame]:
-    """(path and blob of every row, the ledger after scanning what it lacked).
+def update(paths: DataFrame, ledger: DataFrame | None = None, *, key: str = "doc_id", text: str = "text", version: str | None = None, rules: tuple[Rule, ...] = RULES) -> tuple[DataFrame, DataFrame]:
+    """(path, version if there is one, and blob of every row; the ledger after scanning what it lacked).
 
-    Null text is the empty blob. Any number of rows may have the same path (versions) or text.
-    Without rows the ledger stays as it was. A null path counts as a path.
+    Null text is the empty blob. Any number of rows may have the same path (its versions) or text;
+    rows that repeat both are scanned once. Without rows the ledger stays as it was. A null path
+    counts as a path.
     """
     spark = paths.sparkSession
     if ledger is None:
-        ledger = spark.createDataFrame([], LEDGER)
+        ledger = empty_ledger(spark)
     ledger = written(ledger.select("blob", "scanned"), "ledger")
-    all_texts = addressed(paths, key, text)
-    known = written(all_texts.select("path", "blob"), "paths")
+    all_texts = addressed(paths, key, text, version)
+    known = written(all_texts.drop("text"), "paths")
     names = F.array(*[F.lit(r.name) for r in rules])
-    todo = known.groupBy("blob").agg(F.min("path").alias("chosen"))
+    todo = known.groupBy("blob").agg(F.min("spot").alias("spot"))
     if ledger.isEmpty():
         todo = todo.withColumn("lacking", names)
     else:
         seen = F.coalesce(F.map_keys("scanned"), F.array().cast("array<string>"))
-        todo = todo.join(ledger, "blob", "left").select("blob", "chosen", F.array_except(names, seen).alias("lacking")).filter("size(lacking) > 0")
-    todo = todo.withColumnRenamed("blob", "todo_blob").hint("shuffle_hash")
-    texts = all_texts.join(todo, (F.col("blob") == F.col("todo_blob")) & F.col("path").eqNullSafe(F.col("chosen")))
+        todo = todo.join(ledger, "blob", "left").select("blob", "spot", F.array_except(names, seen).alias("lacking")).filter("size(lacking) > 0")
+    # One text of each blob and path, repeats being dropped before texts are moved.
+    texts = all_texts.groupBy("blob", "spot").agg(F.first("text").alias("text")).join(todo.hint("shuffle_hash"), ["blob", "spot"])
     body = F.col("text")
     entries = [F.struct(F.lit(r.name).alias("key"), F.when(F.array_contains("lacking", r.name), spans_of(body, r, i)).alias("value")) for i, r in enumerate(rules)]
     scanned = texts.select("blob", F.map_from_entries(F.filter(F.array(*entries), lambda e: e["value"].isNotNull())).alias("scanned"))
     new = written(scanned.groupBy("blob").agg(F.first("scanned").alias("scanned")), "scanned")
+    known = known.drop("spot")
     if ledger.isEmpty():
         return known, new
     old = ledger.withColumnRenamed("scanned", "before")
@@ -137,14 +180,12 @@ def report(known: DataFrame, ledger: DataFrame, rules: tuple[Rule, ...] = RULES)
 
 def redacted(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
     """The text with each span (overlapping ones together) replaced by the mark."""
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
-    def step(done: Column, s: Column) -> Column:
-        gap = F.substring(text, done["at"] + 1, s["start"] - done["at"])
-        more = F.when(s["start"] >= done["at"], F.concat(done["out"], gap, F.lit(mark))).otherwise(done["out"])
-        return F.struct(F.greatest(done["at"], s["end"]).alias("at"), more.alias("out"))
+    def step(at: Column, s: Column) -> tuple[Column, Column, Column]:
+        return F.greatest(at, s["end"]), s["start"] >= at, F.substring(text, at + 1, s["start"] - at)
 
-    return F.aggregate(spans, start, step, lambda done: F.concat(done["out"], F.substring(text, done["at"] + 1, F.length(text))))
+    end = F.array_max(F.transform(spans, lambda s: s["end"]))
+    return F.array_join(F.concat(carried(spans, step, "array<string>"), F.array(F.substring(text, end + 1, F.length(text)))), mark)
 
 
 def redact(documents: DataFrame, *, rules: tuple[Rule, ...] = RULES) -> DataFrame:

@@ -4,6 +4,8 @@ import re
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import functions as F
+
 from errata.llm import secrets
 
 PATTERNS = {r.kind: re.compile(r.pattern) for r in secrets.RULES}
@@ -71,3 +73,26 @@ def test_run_patterns_equal_filters(text):
     for pattern, plain, least in ((r"AKIA[A-Z0-9]{16,}", r"AKIA[A-Z0-9]+", 20), (r"[0-9a-f]{24,}", r"[0-9a-f]+", 24)):
         longer = text * 3
         assert [m.span() for m in re.finditer(pattern, longer)] == [m.span() for m in re.finditer(plain, longer) if len(m[0]) >= least]
+
+
+def test_many_matches_in_a_text(documents):
+    text = " ".join(f"é token=abcdef{i:04} {'f' * 24}" for i in range(1500))
+    docs = documents([(1, text), (1, text), (None, text)])
+    (row, *_), spans = secrets.report(*secrets.update(docs)).collect(), brute(text)
+    assert (row.n_assign, row.n_hex, row.spans) == (1500, 1500, shown(spans, PATTERNS))
+    out = {r.text for r in secrets.redact(docs).collect()}
+    assert out == {" ".join(["é [SECRET] [SECRET]"] * 1500)}
+
+
+def test_versions_and_a_kept_ledger(spark, documents, tmp_path):
+    """Each version of a path keeps its own row; a later run scans what no run before has."""
+    folder = f"file://{tmp_path}/ledger"
+    first = documents([(1, "password=hunter22"), (1, "x"), (2, "x")]).withColumn("version", F.monotonically_increasing_id())
+    known, ledger = secrets.update(first, secrets.load_ledger(spark, folder), version="version")
+    assert known.columns == ["path", "version", "blob"] and known.count() == 3 and ledger.count() == 2
+    secrets.save_ledger(ledger, folder, "run-1")
+    marked = secrets.load_ledger(spark, folder).withColumn("scanned", F.transform_values("scanned", lambda k, v: F.slice(v, 1, 0)))
+    secrets.save_ledger(marked, folder, "run-2")
+    known, ledger = secrets.update(documents([(3, "password=hunter22"), (4, "token=abcdefg")]), secrets.load_ledger(spark, folder))
+    got = {r.doc_id: r.n_assign for r in secrets.report(known, ledger).collect()}
+    assert got == {3: 0, 4: 1}  # what the kept ledger says of a blob is believed, and not scanned again
