@@ -5,10 +5,11 @@ words. Documents stream through it: for every word the automaton gives the lengt
 suffix read so far that occurs in some item. Where that length reaches the window, the words of
 the window are hit. An item shorter than the window counts as a window of its own.
 
-Scale: documents are never shuffled. The automaton is broadcast, and its size is checked: items
-are dealt into blocks of at most `block_words` words (on the driver only their lengths are summed,
-block by block), and each block scans the documents once. An item longer than a block is cut into
-overlapping parts, so that no window is lost. The hits of the blocks are then merged per document.
+Scale: documents are never shuffled and are read once. Automata are broadcast, and their size is
+checked: items are dealt, as the driver reads them one by one, into blocks of at most `block_words`
+words. A worker takes the blocks one after the other for each CHUNK of texts, holds one at a time, and
+merges their hits where the texts are. An item longer than a block is cut into overlapping parts, so
+that no window is lost.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from errata.llm.common import mapped, written
+from errata.llm.common import mapped
 
 #: A word before lower-casing.
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
@@ -31,6 +32,8 @@ BYTES = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or chr(c).isalnum() els
 WINDOW = 10
 #: About 400 bytes of a Python worker's memory for each word.
 BLOCK_WORDS = 150_000
+#: Bytes of texts for which a worker takes all blocks in turn, if there are several.
+CHUNK = 16 << 20
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -201,57 +204,72 @@ FOUND = T.StructType(
 FOUND_ARROW = (pa.int64(), pa.list_(pa.int32()), pa.list_(pa.string()), pa.int64())
 
 
-def _scan_block(documents: DataFrame, automaton: SuffixAutomaton, ids: list[str], then=None, schema: T.StructType | None = None) -> DataFrame:
-    """documents with the columns of FOUND; or what `then` makes of such a batch, with its schema."""
-    shared = documents.sparkSession.sparkContext.broadcast((automaton, ids))
+def _merge_spans(pairs: list[list[int]]) -> list[list[int]]:
+    out: list[list[int]] = []
+    for start, end in sorted(pairs):
+        if out and start <= out[-1][1]:
+            out[-1][1] = max(out[-1][1], end)
+        else:
+            out.append([start, end])
+    return out
 
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        machine, names = shared.value
-        for batch in batches:
-            rows = []
-            for text in batch.column("text").to_pylist():
-                words = words_of(text)
-                spans, found, longest = machine.scan(words)
-                rows.append((len(words), list(chain.from_iterable(spans)), sorted({names[i] for i in found}), longest))
-            added = [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(FOUND_ARROW)]
-            out = pa.RecordBatch.from_arrays([*batch.columns, *added], [*batch.schema.names, *FOUND.names])
-            yield then(out) if then else out
 
-    return mapped(documents, scan, schema or T.StructType([*documents.schema.fields, *FOUND.fields]))
+def _machine(shared):
+    """A broadcast block of a pass; what a worker held of the block before is let go."""
+    for other in list(_HELD):
+        if other is not shared:
+            vars(other).pop("_value", None)
+            _HELD.remove(other)
+    _HELD.append(shared)
+    return shared.value
 
 
-def _merge_spans(pairs: list[tuple[int, int]]) -> list[int]:
-    out: list[int] = []
-    for start, end in sorted(pairs):
-        if out and start <= out[-1]:
-            out[-1] = max(out[-1], end)
-        else:
-            out += [start, end]
-    return out
+#: The broadcast that a worker holds the automaton of, while there are several.
+_HELD: list = []
+
+
+def _found(texts: list[list[str | None]], blocks: list) -> Iterator[list[tuple]]:
+    """For each list of texts (n_words, flat spans, items, longest) over all blocks, one after the other."""
+    words = [[words_of(t) for t in part] for part in texts]
+    spans, items, longest = ([[first() for _ in part] for part in words] for first in (list, set, int))
+    for shared in blocks:
+        machine, names = _machine(shared)
+        for p, part in enumerate(words):
+            for i, own in enumerate(part):
+                hit, found, most = machine.scan(own)
+                spans[p][i] += hit
+                items[p][i].update(names[n] for n in found)
+                longest[p][i] = max(longest[p][i], most)
+    for p, part in enumerate(words):
+        merged = (s if len(blocks) < 2 else _merge_spans(s) for s in spans[p])
+        yield [(len(w), list(chain.from_iterable(s)), sorted(x), n) for w, s, x, n in zip(part, merged, items[p], longest[p], strict=True)]
 
 
 def _scan(documents: DataFrame, benchmark: DataFrame, item_key: str, window: int, block_words: int, then=None, schema: T.StructType | None = None) -> DataFrame:
-    """documents, all columns, with those of FOUND over all blocks; or what `then` makes of them."""
-    blocks = blocks_of(benchmark, item_key, window, block_words)
-    first, second = next(blocks, ([], [])), next(blocks, None)
-    if second is None:
-        return _scan_block(documents, SuffixAutomaton(first[1], window), first[0], then, schema)
-    # The rows get numbers, in a file, so that repeated ids stay apart and their hits can be merged.
-    numbered = written(documents.withColumn("errata_row", F.monotonically_increasing_id()), "decontaminate")
-    slim = numbered.select("errata_row", "text")
-    united = None
-    for ids, parts in chain([first, second], blocks):
-        part = _scan_block(slim, SuffixAutomaton(parts, window), ids).drop("text")
-        united = part if united is None else united.unionByName(part)
-    merge = F.udf(lambda lists: _merge_spans([p for x in lists for p in zip(x[::2], x[1::2], strict=True)]), "array<int>")
-    merged = united.groupBy("errata_row").agg(
-        F.first("errata_n_words").alias("errata_n_words"),
-        merge(F.collect_list("errata_spans")).alias("errata_spans"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("errata_items")))).alias("errata_items"),
-        F.max("errata_longest").alias("errata_longest"),
-    )
-    joined = numbered.join(merged, "errata_row").drop("errata_row")
-    return mapped(joined, lambda batches: map(then, batches), schema) if then else joined
+    """documents, all columns, with those of FOUND over all blocks; or what `then` makes of such a batch,
+    with its schema. Documents are read once, whatever the number of blocks."""
+    context = documents.sparkSession.sparkContext
+    blocks = [context.broadcast((SuffixAutomaton(parts, window), ids)) for ids, parts in blocks_of(benchmark, item_key, window, block_words)]
+    together = CHUNK if len(blocks) > 1 else 0
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+
+        def out() -> Iterator[pa.RecordBatch]:
+            for batch, rows in zip(held, _found([b.column("text").to_pylist() for b in held], blocks), strict=True):
+                added = [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(FOUND_ARROW)]
+                found = pa.RecordBatch.from_arrays([*batch.columns, *added], [*batch.schema.names, *FOUND.names])
+                yield then(found) if then else found
+
+        for batch in batches:
+            held.append(batch)
+            size += batch.nbytes
+            if size > together:
+                yield from out()
+                held, size = [], 0
+        yield from out()
+
+    return mapped(documents, scan, schema or T.StructType([*documents.schema.fields, *FOUND.fields]))
 
 
 def scan_documents(documents: DataFrame, benchmark: DataFrame, *, key: str = "doc_id", item_key: str = "item_id", window: int = WINDOW, block_words: int = BLOCK_WORDS) -> DataFrame:

@@ -60,3 +60,14 @@ def test_removal(spark, documents, block):
     assert out[1].n_chars == len(out[1].text)
     assert (out[3].text, out[4].text, out[4].n_chars, out[1].key) == ("clean", None, None, "k")
     assert dc.decontaminate(docs, benchmark, block_words=block).columns == docs.columns
+
+
+def test_very_long_text_and_many_blocks(spark, documents, monkeypatch):
+    """All blocks in turn over chunks of texts: hits of several blocks are merged where the text is."""
+    monkeypatch.setattr(dc, "CHUNK", 1)
+    items = [(i, " ".join(f"w{k}" for k in range(8 * i, 8 * i + 20))) for i in range(30)]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    long = "so it goes " * 60_000 + " ".join(f"W{k}" for k in range(300)) + " and on " * 60_000
+    rows = [(1, long), (2, "w8 w9"), (3, None)]
+    got = {r.doc_id: (r.n_words, r.spans, len(r.items)) for r in dc.scan_documents(documents(rows), benchmark, block_words=45).collect()}
+    assert got == {1: (300_300, [180_000, 180_252], 30), 2: (2, [], 0), 3: (0, [], 0)}
