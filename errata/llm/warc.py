@@ -24,7 +24,10 @@ from pyspark.sql import functions as F
 from errata.llm.common import mapped, scratch_path, table, written
 
 LEAST_BYTES = 1000
-RECORDS_PER_FILE = 500
+#: A file has at most so many records, and fewer if the longest payload times them is over so many bytes.
+RECORDS_PER_FILE, FILE_BYTES = 500, 256 << 20
+#: Bytes that are unpacked at once, and of payloads that a batch of records holds, about.
+UNPACKED, BATCH_BYTES = 1 << 20, 32 << 20
 DATE = "1970-01-01T00:00:00Z"
 END = "\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -69,6 +72,11 @@ def _record(kind: Column, payload: Column, size: Column, original: Column | None
     return F.concat(*lines, F.lit(END), head, body).alias("value")
 
 
+def per_file(longest: int | None, most: int = RECORDS_PER_FILE) -> int:
+    """Records of a file, given the bytes of the longest payload."""
+    return max(1, min(most, FILE_BYTES // max(1, longest or 1)))
+
+
 def _write(records: DataFrame, path: str, records_per_file: int) -> None:
     records.write.option("lineSep", END + END).option("compression", "gzip").option("maxRecordsPerFile", records_per_file).text(path)
 
@@ -79,45 +87,85 @@ def write_archive(pages: DataFrame, path: str, *, records_per_file: int = RECORD
     Repeated rows get records of their own. A null page_id or url leaves its header out.
     """
     payload = F.coalesce(F.col("html"), F.lit(""))
+    records_per_file = per_file(pages.agg(F.max(F.octet_length("html"))).first()[0], records_per_file)
     number = F.sha1(F.concat_ws(":", F.monotonically_increasing_id(), F.coalesce(F.col("page_id").cast("string"), F.lit(""))))
     parts = [F.substring(number, a, n) for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]
     rows = pages.select("page_id", "url", payload.alias("html"), F.concat_ws("-", *parts).alias("record_id"), F.sha1(payload.cast("binary")).alias("payload_digest"))
     _write(rows.select(_record(F.lit("response"), F.col("html"), F.octet_length("html"))), path, records_per_file)
 
 
-def _parse(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """(headers, block) of each record, by the lengths that the records state."""
+def _unpacked(data: bytes) -> Iterator[bytes]:
+    """The content of a gzip file of any number of members, in pieces of at most UNPACKED bytes."""
+    member, begun = zlib.decompressobj(GZIP), False
+    for at in range(0, len(data), UNPACKED):
+        rest = data[at : at + UNPACKED]
+        while rest:
+            begun = True
+            if piece := member.decompress(rest, UNPACKED):
+                yield piece
+            rest = member.unconsumed_tail
+            if member.eof:
+                rest, begun = member.unused_data, False
+                member = zlib.decompressobj(GZIP)
+    if begun:
+        if piece := member.flush():
+            yield piece
+        if not member.eof:
+            raise EOFError("the archive ends within a member")
+
+
+def _parse(pieces: Iterator[bytes]) -> Iterator[tuple[dict[str, str], bytes]]:
+    """(headers, block) of each record, by the lengths that the records state; one is held at a time."""
+    held = bytearray()
     at = 0
-    while at < len(data):
-        stop = data.index(b"\r\n\r\n", at)
-        first, *lines = data[at:stop].decode().split(END)
+
+    def fill(until) -> bool:
+        nonlocal held, at
+        while not until():
+            piece = next(pieces, None)
+            if piece is None:
+                return False
+            if at:
+                del held[:at]
+                at = 0
+            held += piece
+        return True
+
+    while fill(lambda: at < len(held)):
+        if not fill(lambda: held.find(b"\r\n\r\n", at) >= 0):
+            raise ValueError("an archive ends within a record's headers")
+        stop = held.find(b"\r\n\r\n", at)
+        first, *lines = held[at:stop].decode().split(END)
         if not first.startswith("WARC/"):
-            raise ValueError(f"no record begins at byte {at}")
+            raise ValueError("no record begins where the one before ends")
         headers = {k.lower(): v for k, v in (x.split(": ", 1) for x in lines)}
-        block = data[stop + 4 : stop + 4 + int(headers["content-length"])]
-        at = stop + 4 + len(block) + 4
+        size = int(headers["content-length"])
+        at = stop + 4
+        if not fill(lambda size=size: len(held) - at >= size + 4):
+            raise ValueError("an archive ends within a record")
+        block = bytes(held[at : at + size])
+        at += size + 4
         yield headers, block
 
 
-def _unpacked(data: bytes) -> bytes:
-    out = []
-    while data:
-        member = zlib.decompressobj(GZIP)
-        out.append(member.decompress(data))
-        data = member.unused_data
-    return b"".join(out)
-
-
 def read_records(spark: SparkSession, path: str, *, with_payload: bool = False) -> DataFrame:
     """The records of an archive: the columns of HEADERS, and the payload as a string if asked for.
 
     An archive without files gives no rows. A revisit's length and digest are those of its payload.
+    Missing ids and addresses are null; an empty payload is the empty string. Of a file, the packed
+    bytes, a record and a batch of payloads are held at a time.
     """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = [pa.string()] * 4 + [pa.int64()] + [pa.string()] * (4 if with_payload else 3)
+        names = [x.split()[0] for x in HEADERS.split(", ")] + ["payload"] * with_payload
+
+        def out(rows: list) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names)
+
         for batch in batches:
             for content in batch.column("content"):
-                rows = []
+                rows, size = [], 0
                 for headers, block in _parse(_unpacked(content.as_py())):
                     get = headers.get
                     row = [get("warc-record-id", "")[10:-1], get("warc-page-id"), get("warc-target-uri"), get("warc-type"), int(headers["warc-payload-length"]), headers["warc-payload-digest"].removeprefix("sha1:")]
@@ -125,9 +173,11 @@ def read_records(spark: SparkSession, path: str, *, with_payload: bool = False)
                     if with_payload:
                         row.append(block.split(b"\r\n\r\n", 1)[1].decode())
                     rows.append(row)
-                kinds = [pa.string()] * 4 + [pa.int64()] + [pa.string()] * (4 if with_payload else 3)
-                names = [x.split()[0] for x in HEADERS.split(", ")] + ["payload"] * with_payload
-                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names)
+                    size += len(block) if with_payload else 0
+                    if size > BATCH_BYTES:
+                        yield out(rows)
+                        rows, size = [], 0
+                yield out(rows)
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path)
     return mapped(files.select("content"), read, HEADERS + ", payload string" * with_payload)
@@ -136,11 +186,12 @@ def read_records(spark: SparkSession, path: str, *, with_payload: bool = False)
 def resolve(headers: DataFrame, *, least_bytes: int = LEAST_BYTES) -> DataFrame:
     """Of each record that repeats a payload of at least least_bytes: record_id and `original`.
 
-    The original of a digest is its record of the largest page_id (a null one counts as smallest),
-    of several such the one with the largest record_id.
+    The original of a digest is its record of the largest page_id, of several such the one with the
+    largest record_id. Ids that are no whole numbers come before those that are, in the order of
+    texts; a null one counts as smallest.
     """
     large = headers.filter(F.col("payload_bytes") >= least_bytes)
-    order = F.struct(F.col("page_id").cast("long").alias("number"), "record_id", "page_id", "url")
+    order = F.struct(F.expr("try_cast(page_id AS bigint)").alias("number"), F.when(F.expr("try_cast(page_id AS bigint)").isNull(), F.col("page_id")).alias("name"), "record_id", "page_id", "url")
     originals = large.groupBy("payload_digest", "payload_bytes").agg(F.max(order).alias("original"), F.count("*").alias("n")).filter("n > 1").drop("n")
     joined = large.select("record_id", "payload_digest", "payload_bytes").join(originals, ["payload_digest", "payload_bytes"])
     return joined.filter("record_id != original.record_id").select(F.col("record_id").alias("revisit_id"), "original")
@@ -148,6 +199,7 @@ def resolve(headers: DataFrame, *, least_bytes: int = LEAST_BYTES) -> DataFrame:
 
 def write_resolved(records: DataFrame, revisits: DataFrame, path: str, *, records_per_file: int = RECORDS_PER_FILE) -> None:
     """The records, those that resolve() names as revisits without payload and with fresh headers."""
+    records_per_file = per_file(records.agg(F.max("payload_bytes")).first()[0], records_per_file)
     joined = records.join(revisits, F.col("record_id") == F.col("revisit_id"), "left")
     kind = F.when(F.col("revisit_id").isNotNull(), "revisit").otherwise("response")
     _write(joined.select(_record(kind, F.col("payload"), F.col("payload_bytes"), F.col("original"))), path, records_per_file)
@@ -160,6 +212,7 @@ def deduplicate_archive(spark: SparkSession, source: str, target: str, *, least_
 
 
 def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written as a record, revisits resolved, and the archive read back: its headers."""
     pages = table(spark, sf_dir, "pages")
     source, target = scratch_path(spark, "warc"), scratch_path(spark, "warc-resolved")
     write_archive(pages, source)

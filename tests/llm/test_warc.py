@@ -49,9 +49,33 @@ def test_repeated_rows_and_empty(spark):
     assert warc.read_records(spark, target).count() == 0
 
 
-def test_members():
-    data = b"".join(zlib.compressobj(wbits=31).compress(x) or b"" for x in ())
-    assert warc._unpacked(data) == b""
+def test_members(monkeypatch):
     import gzip
 
-    assert warc._unpacked(gzip.compress(b"a") + gzip.compress(b"b")) == b"ab"
+    import pytest
+
+    assert list(warc._unpacked(b"")) == []
+    two = gzip.compress(b"a" * 100) + gzip.compress(b"b" * 5000)
+    for size in (1, 7, 64, 1 << 20):
+        monkeypatch.setattr(warc, "UNPACKED", size)
+        pieces = list(warc._unpacked(two))
+        assert b"".join(pieces) == b"a" * 100 + b"b" * 5000 and max(map(len, pieces)) <= max(size, 64)
+    with pytest.raises(EOFError):
+        list(warc._unpacked(two[:-9]))
+
+
+def test_long_payloads_and_odd_ids(spark, monkeypatch):
+    """Few records to a file where they are long, batches by bytes, and ids that are no numbers."""
+    monkeypatch.setattr(warc, "BATCH_BYTES", 1000)
+    long = "é" * 3_000_000
+    rows = [(i, "u", long if i % 2 else f"x{i}") for i in range(6)]
+    assert warc.per_file(6_000_000) == 44 and warc.per_file(None) == warc.RECORDS_PER_FILE and warc.per_file(1 << 40) == 1
+    source, target = run(spark, rows)
+    got = {r.page_id: (r.payload_bytes, r.record_type) for r in warc.read_records(spark, target).collect()}
+    assert got["1"] == (6_000_000, "revisit") and got["5"] == (6_000_000, "response") and len(got) == 6
+    assert {r.page_id: len(r.payload) for r in warc.read_records(spark, source, with_payload=True).collect()}["3"] == 3_000_000
+    named = spark.createDataFrame([("a", "u", "y" * 2000), ("b", "u", "y" * 2000), ("7", "u", "z" * 2000), ("c", "u", "z" * 2000)], "page_id string, url string, html string")
+    source, target = scratch_path(spark, "w"), scratch_path(spark, "v")
+    warc.write_archive(named, source)
+    warc.deduplicate_archive(spark, source, target)
+    assert {r.page_id: r.refers_to_page for r in warc.read_records(spark, target).collect()} == {"a": "b", "b": None, "7": None, "c": "7"}
