@@ -35,6 +35,8 @@ END_ID = 0
 TOKENIZER = "word_bpe_49k.json"
 #: Words whose ids a worker remembers; beyond it, it forgets all and starts again.
 CACHE_WORDS = 250_000
+#: Longer ones, such as texts without spaces, are not remembered; so the memory is bounded in bytes too.
+CACHE_LENGTH = 64
 PIECE = "doc_id {key}, piece int, start long, length long, ids_crc32 long, part int, rank_in_part long"
 
 
@@ -67,7 +69,8 @@ class Words(dict):
         else:
             shown = word if word.isascii() else "".join([STAND_IN[b] for b in word.encode()])
             data = array("I", [t.id for t in self.merge(shown)]).tobytes()
-        self[word] = data
+        if len(word) <= CACHE_LENGTH:
+            self[word] = data
         return data
 
 
@@ -106,7 +109,9 @@ class Encoder:
         return b"".join([known[w] for w in text.lower().split()])
 
     def _odd(self, piece: str) -> bytes:
-        self.odd[piece] = data = array("I", self.tokenizer.encode(piece, add_special_tokens=False).ids).tobytes()
+        data = array("I", self.tokenizer.encode(piece, add_special_tokens=False).ids).tobytes()
+        if len(piece) <= CACHE_LENGTH:
+            self.odd[piece] = data
         return data
 
 
