@@ -67,11 +67,13 @@ class Model:
 
 
 def training_rows(documents: DataFrame, labels: DataFrame, sample: int) -> DataFrame:
-    """(text, toxic) of the sampled labelled rows: crc32(doc_id) mod 3 is not 1, the label is 0 or 1."""
+    """(text, toxic) of the sampled labelled ids: crc32(doc_id) mod 3 is not 1, the label is 0 or 1 (the
+    larger of several). Of an id that repeats with other texts, the least text counts, so that the
+    sample bounds the rows."""
     usable = labels.filter(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & (crc_mod("doc_id", 3) != 1))
     chosen = usable.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     once = documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # at most `sample` pairs of numbers
-    return once.select("text", "toxic")
+    return once.groupBy("doc_id").agg(F.min("text").alias("text"), F.first("toxic").alias("toxic")).select("text", "toxic")
 
 
 def _choose(rows: DataFrame, most: int) -> list[bytes]:
