@@ -115,37 +115,31 @@ def _unpacked(data: bytes) -> Iterator[bytes]:
 
 
 def _parse(pieces: Iterator[bytes]) -> Iterator[tuple[dict[str, str], bytes]]:
-    """(headers, block) of each record, by the lengths that the records state; one is held at a time."""
-    held = bytearray()
-    at = 0
-
-    def fill(until) -> bool:
-        nonlocal held, at
-        while not until():
-            piece = next(pieces, None)
-            if piece is None:
-                return False
-            if at:
-                del held[:at]
-                at = 0
-            held += piece
-        return True
-
-    while fill(lambda: at < len(held)):
-        if not fill(lambda: held.find(b"\r\n\r\n", at) >= 0):
-            raise ValueError("an archive ends within a record's headers")
+    """(headers, block) of each record, by the lengths that the records state. Of the archive the last
+    pieces are held, back to the start of the record."""
+    held, at = b"", 0
+    while True:
         stop = held.find(b"\r\n\r\n", at)
-        first, *lines = held[at:stop].decode().split(END)
-        if not first.startswith("WARC/"):
-            raise ValueError("no record begins where the one before ends")
-        headers = {k.lower(): v for k, v in (x.split(": ", 1) for x in lines)}
-        size = int(headers["content-length"])
-        at = stop + 4
-        if not fill(lambda size=size: len(held) - at >= size + 4):
-            raise ValueError("an archive ends within a record")
-        block = bytes(held[at : at + size])
-        at += size + 4
-        yield headers, block
+        end = -1
+        if stop >= 0:
+            first, *lines = held[at:stop].decode().split(END)
+            if not first.startswith("WARC/"):
+                raise ValueError("no record begins where the one before ends")
+            headers = {k.lower(): v for k, v in (x.split(": ", 1) for x in lines)}
+            end = stop + 4 + int(headers["content-length"])
+        if stop < 0 or len(held) < end + 4:
+            more, wanted = [held[at:]], max(1, end + 4 - len(held))
+            while wanted > 0 and (piece := next(pieces, None)) is not None:
+                more.append(piece)
+                wanted -= len(piece)
+            if len(more) == 1:
+                if more[0]:
+                    raise ValueError("the archive ends within a record")
+                return
+            held, at = b"".join(more), 0
+            continue
+        yield headers, held[stop + 4 : end]
+        at = end + 4
 
 
 def read_records(spark: SparkSession, path: str, *, with_payload: bool = False) -> DataFrame:
@@ -199,7 +193,6 @@ def resolve(headers: DataFrame, *, least_bytes: int = LEAST_BYTES) -> DataFrame:
 
 def write_resolved(records: DataFrame, revisits: DataFrame, path: str, *, records_per_file: int = RECORDS_PER_FILE) -> None:
     """The records, those that resolve() names as revisits without payload and with fresh headers."""
-    records_per_file = per_file(records.agg(F.max("payload_bytes")).first()[0], records_per_file)
     joined = records.join(revisits, F.col("record_id") == F.col("revisit_id"), "left")
     kind = F.when(F.col("revisit_id").isNotNull(), "revisit").otherwise("response")
     _write(joined.select(_record(kind, F.col("payload"), F.col("payload_bytes"), F.col("original"))), path, records_per_file)
@@ -207,7 +200,9 @@ def write_resolved(records: DataFrame, revisits: DataFrame, path: str, *, record
 
 def deduplicate_archive(spark: SparkSession, source: str, target: str, *, least_bytes: int = LEAST_BYTES, records_per_file: int = RECORDS_PER_FILE) -> None:
     """Read the archive at source, resolve its revisits and write the result to target."""
-    revisits = written(resolve(read_records(spark, source), least_bytes=least_bytes), "revisits")
+    headers = written(read_records(spark, source), "headers")
+    revisits = written(resolve(headers, least_bytes=least_bytes), "revisits")
+    records_per_file = per_file(headers.agg(F.max("payload_bytes")).first()[0], records_per_file)
     write_resolved(read_records(spark, source, with_payload=True), revisits, target, records_per_file=records_per_file)
 
 
