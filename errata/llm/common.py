@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,12 +45,30 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/errata/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
+#: The folders that written() has made within each scratch() that is open.
+_OPEN: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """What written() makes within is deleted at the end, but for what is to be kept."""
+    made: list[str] = []
+    _OPEN.append(made)
+    try:
+        yield
+    finally:
+        _OPEN.remove(made)
+        _delete(spark, made)
+
+
+def written(df: DataFrame, name: str, compression: str = "snappy", *, keep: bool = False) -> DataFrame:
     """Write df as Parquet in the shared folder and read it back.
 
     Cuts the lineage and survives lost executors: later stages read files, not shuffle blocks.
     """
     path = scratch_path(df.sparkSession, name)
+    if _OPEN and not keep:
+        _OPEN[-1].append(path)
     df.write.option("compression", compression).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -56,11 +76,13 @@ def written(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
 def forget(*frames: DataFrame) -> None:
     """Delete the folders of frames made by written(), once nothing reads them any more."""
     for df in frames:
-        spark = df.sparkSession
-        folders = {f.rsplit("/", 1)[0] for f in df.inputFiles()}
-        for folder in folders:
-            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        _delete(df.sparkSession, {f.rsplit("/", 1)[0] for f in df.inputFiles()})
+
+
+def _delete(spark: SparkSession, folders: Iterable[str]) -> None:
+    for folder in folders:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def text_or_empty(column: str = "text") -> Column:

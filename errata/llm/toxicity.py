@@ -160,7 +160,8 @@ def report(documents: DataFrame, labels: DataFrame, *, threshold: float = THRESH
 
 
 def offending(documents: DataFrame, model: Model, *, least: float = 0.5) -> DataFrame:
-    """doc_id, sentence (its number), probability of each sentence at or above `least`."""
+    """doc_id, sentence (its number), probability of each sentence at or above `least`. Null and empty
+    texts, and sentences without a feature, give no rows."""
     shared = documents.sparkSession.sparkContext.broadcast(model)
     key = documents.schema["doc_id"].dataType.simpleString()
 
@@ -175,5 +176,6 @@ def offending(documents: DataFrame, model: Model, *, least: float = 0.5) -> Data
 
 
 def reject(documents: DataFrame, labels: DataFrame, *, threshold: float = THRESHOLD, **options) -> DataFrame:
-    """Documents, all columns, whose score is below the threshold."""
+    """Documents, all columns, whose score is below the threshold. Null and empty texts score 0 and
+    stay; repeated rows stay or go together; without both kinds of labels all stay."""
     return scored(documents, fit(documents, labels, **options)).filter(F.col("errata_score") < threshold).drop("errata_score")

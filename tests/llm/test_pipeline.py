@@ -98,3 +98,33 @@ def test_labels_of_held_out_rows_are_not_read(spark, folder):
     one = toxicity.fit(docs, spark.createDataFrame(labels))
     two = toxicity.fit(docs, spark.createDataFrame(flipped, "doc_id long, quality int, toxic int"))
     assert one.weights == two.weights and one.bias == two.bias
+
+
+def test_nulls_clashing_columns_and_long_texts(spark, folder, tmp_path):
+    """Every stage keeps columns it does not know, whatever their names, and takes nulls in any column."""
+    path, text, items = folder
+    from pyspark.sql import functions as F
+
+    base = spark.read.parquet(f"{path}/documents.parquet").filter("doc_id < 60")
+    odd = [(None, "lonely words that nobody else has written here", None, None, None), (500, None, None, "s", 0), (500, None, None, "s", 0), (501, "", "en", None, None)]
+    odd += [(502, "quite long and calm. " * 30_000 + "token=abcdef99 " + items[1], "en", "s", 1), (503, "é" * 200_000, "en", "s", 2)]
+    odd += [(504, "twice the same row of words in this table", "en", "s", 3)] * 2
+    docs = base.unionByName(spark.createDataFrame(odd, base.schema))
+    clashing = ("key", "content", "n", "root", "part", "blob", "path", "score", "words", "size", "errata", "least", "Text2", "label", "toxic", "item_id")
+    docs = docs.withColumns({c: F.lit(None).cast("string") if i % 2 else F.lit(i) for i, c in enumerate(clashing)})
+    columns = docs.columns
+    for name, stage in corpus_pipeline.STAGES:
+        docs = written(stage(spark, docs, path), name)
+        if name != "packing":
+            assert docs.columns == columns
+    rows = docs.collect()
+    assert {None, 500, 501, 502, 503, 504} & {r.doc_id for r in rows} >= {None, 502, 503, 504}
+    assert len({(r.doc_id, r.piece, r.start) for r in rows}) == len(rows)
+
+
+def test_empty_tables(spark, folder, tmp_path):
+    path, _, _ = folder
+    empty = f"file://{tmp_path}/none"
+    for name in ("documents", "labels", "benchmark"):
+        spark.read.parquet(f"{path}/{name}.parquet").limit(0).write.parquet(f"{empty}/{name}.parquet")
+    assert corpus_pipeline.run(spark, empty).count() == 0
