@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
 BATCH_ROWS = 2000
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -69,7 +70,13 @@ def written(df: DataFrame, name: str, compression: str = "snappy", *, keep: bool
     path = scratch_path(df.sparkSession, name)
     if _OPEN and not keep:
         _OPEN[-1].append(path)
-    df.write.option("compression", compression).parquet(path)
+    # Once it is written, the shuffle files that it was made from are of no use.
+    before = df.sparkSession.conf.get(CLEAN_UP, "false")
+    df.sparkSession.conf.set(CLEAN_UP, "true")
+    try:
+        df.write.option("compression", compression).parquet(path)
+    finally:
+        df.sparkSession.conf.set(CLEAN_UP, before)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
