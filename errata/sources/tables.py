@@ -121,7 +121,7 @@ def export_json(df: DataFrame, path: str) -> None:
 
 def write_array(df: DataFrame, path: str) -> None:
     """df as JSON arrays, indented, with its null fields: an array for each part of df, in one file.
-    A part without rows is an empty array. json_table() reads them back."""
+    A part without rows is an empty array, no parts an empty file. json_table() reads them back."""
 
     def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         opening = "["

@@ -130,5 +130,89 @@ def test_connectors(spark):
     urls = spark.createDataFrame([("a",), ("b",), ("a",)], "url string")
     got = {r.url: (r.status, r.html, r.error) for r in connectors.fetched(urls, lambda u: (200, f"<p>{u}</p>") if u == "a" else (404, "gone")).collect()}
     assert got == {"a": (200, "<p>a</p>", None), "b": (404, None, None)}
-    asked = connectors.classified(urls.coalesce(1).withColumn("p", F.col("url")), "p", lambda p: "{}" if p == "a" else connectors.RATE_LIMITED).collect()
+    asked = connectors.classified(urls.coalesce(1).withColumn("p", F.col("url")), "p", lambda p: "{}" if p == "a" else connectors.RATE_LIMITED, sleep=lambda _: None).collect()
     assert [r.response for r in asked] == ["{}", None, None]
+
+
+def test_rate_limits_are_waited_for():
+    waits, answers = [], [connectors.RATE_LIMITED] * 2 + ["{}"]
+    assert connectors._asked(lambda _: answers.pop(0), "p", connectors.WAITS, waits.append) == "{}"
+    assert waits == [60.0, 120.0]
+    waits.clear()
+    assert connectors._asked(lambda _: connectors.RATE_LIMITED, "p", connectors.WAITS, waits.append) == connectors.RATE_LIMITED
+    assert waits == [60.0, 120.0, 180.0]
+
+
+def test_search_ends_without_a_next_page(spark):
+    seen = {"x": 3, "y": 1, "z": 0}
+
+    def search(address):
+        term, start = address.split("q=%22")[1].split("%22")[0], int(address.rsplit("=", 1)[1])
+        more = "<a>Neste side</a>" if start // 20 + 1 < seen[term] else ""
+        return f"<p>{term}{start}</p>{more}" if seen[term] else None
+
+    terms = spark.createDataFrame([("x", 1), ("y", 2), ("z", 3), (None, 4)], "term string, rank int")
+    got = sorted((r.term, r.page, r.offset, r["rank"]) for r in connectors.searched(terms, search).collect())
+    assert got == [("x", 0, 0, 1), ("x", 1, 20, 1), ("x", 2, 40, 1), ("y", 0, 0, 2)]
+    assert connectors.searched(terms, search, pages=2).filter("term = 'x'").count() == 2
+
+
+def test_a_replaced_table_always_has_a_version(spark, tmp_path):
+    """A run that breaks off before the pointer moves leaves the table as it was; old versions go."""
+    path = f"file://{tmp_path}/t"
+    tables.replace(spark.range(3), path)
+    spark.range(9).write.parquet(f"{path}/version-broken")
+    assert tables.stored_table(spark, path, "id long").count() == 3
+    reading = tables.stored_table(spark, path, "id long")
+    tables.replace(reading.filter("id > 0"), path)
+    assert reading.count() == 3 and tables.stored_table(spark, path, "id long").count() == 2
+    tables.replace(spark.range(7), path)
+    assert tables.stored_table(spark, path, "id long").count() == 7
+    assert len(list((tmp_path / "t").glob("version-*"))) == 2
+
+
+def test_json_arrays_and_dated_export(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "Rød", None), (2, 'a "b"\nc', 1.5)], "id int, title string, x double")
+    tables.write_array(rows.repartition(2), f"file://{tmp_path}/a")
+    parts = [json.loads(p.read_text(encoding="utf-8")) for p in (tmp_path / "a").glob("part-*")]
+    assert sorted((x["id"], x["title"], x["x"]) for part in parts for x in part) == [(1, "Rød", None), (2, 'a "b"\nc', 1.5)]
+    tables.write_array(rows.limit(0), f"file://{tmp_path}/none")
+    assert tables.json_table(spark, f"file://{tmp_path}/none", "id int").count() == 0
+    path = tables.export_dated(rows, f"file://{tmp_path}", datetime(2024, 3, 9).date())
+    assert path.endswith("/rettelser-2024-03-09.json")
+    (file,) = (tmp_path / "rettelser-2024-03-09.json").glob("part-*")
+    assert file.read_text(encoding="utf-8").startswith('[\n  {\n    "id": ') and len(json.loads(file.read_text(encoding="utf-8"))) == 2
+
+
+def test_counters(spark):
+    counted, seen = tables.counting(spark.range(10), "c", even=F.col("id") % 2 == 0)
+    counted.write.format("noop").mode("overwrite").save()
+    assert seen.get == {"rows": 10, "even": 5}
+
+
+def test_choices_do_not_depend_on_how_rows_lie(spark):
+    rows = [("u", f"t{i}") for i in range(40)]
+    for df in (spark.createDataFrame(rows, "url string, lastmod string").repartition(n) for n in (1, 7)):
+        assert collect.first_seen(df, "url").first().lastmod == "t0"
+        assert collect.first_seen(df, "url", F.desc("lastmod")).first().lastmod == "t9"
+        assert [r.lastmod for r in collect.capped(df, 2, F.desc("lastmod")).collect()] == ["t9", "t8"]
+    table = spark.createDataFrame([("a", "feil")], "url string, text string")
+    new = spark.createDataFrame([("a", "nrk retter x.", 1), ("a", "nrk retter b.", 2)], "url string, new_text string, turn int")
+    assert maintain.upserted(table, new, "text", order="turn").first().text == "nrk retter b."
+    assert maintain.upserted(table, new, "text").first().text == "nrk retter x."
+
+
+def test_answers_are_kept_when_a_run_stops(spark, tmp_path):
+    """A classifier that breaks down after some batches: what it has answered is there, and is not asked again."""
+    table = raw(spark, *[{"url": f"u{i}", "date": f"2024-01-{i:02}", "qa_status": "pending"} for i in range(1, 10)])
+    folder = f"file://{tmp_path}/answers"
+    got = enrich.answer_pending(table, F.col("url"), lambda u: "{}" if int(u[1:]) > 4 else connectors.RATE_LIMITED, folder, batch=2, batches=9, sleep=lambda _: None)
+    assert {r.url for r in got.collect()} == {"u9", "u8", "u7", "u6", "u5"}
+    got = enrich.answer_pending(table, F.col("url"), lambda u: "{}" if int(u[1:]) < 5 else "[]", folder, batch=9, sleep=lambda _: None)
+    assert got.filter("response = '[]'").count() == 0 and got.count() == 9
+
+
+def test_facet_order(spark):
+    rows = spark.createDataFrame([("weather",), ("economy",), ("world",), ("",), (None,), ("crime",), ("economy",)], "c string")
+    labels = {"weather": "Vær", "economy": "Økonomi", "world": "Utenriks", "crime": "Ås"}
+    assert [(r.value, r.place) for r in stats.label_facet(rows, F.col("c"), labels).collect()] == [("world", 1), ("weather", 2), ("economy", 3), ("crime", 4)]
