@@ -40,9 +40,18 @@ def ordered(view: DataFrame, by: str = "date_desc", *, tie: str = "url") -> Data
 
 
 def page(rows: DataFrame, number: int, size: int = BATCH) -> DataFrame:
-    """Page `number`, from 0, of ordered rows: a top-k."""
+    """Page `number`, from 0, of ordered rows: a top-k, of all rows up to the page's end. For a list that
+    is scrolled far, next_page() starts from what was shown last."""
     return rows.offset(number * size).limit(size) if number else rows.limit(size)
 
 
+def next_page(view: DataFrame, date: str | None, url: str, size: int = BATCH) -> DataFrame:
+    """The rows after the one of this date and url, newest first: a filter and a top-k of one page,
+    however far down the list."""
+    stamp, last = iso_timestamp(F.col("date")), iso_timestamp(F.lit(date))
+    later = F.when(last.isNull(), stamp.isNull() & (F.col("url") > url)).otherwise(stamp.isNull() | (stamp < last) | ((stamp == last) & (F.col("url") > url)))
+    return page(ordered(view.filter(later)), 0, size)
+
+
 def shown_text(columns: tuple[str, ...] = ("correction_text_extract", "correction", "what")) -> Column:
     return F.coalesce(blank_coalesce(*[F.col(c) for c in columns]), F.lit(""))

@@ -25,7 +25,9 @@ def without_gaps(counts: DataFrame) -> DataFrame:
 
 
 def monthly_durations(rows: DataFrame, stamp: Column, hours: Column) -> DataFrame:
-    """month, avg_hours, median_hours (one decimal) and n of rows that have a duration."""
+    """month, avg_hours, median_hours (one decimal) and n of rows that have a duration. The median is
+    exact: a task holds a month's distinct durations, of which two decimals and five years leave 4.4
+    million at most, with their counts."""
     valid = rows.select(month_of(stamp).alias("month"), hours.alias("hours")).filter("month IS NOT NULL AND hours IS NOT NULL")
     return valid.groupBy("month").agg(rounded(F.avg("hours"), 1).alias("avg_hours"), rounded(F.median("hours"), 1).alias("median_hours"), F.count("*").alias("n"))
 

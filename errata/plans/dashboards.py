@@ -37,16 +37,14 @@ def monthly_counts(spark, sf):
     return stats.monthly_counts(table(spark, sf, "orders"), F.col("o_orderdate"))
 
 
-GAPS = "o_orderstatus = 'F' AND month(o_orderdate) IN (1, 2, 7)"
-
-
-@query(f"""
-WITH c AS (SELECT date_trunc('month', o_orderdate) AS m, count(*) AS n FROM orders WHERE {GAPS} GROUP BY 1),
+@query("""
+WITH c AS (SELECT date_trunc('quarter', o_orderdate) AS m, count(*) AS n FROM orders GROUP BY 1),
 s AS (SELECT unnest(generate_series((SELECT min(m) FROM c)::TIMESTAMP, (SELECT max(m) FROM c)::TIMESTAMP, INTERVAL 1 MONTH)) AS m)
 SELECT strftime(s.m, '%Y-%m') AS month, coalesce(n, 0)::BIGINT AS n FROM s LEFT JOIN c ON s.m = c.m
 """)
 def monthly_counts_gapfilled(spark, sf):
-    return stats.without_gaps(stats.monthly_counts(table(spark, sf, "orders").filter(GAPS), F.col("o_orderdate")))
+    """Orders by the first month of their quarter: two months of three are gaps."""
+    return stats.without_gaps(stats.monthly_counts(table(spark, sf, "orders"), F.date_trunc("quarter", "o_orderdate")))
 
 
 @query(f"""
@@ -160,6 +158,24 @@ def list_oldest_page(spark, sf):
     return search.page(search.ordered(publish.published_rows(raw(spark, sf)), "date_asc"), 0).select("id", "url", "date")
 
 
+@query(f"WITH v AS ({PUBLISHED_SQL}) SELECT id, url, date FROM v ORDER BY date DESC, url LIMIT 150 OFFSET 50")
+def list_next_pages(spark, sf):
+    """Three pages, each from where the one before ended: no page reads past what was shown."""
+    view = publish.published_rows(raw(spark, sf))
+    shown = search.page(search.ordered(view, "date_desc"), 0)
+    pages = []
+    for _ in range(3):
+        last = shown.select("date", "url").tail(1)
+        if not last:
+            break
+        shown = search.next_page(view, last[0]["date"], last[0]["url"])
+        pages.append(shown)
+    out = pages[0]
+    for more in pages[1:]:
+        out = out.unionByName(more)
+    return out.select("id", "url", "date")
+
+
 @query(f"WITH {RAW_SQL} SELECT id, coalesce(nullif(correction, ''), '') AS shown FROM raw")
 def shown_text(spark, sf):
     return raw(spark, sf).select("id", search.shown_text().alias("shown"))

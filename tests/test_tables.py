@@ -98,6 +98,15 @@ def test_search(spark):
     assert [r.url for r in search.page(search.ordered(view, "correction_length"), 1, 1).collect()] == ["b"]
 
 
+def test_next_pages(spark):
+    view = spark.createDataFrame([(f"u{i:02}", None if i % 7 == 0 else f"2024-01-{i % 5 + 1:02}") for i in range(40)], "url string, date string")
+    whole = [(r.url, r.date) for r in search.ordered(view).collect()]
+    got = [(r.url, r.date) for r in search.page(search.ordered(view), 0, 9).collect()]
+    while more := [(r.url, r.date) for r in search.next_page(view, got[-1][1], got[-1][0], 9).collect()]:
+        got += more
+    assert got == whole
+
+
 def test_paging(spark):
     rows = spark.createDataFrame([("t", 0, True), ("t", 1, False), ("t", 2, True), ("u", 0, True), ("u", 1, True)], "term string, page int, has_next boolean")
     assert sorted((r.term, r.page) for r in collect.up_to_last(rows).collect()) == [("t", 0), ("t", 1), ("u", 0), ("u", 1)]
