@@ -137,8 +137,9 @@ def update(paths: DataFrame, ledger: DataFrame | None = None, *, key: str = "doc
     else:
         seen = F.coalesce(F.map_keys("scanned"), F.array().cast("array<string>"))
         todo = todo.join(ledger, "blob", "left").select("blob", "spot", F.array_except(names, seen).alias("lacking")).filter("size(lacking) > 0")
-    # One text of each blob and path, repeats being dropped before texts are moved.
-    texts = all_texts.groupBy("blob", "spot").agg(F.first("text").alias("text")).join(todo.hint("shuffle_hash"), ["blob", "spot"])
+    # One text of each blob and path, repeats being dropped before texts are moved. They come in the
+    # order of the keys, so a merge with what is to be scanned sorts no text and holds none.
+    texts = all_texts.groupBy("blob", "spot").agg(F.first("text").alias("text")).join(todo.hint("merge"), ["blob", "spot"])
     body = F.col("text")
     entries = [F.struct(F.lit(r.name).alias("key"), F.when(F.array_contains("lacking", r.name), spans_of(body, r, i)).alias("value")) for i, r in enumerate(rules)]
     scanned = texts.select("blob", F.map_from_entries(F.filter(F.array(*entries), lambda e: e["value"].isNotNull())).alias("scanned"))
