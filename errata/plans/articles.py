@@ -82,8 +82,10 @@ def articles(spark: SparkSession, sf: str) -> DataFrame:
 TITLE_SQL = "CASE WHEN doc_id % 6 <> 0 THEN 'Sak ' || doc_id WHEN doc_id % 12 = 0 THEN 'Tittel ' || doc_id ELSE 'Tittel ' || doc_id || ' – NRK' END"
 DAY_SQL = "lpad((doc_id % 28 + 1)::VARCHAR, 2, '0')"
 TIME_SQL = f"CASE doc_id % 3 WHEN 0 THEN '2024-01-' || {DAY_SQL} || 'T07:00:00Z' WHEN 1 THEN '2024-01-' || {DAY_SQL} || 'T08:00:00Z' ELSE '' END"
+#: Whether the page's text as a whole has a trigger: in it, what stands before and behind the text touches it.
+SEEN_SQL = f"({fx.sql_trigger("'x' || whole || 'A'")} OR doc_id % 4 = 0 OR doc_id % 5 = 0 OR doc_id % 7 = 0)"
 FOUND_SQL = f"""
-d AS (SELECT doc_id, {TEXT_SQL} AS t FROM documents),
+d AS (SELECT doc_id, {TEXT_SQL} AS t, coalesce(text, '') AS whole FROM documents),
 p AS (SELECT *, length(t) BETWEEN 1 AND 2000 AND NOT {fx.sql_noise('t')} AND {fx.sql_trigger('t')} AS good, {fx.sql_position('t')} AS place FROM d),
 b AS (SELECT *, CASE WHEN good THEN {fx.sql_trim('t', 'place')} END AS one, CASE WHEN doc_id % 4 = 0 THEN 'All rights reserved ' || doc_id || ' by us.' END AS two FROM p),
 c AS (SELECT *, CASE WHEN contains(one, two) THEN one WHEN contains(two, one) THEN two WHEN length(one) >= length(two) THEN one || ' | ' || two
@@ -91,7 +93,7 @@ c AS (SELECT *, CASE WHEN contains(one, two) THEN one WHEN contains(two, one) TH
 """
 
 
-@query(f"WITH {FOUND_SQL} SELECT {URL_SQL} AS url, {TITLE_SQL} AS title, {TIME_SQL} AS published, correction FROM c WHERE correction IS NOT NULL")
+@query(f"WITH {FOUND_SQL} SELECT {URL_SQL} AS url, {TITLE_SQL} AS title, {TIME_SQL} AS published, correction FROM c WHERE correction IS NOT NULL AND {SEEN_SQL}")
 def article_corrections(spark, sf):
     """Extraction as a whole: prefilter, passes, noise, trigger, trim, containment, title and time."""
     return extract.detect(parsed(articles(spark, sf)), LEXICON)
@@ -108,7 +110,7 @@ WITH {FOUND_SQL}, a AS ({ALONE_SQL})
 SELECT {URL_SQL} AS url, {TITLE_SQL} AS title, {TIME_SQL} AS published, CASE WHEN doc_id % 2 = 0 THEN alone ELSE correction END AS correction
 FROM c JOIN a USING (doc_id)
 WHERE CASE WHEN doc_id % 2 = 0 THEN alone ELSE correction END IS NOT NULL
-  AND ({fx.sql_trigger('t')} OR doc_id % 4 = 0 OR doc_id % 5 = 0 OR doc_id % 7 = 0)
+  AND {SEEN_SQL}
 """)
 def standalone_switch(spark, sf):
     """Pages that are corrections as a whole give their first paragraphs, others their blocks."""
@@ -391,7 +393,7 @@ def facet_types(spark, sf):
     return stats.label_facet(fx.raw(spark, sf), F.col("correction_type"), TYPE_LABELS)
 
 
-@query(f"WITH {FOUND_SQL} SELECT {URL_SQL} AS url, {TITLE_SQL} AS title, correction, 'sitemap' AS source, 'pending' AS qa_status FROM c WHERE correction IS NOT NULL")
+@query(f"WITH {FOUND_SQL} SELECT {URL_SQL} AS url, {TITLE_SQL} AS title, correction, 'sitemap' AS source, 'pending' AS qa_status FROM c WHERE correction IS NOT NULL AND {SEEN_SQL}")
 def stream_articles(spark, sf):
     """Article pages as a stream of files, within a time budget, taken up again, and then the same pages
     from the start. Nothing is missed, nothing is there twice."""

@@ -135,18 +135,37 @@ def dead_letter_retry(spark, sf):
     return maintain.after_retry(letters, known_urls, failed, "2024-02-01")
 
 
-@query(None)
-def correction_blocks(spark, sf):
-    lexicon = LEXICON
-    return extract.detect(parsed(pages(spark, sf)), lexicon)
-
-
 NODE = "x"
-for entity, character in ENTITIES:
+for entity, character in (("&copy;", "©"), ("&middot;", "·"), *ENTITIES):
     NODE = f"replace({NODE}, '{entity}', '{character}')"
 BODY = rf"""array_to_string([y FOR y IN [regexp_replace({NODE}, '^\s+|\s+$', '', 'g') FOR x IN string_split_regex(regexp_extract(html, '(?s)<article>(.*?)(</article>|$)', 1), '<[^>]*>')] IF y <> ''], ' ')"""
 
 
+# Of an article every part behind a <p> is a paragraph: up to its </p> or, if it has none, to the end.
+# An end tag closes the paragraph begun last; what is unclosed goes on around those that follow.
+JOINED = rf"""array_to_string([regexp_replace({NODE}, '^\s+|\s+$', '', 'g') FOR x IN string_split_regex(%s, '<[^>]*>')], '')"""
+BLOCKS = f"""
+a AS (SELECT page_id, url, html, string_split(regexp_extract(html, '(?s)<article>(.*?)(</article>|$)', 1), '<p>')[2:] AS parts FROM pages),
+m AS (SELECT page_id, 1 AS pass, i, CASE WHEN contains(parts[i], '</p>') THEN split_part(parts[i], '</p>', 1) ELSE array_to_string(parts[i:], '<p>') END AS markup FROM a, unnest(range(1, len(parts) + 1)) AS u(i)
+  UNION ALL SELECT page_id, 3, 1, regexp_extract(html, '(?s)<div class="ad">(.*?)</div>', 1) FROM pages),
+t AS (SELECT page_id, pass, i, {JOINED % "markup"} AS t FROM m),
+g AS (SELECT page_id, pass, i, t, {fx.sql_position("t")} AS place FROM t WHERE length(t) BETWEEN 1 AND 2000 AND NOT {fx.sql_noise("t")} AND {fx.sql_trigger("t")}),
+f AS (SELECT page_id, i, {fx.sql_trim("t", "place")} AS t FROM g WHERE pass = 1 OR page_id NOT IN (SELECT page_id FROM g WHERE pass = 1)),
+k AS (SELECT page_id, i, t FROM f WHERE NOT EXISTS (SELECT 1 FROM f AS o WHERE o.page_id = f.page_id AND contains(o.t, f.t) AND (length(o.t) > length(f.t) OR (length(o.t) = length(f.t) AND o.i < f.i)))),
+c AS (SELECT page_id, string_agg(t, ' | ' ORDER BY length(t) DESC, i) AS correction FROM k GROUP BY page_id)
+"""
+PAGE_TEXT = f"(SELECT {NODE} FROM (SELECT regexp_replace(html, '(?s)<script.*?</script>|<style.*?</style>|<!--.*?-->|<[^>]*>', '', 'g') AS x))"
+
+
+@query(rf"""
+WITH {BLOCKS}
+SELECT url, substring(regexp_replace({HEADING}, '^\s+|\s+$', '', 'g'), 1, 200) AS title, '' AS published, correction FROM c JOIN pages USING (page_id) WHERE {fx.sql_trigger(PAGE_TEXT)}
+""")
+def correction_blocks(spark, sf):
+    """Extraction from raw pages, whose paragraphs are in part unclosed."""
+    return extract.detect(parsed(pages(spark, sf)), LEXICON)
+
+
 @query(rf"""
 SELECT page_id, substring(regexp_replace({HEADING}, '^\s+|\s+$', '', 'g'), 1, 300) AS headline, split_part(url, '/', 1) AS nrk_section, '' AS publication_date, '' AS modified_date,
   '' AS intro_text, '' AS journalist, '' AS responsible_editor, substring({BODY}, 1, 20000) AS article_body FROM pages WHERE url IS NOT NULL
