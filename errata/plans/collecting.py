@@ -90,7 +90,7 @@ def first_seen_dedup(spark, sf):
 ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&amp;", "&"))
 HEADING = "regexp_extract(html, '<h1>([^<]*)</h1>', 1)"
 for entity, character in ENTITIES:
-    HEADING = f"replace({HEADING}, '{entity}', '{character}')"
+    HEADING = f"regexp_replace({HEADING}, '{entity}?', '{character}', 'g')"  # a reference may lack its semicolon
 
 
 @query(rf"SELECT page_id, substring(regexp_replace({HEADING}, '^\s+|\s+$', '', 'g'), 1, 200) AS title FROM pages")
@@ -137,7 +137,7 @@ def dead_letter_retry(spark, sf):
 
 NODE = "x"
 for entity, character in (("&copy;", "©"), ("&middot;", "·"), *ENTITIES):
-    NODE = f"replace({NODE}, '{entity}', '{character}')"
+    NODE = f"regexp_replace({NODE}, '{entity}?', '{character}', 'g')"
 BODY = rf"""array_to_string([y FOR y IN [regexp_replace({NODE}, '^\s+|\s+$', '', 'g') FOR x IN string_split_regex(regexp_extract(html, '(?s)<article>(.*?)(</article>|$)', 1), '<[^>]*>')] IF y <> ''], ' ')"""
 
 
