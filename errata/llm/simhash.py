@@ -41,6 +41,8 @@ SEED = 42
 SEGMENTS = 5
 #: Fingerprints of one key that a task takes at once; more are dealt in blocks of so many.
 BLOCK = 8192
+#: Texts of a shingle are dealt in blocks so much smaller, as they are compared one by one.
+SMALLER = 8
 #: Sizes of keys are estimated from at least one of so many fingerprints.
 SAMPLED_OF = 16
 #: Up to so many pairs of one key are compared at once; beyond, neighbours are searched one by one.
@@ -540,7 +542,7 @@ def near_copies(documents: DataFrame, *, words: int = WORDS, similarity: float =
     for nearest in (True, False):
         roots = written(components(edges).withColumnRenamed("node", "content"), "roots")
         mixed = _mixed(_named(rest, roots, "content", "root"))
-        pairs = _across(mixed.join(shapes.select("content", "least"), "content"), similarity, block, nearest=nearest)
+        pairs = _across(mixed.join(shapes.select("content", "least"), "content"), similarity, max(1, block // SMALLER), nearest=nearest)
         edges = edges.unionByName(_confirmed(pairs, texts, shapes, words, similarity))
         rest = mixed.drop("root")
 
