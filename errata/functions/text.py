@@ -115,7 +115,8 @@ def starts_with_trigger(text: Column, lexicon: Lexicon = NORWEGIAN) -> Column:
 
 
 def looks_complete(text: Column) -> Column:
-    return rstrip(text).rlike(r"""([.!?)»"]|\d{2}\.\d{2}|\d{4})$""")
+    # What is looked for at the end has five characters at most.
+    return F.substring(rstrip(text), -8, 8).rlike(r"""([.!?)»"]|\d{2}\.\d{2}|\d{4})$""")
 
 
 def needs_refetch(text: Column, lexicon: Lexicon = NORWEGIAN) -> Column:
