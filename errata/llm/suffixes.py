@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from errata.llm.common import forget, mapped, written
+from errata.llm.common import mapped, scratch, written
 
 #: Words of the shortest passage that counts.
 LEAST = 50
@@ -259,7 +259,12 @@ def _windows(rows: DataFrame, mask, least: int) -> DataFrame:
 
 def repeated(suffixes: DataFrame, texts: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
     """minimiser, alike, low, mask: of classes the windows that another document has; and the contexts
-    of the classes whose minimisers have several. Both are stored."""
+    of the classes whose minimisers have several. Both are stored; what they were made from is deleted."""
+    with scratch(texts.sparkSession):
+        return _repeated(suffixes, texts, least)
+
+
+def _repeated(suffixes: DataFrame, texts: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
     classes = suffixes.groupBy("minimiser", "alike").agg(F.min("doc").alias("low"), F.max("doc").alias("high"), F.min(F.struct("doc", "first", "size", "off")).alias("one"))
     classes = written(classes.select("minimiser", "alike", "low", "high", "one.first", "one.size", "one.off"), "classes")
     mixed = classes.groupBy("minimiser").agg(F.count("*").alias("n"), F.min("low").alias("a"), F.max("high").alias("b")).filter("n > 1 AND a < b").select("minimiser")
@@ -272,7 +277,7 @@ def repeated(suffixes: DataFrame, texts: DataFrame, least: int) -> tuple[DataFra
     possible = F.when(last >= first, _bit(last + 1) - _bit(first)).otherwise(0)
     own = rows.join(known, ["minimiser", "alike"])
     own = own.withColumn("mask", F.when(F.col("low") < F.col("high"), every).otherwise(F.col("mask"))).withColumn("left_over", possible.bitwiseAND(F.bitwise_not("mask")))
-    own = written(own.select(*rows.columns, "mask", "left_over"), "masks", "zstd")
+    own = written(own.select(*rows.columns, "mask", "left_over"), "masks", "zstd", keep=True)
     # A window left over may be shared with any class of its minimiser in which it is possible, found or not.
     asked = own.filter("left_over != 0").select("minimiser").distinct()
     among = own.join(asked, "minimiser", "left_semi")
@@ -281,7 +286,7 @@ def repeated(suffixes: DataFrame, texts: DataFrame, least: int) -> tuple[DataFra
     more = windows.join(written(shared, "shared"), ["minimiser", "words"]).groupBy("minimiser", "alike").agg(F.bit_or(_bit(F.col("w"))).alias("more"))
     alone = classes.join(mixed, "minimiser", "left_anti").filter("low < high").select("minimiser", "alike", "low", every.alias("mask"))
     found = own.select("minimiser", "alike", "low", "mask").join(more, ["minimiser", "alike"], "left").select("minimiser", "alike", "low", F.col("mask").bitwiseOR(F.coalesce("more", F.lit(0))).alias("mask"))
-    return written(alone.unionByName(found).filter("mask != 0"), "repeated"), own.drop("mask", "left_over")
+    return written(alone.unionByName(found).filter("mask != 0"), "repeated", keep=True), own.drop("mask", "left_over")
 
 
 def _earliest(found: DataFrame, rows: DataFrame, least: int) -> DataFrame:

@@ -1,5 +1,4 @@
 import hashlib
-import zlib
 
 from errata.llm import warc
 from errata.llm.common import scratch_path
