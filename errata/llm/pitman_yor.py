@@ -79,6 +79,8 @@ CHUNK_BITS, IN_PART = 28, 12
 TOKENS = 4_000_000
 #: Bytes of a task's share of a join's smaller side, up to which it is hashed.
 HASHED = "64m"
+#: Words of a chunk that are handed to the executor at once.
+SLICE = 20_000
 #: A chunk has at most so many documents, so that two bytes tell which.
 PLACES = 1 << 16
 
@@ -661,15 +663,25 @@ class Chunk:
         return sizes
 
     def words(self) -> tuple[list[bytes], np.ndarray]:
-        """The distinct words, and of each token the number of its word."""
-        codes, found = pd.factorize(np.concatenate(self.hashes))
-        first = np.empty(len(found), np.int64)
-        first[codes[::-1]] = np.arange(len(codes))[::-1]
-        start, length = np.concatenate(self.starts)[first], np.concatenate(self.lengths)[first]
+        """The distinct words, and of each token the number of its word. What the chunk held of them is let go."""
+        codes, found = pd.factorize(_taken(self.hashes))
+        codes, n = codes.astype(np.int32), len(found)
+        del found
+        first = np.empty(n, np.int32)
+        first[codes[::-1]] = np.arange(len(codes) - 1, -1, -1, dtype=np.int32)
+        start, length = _taken(self.starts)[first], _taken(self.lengths)[first]
         data = b"".join(self.data)
+        self.data.clear()
         return [data[a : a + n] if a >= 0 else END for a, n in zip(start.tolist(), length.tolist(), strict=True)], codes
 
 
+def _taken(held: list[np.ndarray]) -> np.ndarray:
+    """All in one array; the list is emptied."""
+    out = np.concatenate(held)
+    held.clear()
+    return out
+
+
 def common_words(documents: DataFrame, most: int) -> dict[bytes, int]:
     """The words that are contexts of their own, numbered from 1: the end, and the most frequent of the
     training texts. Each LISTED tokens list those that are at least a RARE-th of them; which words are
@@ -715,7 +727,7 @@ def word_rows(documents: DataFrame, key: str, common: dict[bytes, int], tokens:
             for texts in _blocks(batch.column("text").to_pylist()):
                 n = len(texts)
                 if chunk.tokens >= tokens or chunk.places + n > PLACES:
-                    yield _word_rows(chunk, number << CHUNK_BITS, kind, common)
+                    yield from _sliced(_word_rows(chunk, number << CHUNK_BITS, kind, common))
                     chunk, number = Chunk(), number + 1
                 place = chunk.places
                 sizes = chunk.add(texts, ~held[at : at + n])
@@ -723,11 +735,17 @@ def word_rows(documents: DataFrame, key: str, common: dict[bytes, int], tokens:
                 yield _rows(n, {c: pa.array(v) for c, v in columns.items()} | {"doc_id": batch.column(key).slice(at, n)}, kind)
                 at += n
         if chunk.tokens:
-            yield _word_rows(chunk, number << CHUNK_BITS, kind, common)
+            yield from _sliced(_word_rows(chunk, number << CHUNK_BITS, kind, common))
 
     return mapped(documents.select(key, "text", "held_out"), split, schema)
 
 
+def _sliced(rows: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The rows, some at a time: the executor holds what it is given at once."""
+    for at in range(0, rows.num_rows, SLICE):
+        yield rows.slice(at, SLICE)
+
+
 def _rows(n: int, columns: dict, kind) -> pa.RecordBatch:
     kinds = {"chunk": pa.int64(), "place": pa.int32(), "doc_id": kind, "n_tokens": pa.int64(), "held_out": pa.bool_(), "word": pa.binary(), "at": pa.int64()} | dict.fromkeys(("classes", "seen", "times", "refs"), pa.binary())
     return pa.RecordBatch.from_arrays([columns[c] if c in columns else pa.nulls(n, k) for c, k in kinds.items()], list(kinds))
@@ -737,24 +755,26 @@ def _word_rows(chunk: Chunk, first: int, kind, common: dict[bytes, int]) -> pa.R
     words, ids = chunk.words()
     n, sizes = len(words), np.concatenate(chunk.sizes)
     own = np.fromiter((common.get(w, 0) for w in words), np.int64, n)
-    context = np.empty(len(ids), np.int64)
-    context[1:] = own[ids[:-1]]
-    context[np.cumsum(sizes) - sizes] = common[END]  # a text begins after an end
-    tokens = ids.astype(np.int64) << 40 | context << 32 | np.repeat(np.arange(len(sizes)), sizes)
-    del context
+    tokens = np.empty(len(ids), np.int64)
+    tokens[1:] = own[ids[:-1]]
+    tokens[np.cumsum(sizes) - sizes] = common[END]  # a text begins after an end
+    tokens <<= 16
+    tokens |= np.repeat(np.arange(len(sizes), dtype=np.uint16), sizes)
+    tokens |= ids.astype(np.int64) << 24
+    del ids, own
     tokens.sort()
-    place = (tokens & 0xFFFFFFFF).astype(np.int32)
-    entry = tokens >> 32
+    place = (tokens & 0xFFFF).astype(np.uint16)
+    tokens >>= 16
+    start = np.flatnonzero(np.diff(tokens, prepend=-1)).astype(np.int32)
+    size = len(tokens)
+    classes, word = (tokens[start] & 255).astype(np.uint8), (tokens[start] >> 8).astype(np.int32)
     del tokens
-    start = np.flatnonzero(np.diff(entry, prepend=-1))
-    train = np.concatenate(chunk.training)[place].astype(np.int64)
-    seen = np.add.reduceat(train, start).astype(np.uint32)
-    times = np.diff(np.append(start, len(entry))).astype(np.uint32)
-    word = entry[start] >> 8
-    edges = np.searchsorted(word, np.arange(n + 1))
+    seen = np.add.reduceat(np.concatenate(chunk.training)[place], start, dtype=np.uint32)
+    times = np.diff(start, append=np.int32(size)).astype(np.uint32)
+    edges = np.searchsorted(word, np.arange(n + 1, dtype=np.int32))
     columns = {"at": pa.array(np.arange(first, first + n)), "word": pa.array(words, pa.binary())}
-    columns |= {"classes": _binaries((entry[start] & 255).astype(np.uint8), edges), "seen": _binaries(seen, edges), "times": _binaries(times, edges)}
-    columns["refs"] = _binaries(place.astype(np.uint16), np.append(start, len(entry))[edges])
+    columns |= {"classes": _binaries(classes, edges), "seen": _binaries(seen, edges), "times": _binaries(times, edges)}
+    columns["refs"] = _binaries(place, np.append(start, np.int32(size))[edges])
     return _rows(n, columns, kind)
 
 
