@@ -1,7 +1,7 @@
 """A hierarchical Pitman-Yor language model, seated by Gibbs sampling.
 
 A text is its words and one end. Each token is a customer of the restaurant of the word before it (at
-first, the end): the most frequent words have a restaurant each, all rarer ones share one. The parent
+first, the end): every word has a restaurant of its own, however rare. The parent
 of all these is the word restaurant; its parent spells words, byte by byte and with a final space,
 each byte predicted from the ORDER - 1 before it. Each byte context is a restaurant; its parent is the context without its first byte, which all
 contexts that end alike share; the root's base is uniform over the 256 bytes. The outcomes of a token
@@ -16,14 +16,16 @@ parent's predictions and the restaurants' table totals are refreshed once a swee
 probability is averaged over SAMPLES seatings of all restaurants.
 
 Scale: what is seated are distinct words, with their counts in each context, and distinct byte sequences
-with theirs, made from all training texts. Given what all tables sum to, words are independent, in
-their contexts and in the word restaurant, so their rows lie anywhere. Byte restaurants are grouped by their last two context bytes. Such a group and all
+with theirs, made from all training texts. Pairs of a context and a word are flat rows, counted by the
+pair, so that no frequent word gathers them. Given what all tables sum to, words are independent, in
+their contexts and in the word restaurant; a pair that is seen once has one table, and only the others
+meet their contexts' tables, and then their words, in joins. Byte restaurants are grouped by their last two context bytes. Such a group and all
 above it are bounded by the alphabet, whatever the size of the corpus, and so are the two top levels
 (65,536 dishes), which the driver seats. The spelling tables are broadcast in blocks of BLOCK_ROWS.
 
 A chunk of the corpus (some documents of what one task reads, of about TOKENS tokens) asks once for
-each of its words. The answers go back to the chunk, to meet there, in order, what it has kept of each
-word: the documents that hold it. So every document is summed up in one place. Texts are never shuffled.
+each of its words, of its contexts, and of its pairs. The answers go back to the chunk, to meet there
+what it has kept of each pair: the documents that hold it. So every document is summed up in one place. Texts are never shuffled.
 """
 
 from __future__ import annotations
@@ -31,14 +33,13 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -52,10 +53,6 @@ DISCOUNT = (0.5, 0.6, 0.65, 0.7, 0.75)
 STRENGTH = 1.0
 #: Of the word restaurant, and of the restaurants of words after a context.
 WORD_DISCOUNT, CONTEXT_DISCOUNT = 0.7, 0.75
-#: Contexts: the most frequent words, and one for all others.
-CONTEXTS = 256
-#: So many tokens list their frequent words together: those that are at least such a part of them.
-LISTED, RARE = 2_000_000, 5000
 #: Bytes of texts that are cut into words at once.
 BLOCK_BYTES = 1 << 18
 SWEEPS = 2
@@ -644,6 +641,7 @@ class Chunk:
         self.hashes, self.starts, self.lengths, self.data = [], [], [], []
         self.sizes, self.training = [], []
         self.tokens = self.bytes = self.places = 0
+        self.found = np.zeros(0, np.uint64)  # the hashes of the distinct words
 
     def add(self, texts: list[bytes], training: np.ndarray) -> np.ndarray:
         """The number of tokens of each text."""
@@ -665,8 +663,7 @@ class Chunk:
     def words(self) -> tuple[list[bytes], np.ndarray]:
         """The distinct words, and of each token the number of its word. What the chunk held of them is let go."""
         codes, found = pd.factorize(_taken(self.hashes))
-        codes, n = codes.astype(np.int32), len(found)
-        del found
+        codes, n, self.found = codes.astype(np.int32), len(found), found
         first = np.empty(n, np.int32)
         first[codes[::-1]] = np.arange(len(codes) - 1, -1, -1, dtype=np.int32)
         start, length = _taken(self.starts)[first], _taken(self.lengths)[first]
@@ -682,40 +679,14 @@ def _taken(held: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def common_words(documents: DataFrame, most: int) -> dict[bytes, int]:
-    """The words that are contexts of their own, numbered from 1: the end, and the most frequent of the
-    training texts. Each LISTED tokens list those that are at least a RARE-th of them; which words are
-    chosen is part of the model's shape, and what is then counted is counted over all texts."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def listed(chunk: Chunk) -> pa.RecordBatch:
-            words, codes = chunk.words() if chunk.tokens else ([], np.zeros(0, np.int64))
-            n = np.bincount(codes, minlength=len(words))
-            often = [i for i in np.flatnonzero(n * RARE >= chunk.tokens).tolist() if words[i] != END]
-            return pa.RecordBatch.from_arrays([pa.array([words[i] for i in often], pa.binary()), pa.array(n[often], pa.int64())], ["word", "n"])
-
-        chunk = Chunk()
-        for batch in batches:
-            for texts in _blocks(batch.column("text").to_pylist()):
-                chunk.add(texts, np.zeros(0, bool))
-                if chunk.tokens >= LISTED:
-                    yield listed(chunk)
-                    chunk = Chunk()
-        yield listed(chunk)
-
-    found = mapped(documents.filter("NOT held_out").select("text"), count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    best = found.orderBy(F.desc("n"), "word").limit(most - 2).collect()
-    return {END: 1} | {bytes(r["word"]): i for i, r in enumerate(best, 2)}
-
-
-def word_rows(documents: DataFrame, key: str, common: dict[bytes, int], tokens: int = TOKENS) -> DataFrame:
+def word_rows(documents: DataFrame, key: str, tokens: int = TOKENS) -> DataFrame:
     """A row for each document - chunk, place there, doc_id, n_tokens, held_out - and for each word of a
-    chunk: word, at (its chunk and number there), classes (the contexts that it has there, as bytes
-    in order), seen and times (how often in each, in training texts and in all), refs (the place of each
-    occurrence, context by context)."""
+    chunk: word, at (its chunk and number there), n (its training tokens there), classes (the contexts
+    that it has there: hashes of the words before it, in eight bytes), seen and times (how often in each,
+    in training texts and in all), refs (the place of each occurrence, context by context)."""
     kind = documents.schema[key].dataType
     binary = [T.StructField(n, T.BinaryType()) for n in ("classes", "seen", "times", "refs")]
-    fields = [("chunk", T.LongType()), ("place", T.IntegerType()), ("doc_id", kind), ("n_tokens", T.LongType()), ("held_out", T.BooleanType()), ("word", T.BinaryType()), ("at", T.LongType())]
+    fields = [("chunk", T.LongType()), ("place", T.IntegerType()), ("doc_id", kind), ("n_tokens", T.LongType()), ("held_out", T.BooleanType()), ("word", T.BinaryType()), ("at", T.LongType()), ("n", T.LongType())]
     schema = T.StructType([*(T.StructField(n, k) for n, k in fields), *binary])
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -727,7 +698,7 @@ def word_rows(documents: DataFrame, key: str, common: dict[bytes, int], tokens:
             for texts in _blocks(batch.column("text").to_pylist()):
                 n = len(texts)
                 if chunk.tokens >= tokens or chunk.places + n > PLACES:
-                    yield from _sliced(_word_rows(chunk, number << CHUNK_BITS, kind, common))
+                    yield from _sliced(_word_rows(chunk, number << CHUNK_BITS, kind))
                     chunk, number = Chunk(), number + 1
                 place = chunk.places
                 sizes = chunk.add(texts, ~held[at : at + n])
@@ -735,7 +706,7 @@ def word_rows(documents: DataFrame, key: str, common: dict[bytes, int], tokens:
                 yield _rows(n, {c: pa.array(v) for c, v in columns.items()} | {"doc_id": batch.column(key).slice(at, n)}, kind)
                 at += n
         if chunk.tokens:
-            yield from _sliced(_word_rows(chunk, number << CHUNK_BITS, kind, common))
+            yield from _sliced(_word_rows(chunk, number << CHUNK_BITS, kind))
 
     return mapped(documents.select(key, "text", "held_out"), split, schema)
 
@@ -747,211 +718,322 @@ def _sliced(rows: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
 
 
 def _rows(n: int, columns: dict, kind) -> pa.RecordBatch:
-    kinds = {"chunk": pa.int64(), "place": pa.int32(), "doc_id": kind, "n_tokens": pa.int64(), "held_out": pa.bool_(), "word": pa.binary(), "at": pa.int64()} | dict.fromkeys(("classes", "seen", "times", "refs"), pa.binary())
+    kinds = {"chunk": pa.int64(), "place": pa.int32(), "doc_id": kind, "n_tokens": pa.int64(), "held_out": pa.bool_(), "word": pa.binary(), "at": pa.int64(), "n": pa.int64()} | dict.fromkeys(("classes", "seen", "times", "refs"), pa.binary())
     return pa.RecordBatch.from_arrays([columns[c] if c in columns else pa.nulls(n, k) for c, k in kinds.items()], list(kinds))
 
 
-def _word_rows(chunk: Chunk, first: int, kind, common: dict[bytes, int]) -> pa.RecordBatch:
+def _word_rows(chunk: Chunk, first: int, kind) -> pa.RecordBatch:
     words, ids = chunk.words()
     n, sizes = len(words), np.concatenate(chunk.sizes)
-    own = np.fromiter((common.get(w, 0) for w in words), np.int64, n)
-    tokens = np.empty(len(ids), np.int64)
-    tokens[1:] = own[ids[:-1]]
-    tokens[np.cumsum(sizes) - sizes] = common[END]  # a text begins after an end
-    tokens <<= 16
-    tokens |= np.repeat(np.arange(len(sizes), dtype=np.uint16), sizes)
-    tokens |= ids.astype(np.int64) << 24
-    del ids, own
-    tokens.sort()
-    place = (tokens & 0xFFFF).astype(np.uint16)
-    tokens >>= 16
-    start = np.flatnonzero(np.diff(tokens, prepend=-1)).astype(np.int32)
-    size = len(tokens)
-    classes, word = (tokens[start] & 255).astype(np.uint8), (tokens[start] >> 8).astype(np.int32)
-    del tokens
+    bits = n.bit_length()
+    pair = np.empty(len(ids), np.int64)  # a token's word and the one before it
+    pair[1:] = ids[:-1]
+    pair[np.cumsum(sizes) - sizes] = ids[sizes[0] - 1]  # a text begins after an end
+    pair |= ids.astype(np.int64) << bits
+    del ids
+    place = np.repeat(np.arange(len(sizes), dtype=np.uint16), sizes)
+    if 2 * bits + 16 < 64:
+        pair = pair << 16 | place
+        pair.sort()
+        place = (pair & 0xFFFF).astype(np.uint16)
+        pair >>= 16
+    else:
+        order = np.lexsort((place, pair))
+        pair, place = pair[order], place[order]
+        del order
+    start = np.flatnonzero(np.diff(pair, prepend=-1))
+    size, pair = len(pair), pair[start]
+    word = pair >> bits
+    edges = np.searchsorted(word, np.arange(n + 1))
+    classes = chunk.found[pair & ((1 << bits) - 1)]
+    del word, pair
     seen = np.add.reduceat(np.concatenate(chunk.training)[place], start, dtype=np.uint32)
-    times = np.diff(start, append=np.int32(size)).astype(np.uint32)
-    edges = np.searchsorted(word, np.arange(n + 1, dtype=np.int32))
+    start = np.append(start, size)
+    times = np.diff(start).astype(np.uint32)
     columns = {"at": pa.array(np.arange(first, first + n)), "word": pa.array(words, pa.binary())}
+    columns["n"] = pa.array(np.add.reduceat(seen, edges[:-1], dtype=np.int64))
     columns |= {"classes": _binaries(classes, edges), "seen": _binaries(seen, edges), "times": _binaries(times, edges)}
-    columns["refs"] = _binaries(place, np.append(start, np.int32(size))[edges])
+    columns["refs"] = _binaries(place, start[edges])
     return _rows(n, columns, kind)
 
 
-def word_totals(words: DataFrame) -> DataFrame:
-    """word, total, classes and counts (a long for each), over all chunks: rows of a word are read in
-    order and added up one by one, whatever their number."""
+def _contexts(column: pa.Array, n: int) -> np.ndarray:
+    """n contexts of a binary column, as long as they are: one to eight bytes each."""
+    return _unbound(column, f"<u{len(_unbound(column, np.uint8)) // n if n else 8}").astype(np.uint64).view(np.int64)
 
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
 
-        def out(word, group: np.ndarray, classes: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
-            edges = np.searchsorted(group, np.arange(len(word) + 1))
-            total = np.bincount(group, counts, len(word)).astype(np.int64)
-            return pa.RecordBatch.from_arrays([word, pa.array(total), _binaries(classes, edges), _binaries(counts, edges)], ["word", "total", "classes", "counts"])
+def pairs_of(words: DataFrame, counts: str, kind: str) -> DataFrame:
+    """context, w (a word's hash) and n, for each pair with a count, over all rows (word, classes, counts)."""
 
-        for batch in _together(batches, SEATED):
-            word, sizes = batch.column("word"), np.diff(_edges(batch.column("classes")))
-            classes, counts = _unbound(batch.column("classes"), np.uint8), _unbound(batch.column("seen"), "<u4").astype(np.int64)
-            if held is not None:
-                word, sizes = pa.concat_arrays([pa.array([held[0]], pa.binary()), word]), np.append(len(held[1]), sizes)
-                classes, counts = np.append(held[1], classes), np.append(held[2], counts)
-            new = np.append(True, pc.not_equal(word[1:], word[:-1]).to_numpy(zero_copy_only=False))
-            key = np.repeat(np.cumsum(new) - 1, sizes) << 8 | classes
-            found, place = np.unique(key, return_inverse=True)
-            counts = np.bincount(place, counts, len(found)).astype(np.int64)
-            word = word.take(pa.array(np.flatnonzero(new)))
-            group, classes = found >> 8, (found & 255).astype(np.uint8)
-            last = group == len(word) - 1
-            held = (word[-1].as_py(), classes[last], counts[last])
-            if len(word) > 1:
-                yield out(word[:-1], group[~last], classes[~last], counts[~last])
-        if held is not None:
-            yield out(pa.array([held[0]], pa.binary()), np.zeros(len(held[1]), np.int64), held[1], held[2])
-
-    rows = words.select("word", "classes", "seen").repartition("word").sortWithinPartitions("word")
-    return mapped(rows, add, "word binary, total long, classes binary, counts binary")
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = _unbound(batch.column(counts), kind).astype(np.int64)
+            context = _contexts(batch.column("classes"), len(n))
+            w = np.repeat(batch.column("w").to_numpy(), np.diff(_edges(batch.column(counts))) // np.dtype(kind).itemsize)
+            some = n > 0
+            yield pa.RecordBatch.from_arrays([pa.array(context[some]), pa.array(w[some]), pa.array(n[some])], ["context", "w", "n"])
+
+    rows = words.select(F.xxhash64("word").alias("w"), "classes", counts)
+    return mapped(rows, split, "context long, w long, n long").groupBy("context", "w").agg(F.sum("n").alias("n"))
 
 
 @dataclass
 class Restaurants:
-    """The customers of the context restaurants; and, for each seating, their tables, and the customers
-    and tables of the word restaurant."""
+    """contexts: context, customers, singles (dishes of one customer) and tables (for each seating) of the
+    context restaurants; rests: context, w and the customers less what their tables are discounted,
+    averaged over the seatings; and, for each seating, the customers and tables of the word restaurant."""
 
-    customers: np.ndarray  # contexts
-    tables: np.ndarray  # seatings, contexts
-    own: np.ndarray  # seatings
-    own_tables: np.ndarray  # seatings
+    contexts: DataFrame
+    rests: DataFrame | None
+    own: list[int]
+    own_tables: list[int]
 
-    def of(self, seating: int) -> tuple[np.ndarray, float, float]:
-        i = min(seating, len(self.own) - 1)
-        return self.tables[i], self.own[i], self.own_tables[i]
+    @property
+    def customers(self) -> pd.Series:
+        """By context, brought to the driver: of small models."""
+        return pd.Series({r["context"]: r["customers"] for r in self.contexts.select("context", "customers").collect()})
 
 
-def first_seating(totals: DataFrame) -> Restaurants:
+def first_seating(words: DataFrame, pairs: DataFrame) -> Restaurants:
     """Every dish at one table."""
+    counted = pairs.groupBy("context").agg(F.sum("n").alias("customers"), F.count_if(F.col("n") == 1).alias("singles"), F.array(F.count("*")).alias("tables"))
+    return Restaurants(written(counted, "contexts", "zstd"), None, [pairs.count()], [words.filter("total > 0").count()])
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        customers, tables, words = np.zeros(CONTEXTS), np.zeros(CONTEXTS), 0
-        for batch in batches:
-            classes, counts = _unbound(batch.column("classes"), np.uint8), _unbound(batch.column("counts"), np.int64)
-            customers += np.bincount(classes, counts, CONTEXTS)
-            tables += np.bincount(classes, counts > 0, CONTEXTS)
-            words += int((batch.column("total").to_numpy() > 0).sum())
-        yield pa.RecordBatch.from_arrays([pa.array([np.concatenate([customers, tables, [words]]).tobytes()])], ["sums"])
 
-    rows = [np.frombuffer(r["sums"]) for r in mapped(totals, count, "sums binary").collect()]  # one of a task
-    sums = np.sum([np.zeros(2 * CONTEXTS + 1), *rows], axis=0)
-    customers, tables = sums[:CONTEXTS], sums[CONTEXTS:-1]
-    return Restaurants(customers, tables[None], tables.sum(keepdims=True), sums[-1:])
+def _whole(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of at least so many, each with all pairs of its words. A word's row (kind 0) is before its pairs."""
+    held, size = [], 0
+    for batch in batches:
+        heads = np.flatnonzero(batch.column("kind").to_numpy() == 0)
+        held.append(batch)
+        size += batch.num_rows
+        if size >= rows and len(heads):
+            last = int(heads[-1])
+            held[-1] = batch.slice(0, last)
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, size = [batch.slice(last)], batch.num_rows - last
+    if size:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
 
 
-def seated(words: DataFrame, at: Restaurants, samples: int) -> tuple[DataFrame, Restaurants]:
-    """words (word, total, classes, counts, spelling) seated in their contexts and in the word
-    restaurant, in so many seatings: with `served` (its customers of the word restaurant) and `seats`
-    (its tables there), for each seating, and `rest` (for each context the customers less what their
-    tables are discounted, averaged); and what all tables sum to.
+def seated(words: DataFrame, pairs: DataFrame, at: Restaurants, samples: int) -> tuple[DataFrame, Restaurants]:
+    """words (word, total, spelling) seated in their contexts and in the word restaurant, in so many
+    seatings, given the first one of `at`: with `served` (its customers of the word restaurant) and
+    `seats` (its tables there), for each seating; and what all tables sum to.
 
-    Given what all sum to in the seating before, the words are independent.
+    Given what all sum to in the seating before, the words are independent. A word that is seen once
+    after a context has one table there.
     """
     fields = [T.StructField(n, T.ArrayType(T.LongType())) for n in ("served", "seats")]
-    given = [T.StructField(f.name, f.dataType) for f in words.schema.fields]  # null in the rows of sums
-    schema = T.StructType([*given, *fields, T.StructField("rest", T.BinaryType()), T.StructField("sums", T.BinaryType())])
+    given = [T.StructField(n, words.schema[n].dataType) for n in ("word", "total", "spelling")]
+    of_pair = [T.StructField("context", T.LongType()), T.StructField("w", T.LongType()), T.StructField("rest", T.DoubleType()), T.StructField("held", T.ArrayType(T.LongType()))]
+    schema = T.StructType([*given, *fields, *of_pair])
+    kinds = [f.type for f in to_arrow_schema(schema)]
+    own, own_tables = at.own[0], at.own_tables[0]
 
     def seat(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         random_ = np.random.default_rng(TaskContext.get().partitionId())
-        sums = np.zeros((samples, CONTEXTS + 2))
-        for batch in _together(batches, SEATED):
-            n, edges = batch.num_rows, _edges(batch.column("classes"))
-            word, classes = np.repeat(np.arange(n), np.diff(edges)), _unbound(batch.column("classes"), np.uint8)
-            counts = _unbound(batch.column("counts"), np.int64)
-            spelling = 10.0 ** batch.column("spelling").flatten().to_numpy().reshape(-1, SAMPLES)
-            served = np.bincount(word, counts > 0, n).astype(np.int64)
+        for batch in _whole(batches, SEATED):
+            of_word = batch.column("kind").to_numpy() == 0
+            heads, of = pa.array(np.flatnonzero(of_word)), pa.array(np.flatnonzero(~of_word))
+            n, word = len(heads), (np.cumsum(of_word) - 1)[~of_word]
+            singles, counts = (batch.column("n").take(x).to_numpy() for x in (heads, of))
+            tables = batch.column("tables").take(of).to_numpy(zero_copy_only=False).astype(float)
+            spelling = 10.0 ** batch.column("spelling").take(heads).flatten().to_numpy().reshape(-1, SAMPLES)
+            served = singles + np.bincount(word, minlength=n)
             seats = np.minimum(served, 1)
-            all_served, all_seats, rest = np.zeros((n, samples), np.int64), np.zeros((n, samples), np.int64), np.zeros(len(counts))
+            all_served, all_seats = np.zeros((n, samples), np.int64), np.zeros((n, samples), np.int64)
+            all_held, rest = np.zeros((len(word), samples), np.int64), np.zeros(len(word))
             for turn in range(SWEEPS + samples - 1):
                 s = max(0, turn - SWEEPS + 1)
-                tables, own, own_tables = at.of(s)
                 new = (STRENGTH + WORD_DISCOUNT * own_tables) * spelling[:, s]
                 chance = (served - WORD_DISCOUNT * seats + new) / (STRENGTH + own)
-                held = small_tables(counts, (STRENGTH + CONTEXT_DISCOUNT * tables[classes]) * chance[word], CONTEXT_DISCOUNT, random_)
-                served = np.bincount(word, held, n).astype(np.int64)
+                held = small_tables(counts, (STRENGTH + CONTEXT_DISCOUNT * tables) * chance[word], CONTEXT_DISCOUNT, random_)
+                served = singles + np.bincount(word, held, n).astype(np.int64)
                 seats = small_tables(served, new, WORD_DISCOUNT, random_)
                 if turn >= SWEEPS - 1:
-                    all_served[:, s], all_seats[:, s] = served, seats
+                    all_served[:, s], all_seats[:, s], all_held[:, s] = served, seats, held
                     rest += (counts - CONTEXT_DISCOUNT * held) / samples
-                    sums[s, :CONTEXTS] += np.bincount(classes, held, CONTEXTS)
-                    sums[s, CONTEXTS:] += served.sum(), seats.sum()
-            edges = edges - edges[0]
-            yield pa.RecordBatch.from_arrays([*batch.columns, _lists(all_served), _lists(all_seats), _binaries(rest.astype(np.float32), edges), pa.nulls(n, pa.binary())], schema.names)
-        nothing = [pa.nulls(1, f.type) for f in to_arrow_schema(schema)]
-        yield pa.RecordBatch.from_arrays([*nothing[:-1], pa.array([sums.tobytes()])], schema.names)
-
-    done = written(mapped(words, seat, schema), "seated", "zstd")
-    rows = [np.frombuffer(r["sums"]) for r in done.filter("sums IS NOT NULL").select("sums").collect()]  # one of a task
-    sums = np.sum([np.zeros(samples * (CONTEXTS + 2)), *rows], axis=0).reshape(samples, -1)
-    return done.filter("sums IS NULL").drop("sums"), Restaurants(at.customers, sums[:, :CONTEXTS], sums[:, CONTEXTS], sums[:, CONTEXTS + 1])
+            columns = [batch.column(c).take(heads) for c in ("word", "total", "spelling")]
+            yield pa.RecordBatch.from_arrays([*columns, _lists(all_served), _lists(all_seats), *(pa.nulls(n, k) for k in kinds[5:])], schema.names)
+            columns = [batch.column(c).take(of) for c in ("context", "w")]
+            yield pa.RecordBatch.from_arrays([*(pa.nulls(len(word), k) for k in kinds[:5]), *columns, pa.array(rest), _lists(all_held)], schema.names)
+
+    def none(name: str, kind) -> Column:
+        return F.lit(None).cast(kind).alias(name)
+
+    once = pairs.filter("n = 1").groupBy("w").agg(F.count("*").alias("n"))
+    heads = words.withColumn("w", F.xxhash64("word")).join(once, "w", "left")
+    heads = heads.select("w", F.lit(0).alias("kind"), F.coalesce("n", F.lit(0)).cast("long").alias("n"), none("context", "long"), none("tables", "long"), "word", "total", "spelling")
+    often = pairs.filter("n > 1").join(at.contexts.select("context", F.get("tables", F.lit(0)).alias("tables")), "context")
+    often = often.select("w", F.lit(1).alias("kind"), "n", "context", "tables", *[none(f.name, f.dataType) for f in given])
+    done = written(mapped(heads.unionByName(often).repartition("w").sortWithinPartitions("w", "kind"), seat, schema), "seated", "zstd")
+    turns = range(samples)
+    sums = done.filter("word IS NOT NULL").agg(*[F.coalesce(F.sum(F.get(c, F.lit(s))), F.lit(0)) for c in ("served", "seats") for s in turns]).first()
+    more = done.filter("word IS NULL")
+    held = more.groupBy("context").agg(*[F.sum(F.get("held", F.lit(s))).alias(f"held{s}") for s in turns])
+    tables = F.array(*[F.col("singles") + F.coalesce(f"held{s}", F.lit(0)) for s in turns])
+    contexts = written(at.contexts.drop("tables").join(held, "context", "left").select("context", "customers", "singles", tables.alias("tables")), "contexts", "zstd")
+    rests = pairs.filter("n = 1").select("context", "w", F.lit(1 - CONTEXT_DISCOUNT).alias("rest")).unionByName(more.select("context", "w", "rest"))
+    return done.filter("word IS NOT NULL").select("word", "total", "spelling", "served", "seats"), Restaurants(contexts, rests, list(sums[:samples]), list(sums[samples:]))
+
+
+ANSWERS = "chunk long, kind int, at long, a binary, b binary, c binary"
+
+
+def _by_chunk(chunks: np.ndarray, kind: int, *parts: np.ndarray) -> pa.RecordBatch:
+    """Rows of arrays, those of a chunk packed together."""
+    order = np.argsort(chunks, kind="stable")
+    found, start = np.unique(chunks[order], return_index=True)
+    edges = np.append(start, len(chunks))
+    columns = [_binaries(part[order].ravel(), edges * (part.size // max(1, len(part)))) for part in parts]
+    columns += [pa.nulls(len(found), pa.binary())] * (3 - len(parts))
+    return pa.RecordBatch.from_arrays([pa.array(found), pa.array(np.full(len(found), kind, np.int32)), pa.array(np.zeros(len(found), np.int64)), *columns], ["chunk", "kind", "at", "a", "b", "c"])
 
 
 def _sums(words: DataFrame, known: DataFrame, at: Restaurants) -> DataFrame:
     """By document: sums over its words of count * log10(total + 1), of count * log10 P, and of the
-    counts of words with a total. known: word, total, chances (P in the word restaurant, for each
-    seating), classes and rest.
+    counts of words with a total. known: word, total, chances (P in the word restaurant, for each seating).
 
-    Answers and references have the same numbers, an answer the even one and its reference the next.
+    A chunk is sent, in this order, its contexts (customers, and for each seating the weight of the word
+    restaurant), its words' references, its words (total and chances), and its pairs that are known. The
+    tables behind at.rests are deleted.
     """
-    weights = (STRENGTH + CONTEXT_DISCOUNT * at.tables) / (STRENGTH + at.customers)  # of the word restaurant, in each context
+    mask = (1 << CHUNK_BITS) - 1
+
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunk, held = -1, []
+
+        def out() -> pa.RecordBatch:
+            found = np.unique(np.concatenate(held))
+            return pa.RecordBatch.from_arrays([pa.array(np.full(len(found), chunk)), pa.array(found)], ["chunk", "context"])
 
-    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _together(batches, SEATED):
-            number = np.arange(batch.num_rows)
-            edges = _edges(batch.column("classes"))
-            word, classes = np.repeat(number, np.diff(edges)), _unbound(batch.column("classes"), np.uint8)
-            every = np.repeat(number, np.diff(_edges(batch.column("every")))) << 8 | _unbound(batch.column("every"), np.uint8)
-            rest = _unbound(batch.column("rest"), np.float32)[np.searchsorted(every, word << 8 | classes)]
-            chances = _unbound(batch.column("chances"), np.float32).reshape(-1, SAMPLES)
-            # A token's probability in each seating, averaged over the seatings.
-            backed = sum(chances[word, i] * weights[i, classes] for i in range(SAMPLES)) / SAMPLES
-            log_p = np.log10(rest / (STRENGTH + at.customers[classes]) + backed).astype(np.float32)
-            yield pa.RecordBatch.from_arrays([pa.array(2 * batch.column("at").to_numpy()), batch.column("total"), _binaries(log_p, edges - edges[0])], ["at", "total", "log_p"])
+            chunks = batch.column("at").to_numpy() >> CHUNK_BITS
+            edges = _edges(batch.column("times")) // 4
+            contexts = _contexts(batch.column("classes"), edges[-1] - edges[0])
+            for own in np.unique(chunks).tolist():
+                if own != chunk and held:
+                    yield out()
+                    held = []
+                chunk = own
+                held.append(np.unique(contexts[np.repeat(chunks, np.diff(edges)) == own]))
+        if held:
+            yield out()
+
+    def of_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _together(batches, SEATED):
+            tables, customers = batch.column("tables").flatten().to_numpy().reshape(-1, SAMPLES), batch.column("customers").to_numpy().astype(float)
+            weights = (STRENGTH + CONTEXT_DISCOUNT * tables) / (STRENGTH + customers)[:, None]
+            yield _by_chunk(batch.column("chunk").to_numpy(), 0, batch.column("context").to_numpy(), np.column_stack([customers, weights]))
+
+    def of_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _together(batches, SEATED):
+            number, chances = batch.column("at").to_numpy(), _unbound(batch.column("chances"), np.float32).reshape(-1, SAMPLES)
+            yield _by_chunk(number >> CHUNK_BITS, 2, (number & mask).astype(np.uint32), batch.column("total").to_numpy(), chances)
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            edges = _edges(batch.column("times")) // 4
+            sizes, n = np.diff(edges), edges[-1] - edges[0]
+            column = np.arange(n, dtype=np.int32) - np.repeat(edges[:-1] - edges[0], sizes).astype(np.int32)
+            w, number = (np.repeat(batch.column(c).to_numpy(), sizes) for c in ("w", "at"))
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (_contexts(batch.column("classes"), n), w, number, column)], ["context", "w", "at", "column"])
+
+    def of_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _together(batches, 4 * SEATED):
+            number = batch.column("at").to_numpy()
+            yield _by_chunk(number >> CHUNK_BITS, 3, (number & mask).astype(np.uint32), batch.column("column").to_numpy(), batch.column("rest").to_numpy().astype(np.float32))
 
     # Where each task's share of a join's smaller side is seen to be small, it is hashed and nothing sorted.
     words.sparkSession.conf.set("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", HASHED)
-    asked = words.select("word", "at", "classes").join(known.withColumnRenamed("classes", "every"), "word")
-    none = F.lit(None).cast("binary")
-    answers = mapped(asked.select("at", "classes", "total", "every", "rest", "chances"), answer, "at long, total long, log_p binary").select("at", "total", "log_p", none.alias("times"), none.alias("refs"))
-    refs = words.select((2 * F.col("at") + 1).alias("at"), F.lit(None).cast("long").alias("total"), none.alias("log_p"), "times", "refs")
-    dealt = answers.unionByName(refs).repartition(F.shiftright("at", CHUNK_BITS + 1)).sortWithinPartitions("at")
+    contexts = mapped(words.select("at", "classes", "times"), near, "chunk long, context long").join(at.contexts.hint("merge"), "context")
+    asked = mapped(words.select(F.xxhash64("word").alias("w"), "at", "classes", "times"), ask, "context long, w long, at long, column int")
+    # Pairs are too many to be hashed, and sorted. Written, so that what the join shuffles is gone before all is dealt to the chunks.
+    of_known = written(mapped(asked.join(at.rests.hint("merge"), ["context", "w"]).select("at", "column", "rest"), of_pairs, ANSWERS), "answers", "zstd")
+    forget(at.rests)
+    answers = [
+        mapped(contexts.select("chunk", "context", "customers", "tables"), of_contexts, ANSWERS),
+        words.select(F.shiftright("at", CHUNK_BITS).alias("chunk"), F.lit(1).alias("kind"), "at", F.col("classes").alias("a"), F.col("times").alias("b"), F.col("refs").alias("c")),
+        mapped(words.select("word", "at").join(known, "word").select("at", "total", "chances"), of_words, ANSWERS),
+        of_known,
+    ]
+    dealt = reduce(DataFrame.unionByName, answers).repartition("chunk").sortWithinPartitions("chunk", "kind", "at")
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunk, sums, rest = -1, np.zeros((4, 0)), None
-        for batch in _together(batches, SEATED):
-            table = pa.Table.from_batches([batch] if rest is None else [rest, batch]).combine_chunks()
-            even = table.num_rows // 2 * 2
-            rest = table.slice(even).to_batches()[0] if even < table.num_rows else None
-            if not even:
-                continue
-            pairs = np.arange(0, even, 2)
-            chunks = table["at"].to_numpy()[pairs] >> (CHUNK_BITS + 1)
-            first, second = table.take(pa.array(pairs)), table.take(pa.array(pairs + 1))
-            for own in np.unique(chunks).tolist():
-                if own != chunk:
-                    yield from _summed(chunk, sums)
-                    chunk, sums = own, np.zeros((4, 0))
-                lo, hi = np.searchsorted(chunks, [own, own + 1])
-                own_first, own_second = (t.slice(lo, hi - lo).combine_chunks().to_batches()[0] for t in (first, second))
-                where, times = _unbound(own_second.column("refs"), np.uint16), _unbound(own_second.column("times"), "<u4")
-                log_p = np.repeat(_unbound(own_first.column("log_p"), np.float32), times).astype(float)
-                total = np.repeat(own_first.column("total").to_numpy(), np.diff(_edges(own_second.column("refs"))) // 2)
-                more = [np.bincount(where, v) for v in (np.log10(total + 1.0), log_p, total > 0, np.ones(len(where)))]
-                if len(more[0]) > sums.shape[1]:
-                    sums = np.pad(sums, ((0, 0), (0, len(more[0]) - sums.shape[1])))
-                sums[:, : len(more[0])] += more
-        yield from _summed(chunk, sums)
+        chunk, held = -1, Answers()
+        for batch in batches:
+            chunks, kinds = batch.column("chunk").to_numpy(), batch.column("kind").to_numpy()
+            start = np.flatnonzero((np.diff(chunks, prepend=-1) != 0) | (np.diff(kinds, prepend=-1) != 0)).tolist()
+            for lo, hi in zip(start, [*start[1:], len(chunks)], strict=True):
+                if chunks[lo] != chunk:
+                    yield from _summed(chunk, held.sums())
+                    chunk, held = int(chunks[lo]), Answers()
+                held.add(int(kinds[lo]), batch.slice(lo, hi - lo))
+        yield from _summed(chunk, held.sums())
 
     return mapped(dealt, add, "chunk long, place int, logs double, score double, known long")
 
 
+class Answers:
+    """What a chunk is sent, by kind."""
+
+    def __init__(self) -> None:
+        self.held: list[list[tuple]] = [[], [], [], []]
+
+    def add(self, kind: int, rows: pa.RecordBatch) -> None:
+        a, b, c = (rows.column(n) for n in "abc")
+        if kind == 0:
+            parts = _unbound(a, np.int64), _unbound(b, float).reshape(-1, 1 + SAMPLES)
+        elif kind == 1:
+            times = _unbound(b, "<u4")
+            number = rows.column("at").to_numpy() & ((1 << CHUNK_BITS) - 1)
+            parts = number, np.diff(_edges(b)) // 4, _contexts(a, len(times)), times, _unbound(c, np.uint16)
+        elif kind == 2:
+            parts = _unbound(a, np.uint32), _unbound(b, np.int64), _unbound(c, np.float32).reshape(-1, SAMPLES)
+        else:
+            parts = _unbound(a, np.uint32), _unbound(b, np.int32), _unbound(c, np.float32)
+        self.held[kind].append(tuple(np.array(p) for p in parts))
+
+    def _all(self, kind: int) -> tuple:
+        held, self.held[kind] = self.held[kind], []
+        return tuple(np.concatenate(p) for p in zip(*held, strict=True))
+
+    def sums(self) -> np.ndarray:
+        """By place: log10(total + 1), log10 P, tokens with a total, and tokens."""
+        if not self.held[1]:
+            return np.zeros((4, 0))
+        number, sizes, contexts, times, refs = self._all(1)
+        edges = np.append(0, np.cumsum(sizes))
+        asked, total, chances = self._all(2)
+        order = np.argsort(asked)
+        total, chances = total[order], chances[order]
+        rest = np.zeros(len(contexts), np.float32)
+        if self.held[3]:
+            asked, column, known = self._all(3)
+            rest[edges[np.searchsorted(number, asked)] + column] = known
+        # A context that no training text has serves nobody, and asks its parent alone.
+        found, values = self._all(0) if self.held[0] else (np.zeros(0, np.int64), np.zeros((0, 1 + SAMPLES)))
+        order = np.argsort(found)
+        found, values = found[order], np.vstack([values[order], [0.0] + [1.0] * SAMPLES])
+        sums, place = np.zeros((4, 1 + int(refs.max()))), 0
+        for lo in range(0, len(number), SEATED):
+            hi = min(lo + SEATED, len(number))
+            of = slice(edges[lo], edges[hi])
+            row = np.searchsorted(found, contexts[of])
+            row[found[np.minimum(row, len(found) - 1)] != contexts[of] if len(found) else slice(None)] = len(found)
+            word = np.repeat(np.arange(lo, hi), sizes[lo:hi])
+            # A token's probability in each seating, averaged over the seatings.
+            backed = sum(chances[word, i] * values[row, 1 + i] for i in range(SAMPLES)) / SAMPLES
+            log_p = np.repeat(np.log10(rest[of] / (STRENGTH + values[row, 0]) + backed), times[of])
+            of_token = np.repeat(total[word], times[of])
+            where = refs[place : place + len(of_token)]
+            place += len(of_token)
+            for i, v in enumerate((np.log10(of_token + 1.0), log_p, of_token > 0, np.ones(len(where)))):
+                sums[i] += np.bincount(where, v, sums.shape[1])
+        return sums
+
+
 def _summed(chunk: int, sums: np.ndarray) -> Iterator[pa.RecordBatch]:
     """The documents of a chunk; they have at least one token each."""
     place = np.flatnonzero(sums[3])
@@ -961,24 +1043,29 @@ def _summed(chunk: int, sums: np.ndarray) -> Iterator[pa.RecordBatch]:
 
 
 def learned(totals: DataFrame, block_rows: int = BLOCK_ROWS) -> tuple[DataFrame, Restaurants]:
-    """word, total, classes, rest and chances of each word of totals (word, total, classes, counts), as
-    _sums() takes them; and what all tables sum to. A word without a total stands for all unknown ones."""
+    """What learned_from() has of totals (word, total, classes and counts: a long for each)."""
+    return learned_from(totals.select("word", "total"), written(pairs_of(totals, "counts", "<i8"), "pairs", "zstd"), block_rows)
+
+
+def learned_from(totals: DataFrame, pairs: DataFrame, block_rows: int = BLOCK_ROWS) -> tuple[DataFrame, Restaurants]:
+    """word, total and chances of each word of totals (word, total), as _sums() takes them; and what all
+    tables sum to. A word without a total stands for all unknown ones. pairs: context, w and n."""
     model, top = fit(totals.filter("total > 0").select("word", F.lit(1).cast("long").alias("n")))
-    first, at = seated(spelt(totals, model, top, block_rows), first_seating(totals), 1)
-    forget(model)
+    start = first_seating(totals, pairs)
+    first, at = seated(spelt(totals, model, top, block_rows), pairs, start, 1)
+    forget(model, start.contexts)
     model, top = fit(first.select("word", F.get("seats", F.lit(0)).alias("n")).filter("n > 0"))
-    last, at = seated(spelt(totals, model, top, block_rows), at, SAMPLES)
-    forget(model, first)
+    before = at.contexts
+    last, at = seated(spelt(totals, model, top, block_rows), pairs, at, SAMPLES)
+    forget(model, first, before)
     spelling = [F.pow(F.lit(10.0), F.get("spelling", F.lit(i))) for i in range(SAMPLES)]
     left = last.filter("total > 0").agg(*[F.coalesce(F.sum(p), F.lit(0.0)) for p in spelling]).first()
     chances = []
     for i, p in enumerate(spelling):
         p = F.when(F.col("total") > 0, p).otherwise(max(1e-12, 1 - left[i]))
-        own, tables = (float(x[i]) for x in (at.own, at.own_tables))
+        own, tables = float(at.own[i]), float(at.own_tables[i])
         chances.append((F.get("served", F.lit(i)) - WORD_DISCOUNT * F.get("seats", F.lit(i)) + (STRENGTH + WORD_DISCOUNT * tables) * p) / (STRENGTH + own))
-    known = written(_packed(last.select("word", "total", "classes", "rest", F.array(*chances).alias("chances"))), "known", "zstd")
-    forget(last)
-    return known, at
+    return written(_packed(last.select("word", "total", F.array(*chances).alias("chances"))), "known", "zstd"), at
 
 
 def _packed(known: DataFrame) -> DataFrame:
@@ -987,9 +1074,9 @@ def _packed(known: DataFrame) -> DataFrame:
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             values = batch.column("chances").flatten().to_numpy(zero_copy_only=False).astype(np.float32)
-            yield batch.set_column(4, "chances", _binaries(values, SAMPLES * np.arange(batch.num_rows + 1)))
+            yield batch.set_column(2, "chances", _binaries(values, SAMPLES * np.arange(batch.num_rows + 1)))
 
-    return mapped(known, pack, "word binary, total long, classes binary, rest binary, chances binary")
+    return mapped(known, pack, "word binary, total long, chances binary")
 
 
 def score(documents: DataFrame, *, key: str = "doc_id", block_rows: int = BLOCK_ROWS, tokens: int = TOKENS) -> DataFrame:
@@ -1000,15 +1087,16 @@ def score(documents: DataFrame, *, key: str = "doc_id", block_rows: int = BLOCK_
     come back each time.
     """
     marked = documents.select(key, "text", (crc_mod(key, 7) == 2).alias("held_out"))
-    # Words and places hardly repeat: looking for repeats in them is in vain.
-    for column in ("word", "at", "refs"):
+    # Words, hashes and places hardly repeat: looking for repeats in them is in vain.
+    for column in ("word", "at", "refs", "classes", "context", "w"):
         documents.sparkSession.conf.set(f"parquet.enable.dictionary#{column}", "false")
-    rows = written(word_rows(marked, key, common_words(marked, CONTEXTS), tokens), "words", "zstd")
+    rows = written(word_rows(marked, key, tokens), "words", "zstd")
     docs = rows.filter(F.col("place").isNotNull()).select("chunk", "place", "doc_id", "n_tokens", "held_out")
-    words = rows.filter(F.col("word").isNotNull()).select("word", "at", "classes", "seen", "times", "refs")
-    totals = written(word_totals(words), "totals", "zstd")
+    words = rows.filter(F.col("word").isNotNull()).select("word", "at", "n", "classes", "seen", "times", "refs")
+    totals = written(words.groupBy("word").agg(F.sum("n").alias("total")), "totals", "zstd")
+    pairs = written(pairs_of(words, "seen", "<u4"), "pairs", "zstd")
     n, v = totals.filter("total > 0").agg(F.coalesce(F.sum("total"), F.lit(0)), F.count("*")).first()
-    known, at = learned(totals, block_rows)
+    known, at = learned_from(totals, pairs, block_rows)
     joined = docs.join(_sums(words, known, at), ["chunk", "place"])
     return joined.select(
         "doc_id",
