@@ -495,6 +495,18 @@ def _named(rows: DataFrame, roots: DataFrame, column: str, root: str) -> DataFra
     return rows.join(roots.select(F.col("content").alias(column), F.col("root").alias(root)), column, "left").withColumn(root, F.coalesce(root, column))
 
 
+def _joined(roots: DataFrame, edges: DataFrame) -> DataFrame:
+    """The roots (content, root) once edges (a, b) are added: what they link are roots, and few, as most
+    contents are linked already."""
+    ends = _named(_named(edges, roots, "a", "low"), roots, "b", "high")
+    above = components(ends.select(F.col("low").alias("a"), F.col("high").alias("b")))
+    if above.isEmpty():
+        return roots
+    # A root is no content of `roots`, so no content comes twice.
+    moved = roots.join(above.select(F.col("node").alias("root"), F.col("root").alias("above")), "root", "left")
+    return written(moved.select("content", F.coalesce("above", "root").alias("root")).unionByName(above.withColumnRenamed("node", "content")), "roots")
+
+
 def _mixed(rows: DataFrame) -> DataFrame:
     """The rows, stored, of keys that have more than one root."""
     keys = rows.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low != high").select("key")
@@ -532,19 +544,16 @@ def near_copies(documents: DataFrame, *, words: int = WORDS, similarity: float =
 
     roots = written(components(one).withColumnRenamed("node", "content"), "roots")
     apart = _named(_named(alike, roots, "content", "root"), roots, "first", "other").filter("root != other")
-    two = _confirmed(apart.select(F.col("first").alias("a"), F.col("content").alias("b")), texts, shapes, words, similarity)
+    roots = _joined(roots, _confirmed(apart.select(F.col("first").alias("a"), F.col("content").alias("b")), texts, shapes, words, similarity))
 
-    edges = one.unionByName(two)
     rest = shared.filter("size > 2").select("key", "content", "n", "at", "size")
     for nearest in (True, False):
-        roots = written(components(edges).withColumnRenamed("node", "content"), "roots")
         mixed = _mixed(_named(rest, roots, "content", "root"))
         pairs = _across(mixed.join(shapes.select("content", "least"), "content"), similarity, block, nearest=nearest)
-        edges = edges.unionByName(_confirmed(pairs, texts, shapes, words, similarity))
+        roots = _joined(roots, _confirmed(pairs, texts, shapes, words, similarity))
         rest = mixed.drop("root")
 
-    roots = components(edges)
-    named = named.join(roots, F.col("content") == F.col("node"), "left").select("content", "least", F.coalesce("root", "content").alias("root"))
+    named = _named(named, roots, "content", "root").select("content", "least", "root")
     least = named.groupBy("root").agg(F.min("least").alias("component_id"))
     return marked.join(named.join(least, "root").select("content", "component_id"), "content").select("doc_id", "row_text", "component_id")
 

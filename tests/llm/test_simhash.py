@@ -185,3 +185,38 @@ def test_near_copies_whatever_the_blocks(documents, monkeypatch):
         monkeypatch.setattr(sh, "PAIRS_AT_ONCE", pairs)
         got = {r.doc_id: r.component_id for r in sh.near_copies(documents(rows), block=block).collect()}
         assert got == want
+
+
+def test_near_copies_link_what_is_linked_once(documents, monkeypatch):
+    """Links of an earlier step are not walked through again: a later step hands over none but its own."""
+    rnd = random.Random(15)
+    rows = []
+    for i in range(0, 40, 4):
+        base = [f"w{rnd.randrange(10**6)}" for _ in range(300)]
+        for k in range(4):
+            rows.append((i + k, " ".join([*base[:-1], f"n{k}"])))
+    handed = []
+
+    def counted(edges):
+        edges = sh.written(edges, "handed")
+        handed.append(edges.filter("a != b").count())
+        return components(edges)
+
+    monkeypatch.setattr(sh, "components", counted)
+    got = {r.doc_id: r.component_id for r in sh.near_copies(documents(rows)).collect()}
+    assert got == expected(rows)
+    assert handed[0] >= 30
+    assert sum(handed) - handed[0] <= 30 and handed[-1] == 0
+
+
+def test_joined_roots(spark):
+    """Links between contents that are linked with others already, and with new ones."""
+    rows = [(2, 1), (3, 1), (5, 4), (6, 4), (9, 8)]
+    roots = spark.createDataFrame(rows, "content long, root long")
+    edges = [(3, 6), (5, 2), (7, 9), (10, 11), (2, 3)]
+    got = [(r.content, r.root) for r in sh._joined(roots, spark.createDataFrame(edges, "a long, b long")).collect()]
+    want = brute_components(range(1, 12), [*rows, *edges])
+    assert len(dict(got)) == len(got)
+    assert {n: dict(got).get(n, n) for n in range(1, 12)} == want
+    same = sh._joined(roots, spark.createDataFrame([(2, 3), (6, 5)], "a long, b long"))
+    assert sorted(map(tuple, same.collect())) == rows
