@@ -78,6 +78,9 @@ TOKENS = 4_000_000
 HASHED = "64m"
 #: Words of a chunk that are handed to the executor at once.
 SLICE = 20_000
+#: Pairs are looked up, and chunks sent their answers, in so many shares, one after the other. Odd, as
+#: chunks are numbered from multiples of a power of two.
+SHARES = 3
 #: A chunk has at most so many documents, so that two bytes tell which.
 PLACES = 1 << 16
 
@@ -781,10 +784,11 @@ def pairs_of(words: DataFrame, counts: str, kind: str) -> DataFrame:
 class Restaurants:
     """contexts: context, customers, singles (dishes of one customer) and tables (for each seating) of the
     context restaurants; rests: context, w and the customers less what their tables are discounted,
-    averaged over the seatings; and, for each seating, the customers and tables of the word restaurant."""
+    averaged over the seatings, of pairs seen more than once; once: context and w of the others; and, for each seating, the customers and tables of the word restaurant."""
 
     contexts: DataFrame
     rests: DataFrame | None
+    once: DataFrame | None
     own: list[int]
     own_tables: list[int]
 
@@ -797,7 +801,7 @@ class Restaurants:
 def first_seating(words: DataFrame, pairs: DataFrame) -> Restaurants:
     """Every dish at one table."""
     counted = pairs.groupBy("context").agg(F.sum("n").alias("customers"), F.count_if(F.col("n") == 1).alias("singles"), F.array(F.count("*")).alias("tables"))
-    return Restaurants(written(counted, "contexts", "zstd"), None, [pairs.count()], [words.filter("total > 0").count()])
+    return Restaurants(written(counted, "contexts", "zstd"), None, None, [pairs.count()], [words.filter("total > 0").count()])
 
 
 def _whole(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
@@ -874,11 +878,11 @@ def seated(words: DataFrame, pairs: DataFrame, at: Restaurants, samples: int) ->
     held = more.groupBy("context").agg(*[F.sum(F.get("held", F.lit(s))).alias(f"held{s}") for s in turns])
     tables = F.array(*[F.col("singles") + F.coalesce(f"held{s}", F.lit(0)) for s in turns])
     contexts = written(at.contexts.drop("tables").join(held, "context", "left").select("context", "customers", "singles", tables.alias("tables")), "contexts", "zstd")
-    rests = pairs.filter("n = 1").select("context", "w", F.lit(1 - CONTEXT_DISCOUNT).alias("rest")).unionByName(more.select("context", "w", "rest"))
-    return done.filter("word IS NOT NULL").select("word", "total", "spelling", "served", "seats"), Restaurants(contexts, rests, list(sums[:samples]), list(sums[samples:]))
+    rests, alone = more.select("context", "w", "rest"), pairs.filter("n = 1").select("context", "w")
+    return done.filter("word IS NOT NULL").select("word", "total", "spelling", "served", "seats"), Restaurants(contexts, rests, alone, list(sums[:samples]), list(sums[samples:]))
 
 
-ANSWERS = "chunk long, kind int, at long, a binary, b binary, c binary"
+ANSWERS = "chunk long, kind int, at long, a binary, b binary, c binary, d binary"
 
 
 def _by_chunk(chunks: np.ndarray, kind: int, *parts: np.ndarray) -> pa.RecordBatch:
@@ -887,8 +891,8 @@ def _by_chunk(chunks: np.ndarray, kind: int, *parts: np.ndarray) -> pa.RecordBat
     found, start = np.unique(chunks[order], return_index=True)
     edges = np.append(start, len(chunks))
     columns = [_binaries(part[order].ravel(), edges * (part.size // max(1, len(part)))) for part in parts]
-    columns += [pa.nulls(len(found), pa.binary())] * (3 - len(parts))
-    return pa.RecordBatch.from_arrays([pa.array(found), pa.array(np.full(len(found), kind, np.int32)), pa.array(np.zeros(len(found), np.int64)), *columns], ["chunk", "kind", "at", "a", "b", "c"])
+    columns += [pa.nulls(len(found), pa.binary())] * (4 - len(parts))
+    return pa.RecordBatch.from_arrays([pa.array(found), pa.array(np.full(len(found), kind, np.int32)), pa.array(np.zeros(len(found), np.int64)), *columns], ["chunk", "kind", "at", *"abcd"])
 
 
 def _sums(words: DataFrame, known: DataFrame, at: Restaurants) -> DataFrame:
@@ -896,9 +900,12 @@ def _sums(words: DataFrame, known: DataFrame, at: Restaurants) -> DataFrame:
     counts of words with a total. known: word, total, chances (P in the word restaurant, for each seating).
 
     A chunk is sent, in this order, its contexts (customers, and for each seating the weight of the word
-    restaurant), its words' references, its words (total and chances), and its pairs that are known. The
-    tables behind at.rests are deleted.
+    restaurant), its words' references, its words (total and chances), and its pairs that are known. A
+    pair that the chunk itself has seen once (words may have `seen`) is answered only if others have seen
+    it too. The tables behind at.rests and at.once are deleted.
     """
+    if "seen" not in words.columns:
+        words = words.withColumn("seen", F.lit(None).cast("binary"))
     mask = (1 << CHUNK_BITS) - 1
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -932,13 +939,19 @@ def _sums(words: DataFrame, known: DataFrame, at: Restaurants) -> DataFrame:
             number, chances = batch.column("at").to_numpy(), _unbound(batch.column("chances"), np.float32).reshape(-1, SAMPLES)
             yield _by_chunk(number >> CHUNK_BITS, 2, (number & mask).astype(np.uint32), batch.column("total").to_numpy(), chances)
 
-    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def ask(batches: Iterator[pa.RecordBatch], unseen: bool) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             edges = _edges(batch.column("times")) // 4
             sizes, n = np.diff(edges), edges[-1] - edges[0]
             column = np.arange(n, dtype=np.int32) - np.repeat(edges[:-1] - edges[0], sizes).astype(np.int32)
             w, number = (np.repeat(batch.column(c).to_numpy(), sizes) for c in ("w", "at"))
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (_contexts(batch.column("classes"), n), w, number, column)], ["context", "w", "at", "column"])
+            some = _seen(batch.column("seen"), n) == 0 if unseen else slice(None)
+            yield pa.RecordBatch.from_arrays([pa.array(x[some]) for x in (_contexts(batch.column("classes"), n), w, number, column)], ["context", "w", "at", "column"])
+
+    def looked_up(part: DataFrame, rests: DataFrame, unseen: bool) -> DataFrame:
+        # Pairs are too many to be hashed, and sorted. Written, so that what the join shuffles is gone before the next is made.
+        asked = mapped(part.select("w", "at", "classes", "times", "seen"), lambda batches: ask(batches, unseen), "context long, w long, at long, column int")
+        return written(mapped(asked.join(rests.hint("merge"), ["context", "w"]).select("at", "column", "rest"), of_pairs, ANSWERS), "answers", "zstd")
 
     def of_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _together(batches, 4 * SEATED):
@@ -947,19 +960,13 @@ def _sums(words: DataFrame, known: DataFrame, at: Restaurants) -> DataFrame:
 
     # Where each task's share of a join's smaller side is seen to be small, it is hashed and nothing sorted.
     words.sparkSession.conf.set("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", HASHED)
-    contexts = mapped(words.select("at", "classes", "times"), near, "chunk long, context long").join(at.contexts.hint("merge"), "context")
-    asked = mapped(words.select(F.xxhash64("word").alias("w"), "at", "classes", "times"), ask, "context long, w long, at long, column int")
-    # Pairs are too many to be hashed, and sorted. Written, so that what the join shuffles is gone before all is dealt to the chunks.
-    of_known = written(mapped(asked.join(at.rests.hint("merge"), ["context", "w"]).select("at", "column", "rest"), of_pairs, ANSWERS), "answers", "zstd")
+    by_hash = words.withColumn("w", F.xxhash64("word"))
+    of_known = [looked_up(by_hash, at.once.withColumn("rest", F.lit(1 - CONTEXT_DISCOUNT)), True)]
+    forget(at.once)
+    for share in range(SHARES):
+        of_share = F.pmod("w", F.lit(SHARES)) == share
+        of_known.append(looked_up(by_hash.filter(of_share), at.rests.filter(of_share), False))
     forget(at.rests)
-    answers = [
-        mapped(contexts.select("chunk", "context", "customers", "tables"), of_contexts, ANSWERS),
-        words.select(F.shiftright("at", CHUNK_BITS).alias("chunk"), F.lit(1).alias("kind"), "at", F.col("classes").alias("a"), F.col("times").alias("b"), F.col("refs").alias("c")),
-        mapped(words.select("word", "at").join(known, "word").select("at", "total", "chances"), of_words, ANSWERS),
-        of_known,
-    ]
-    dealt = reduce(DataFrame.unionByName, answers).repartition("chunk").sortWithinPartitions("chunk", "kind", "at")
-
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunk, held = -1, Answers()
         for batch in batches:
@@ -972,7 +979,26 @@ def _sums(words: DataFrame, known: DataFrame, at: Restaurants) -> DataFrame:
                 held.add(int(kinds[lo]), batch.slice(lo, hi - lo))
         yield from _summed(chunk, held.sums())
 
-    return mapped(dealt, add, "chunk long, place int, logs double, score double, known long")
+    def summed(share: int) -> DataFrame:
+        part = words.withColumn("chunk", F.shiftright("at", CHUNK_BITS)).filter(F.pmod("chunk", F.lit(SHARES)) == share)
+        contexts = mapped(part.select("at", "classes", "times"), near, "chunk long, context long").join(at.contexts.hint("merge"), "context")
+        answers = [
+            mapped(contexts.select("chunk", "context", "customers", "tables"), of_contexts, ANSWERS),
+            part.select("chunk", F.lit(1).alias("kind"), "at", *[F.col(c).alias(x) for c, x in zip(("classes", "times", "refs", "seen"), "abcd", strict=True)]),
+            mapped(part.select("word", "at").join(known, "word").select("at", "total", "chances"), of_words, ANSWERS),
+            *(k.filter(F.pmod("chunk", F.lit(SHARES)) == share) for k in of_known),
+        ]
+        dealt = reduce(DataFrame.unionByName, answers).repartition("chunk").sortWithinPartitions("chunk", "kind", "at")
+        return written(mapped(dealt, add, "chunk long, place int, logs double, score double, known long"), "sums")
+
+    out = reduce(DataFrame.unionByName, [summed(share) for share in range(SHARES)])
+    forget(*of_known)
+    return out
+
+
+def _seen(column: pa.Array, n: int) -> np.ndarray:
+    """How often each of n pairs is seen in a chunk's training texts; nulls: never."""
+    return np.zeros(n, np.uint32) if column.null_count else _unbound(column, "<u4")
 
 
 class Answers:
@@ -988,7 +1014,7 @@ class Answers:
         elif kind == 1:
             times = _unbound(b, "<u4")
             number = rows.column("at").to_numpy() & ((1 << CHUNK_BITS) - 1)
-            parts = number, np.diff(_edges(b)) // 4, _contexts(a, len(times)), times, _unbound(c, np.uint16)
+            parts = number, np.diff(_edges(b)) // 4, _contexts(a, len(times)), times, _unbound(c, np.uint16), _seen(rows.column("d"), len(times)) == 1
         elif kind == 2:
             parts = _unbound(a, np.uint32), _unbound(b, np.int64), _unbound(c, np.float32).reshape(-1, SAMPLES)
         else:
@@ -1003,12 +1029,12 @@ class Answers:
         """By place: log10(total + 1), log10 P, tokens with a total, and tokens."""
         if not self.held[1]:
             return np.zeros((4, 0))
-        number, sizes, contexts, times, refs = self._all(1)
+        number, sizes, contexts, times, refs, once = self._all(1)
         edges = np.append(0, np.cumsum(sizes))
         asked, total, chances = self._all(2)
         order = np.argsort(asked)
         total, chances = total[order], chances[order]
-        rest = np.zeros(len(contexts), np.float32)
+        rest = np.where(once, np.float32(1 - CONTEXT_DISCOUNT), np.float32(0))  # but for those that are answered
         if self.held[3]:
             asked, column, known = self._all(3)
             rest[edges[np.searchsorted(number, asked)] + column] = known
@@ -1055,9 +1081,10 @@ def learned_from(totals: DataFrame, pairs: DataFrame, block_rows: int = BLOCK_RO
     first, at = seated(spelt(totals, model, top, block_rows), pairs, start, 1)
     forget(model, start.contexts)
     model, top = fit(first.select("word", F.get("seats", F.lit(0)).alias("n")).filter("n > 0"))
+    forget(first)
     before = at.contexts
     last, at = seated(spelt(totals, model, top, block_rows), pairs, at, SAMPLES)
-    forget(model, first, before)
+    forget(model, before)
     spelling = [F.pow(F.lit(10.0), F.get("spelling", F.lit(i))) for i in range(SAMPLES)]
     left = last.filter("total > 0").agg(*[F.coalesce(F.sum(p), F.lit(0.0)) for p in spelling]).first()
     chances = []

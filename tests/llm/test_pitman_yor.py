@@ -243,3 +243,32 @@ def test_every_word_is_a_context(documents):
     rows += [(held[j], f"a{j} b{j}") for j in range(400)] + [(held[400 + j], f"a{j} b{(j + 40) % 400}") for j in range(400)]
     got = {r.doc_id: r.score for r in py.score(documents(rows)).collect()}
     assert all(got[held[j]] > got[held[400 + j]] + 1 for j in range(400))
+
+
+def test_pairs_seen_once_are_not_answered(spark, documents, monkeypatch):
+    """What a chunk knows of its own pairs is not looked up, and no pair has another rest for it."""
+    rnd = random.Random(9)
+    vocabulary = [f"w{i}" for i in range(300)]
+    docs = documents([(i, " ".join(rnd.choices(vocabulary, k=80))) for i in range(120)])
+    answered, real = [], py.written
+
+    def counted(df, name, *args, **kwargs):
+        out = real(df, name, *args, **kwargs)
+        if name == "answers":
+            answered.extend(len(r.a) // 4 for r in out.select("a").collect())
+        return out
+
+    marked = docs.select("doc_id", "text", (py.crc_mod("doc_id", 7) == 2).alias("held_out"))
+    rows = real(py.word_rows(marked, "doc_id", 2000), "words", "zstd").filter("word IS NOT NULL")
+    totals = rows.groupBy("word").sum("n").toDF("word", "total")
+    scores = []
+    for words in (rows, rows.drop("seen")):
+        monkeypatch.setattr(py, "written", real)
+        known, at = py.learned_from(totals, real(py.pairs_of(rows, "seen", "<u4"), "pairs"))
+        monkeypatch.setattr(py, "written", counted)
+        answered.append(None)
+        scores.append({(r.chunk, r.place): r.score for r in py._sums(words, known, at).collect()})
+    cut = [i for i, n in enumerate(answered) if n is None][1]
+    assert len({c for c, _ in scores[0]}) > 1
+    assert scores[0].keys() == scores[1].keys() and all(math.isclose(scores[0][k], scores[1][k], rel_tol=1e-6) for k in scores[0])
+    assert sum(answered[1:cut]) < sum(answered[cut + 1 :]) / 1.5
