@@ -78,7 +78,7 @@ TOKENS = 4_000_000
 HASHED = "64m"
 #: Words of a chunk that are handed to the executor at once.
 SLICE = 20_000
-#: Pairs are looked up, and chunks sent their answers, in so many shares, one after the other. Odd, as
+#: Pairs are counted and looked up, and chunks sent their answers, in so many shares, one after the other. Odd, as
 #: chunks are numbered from multiples of a power of two.
 SHARES = 3
 #: A chunk has at most so many documents, so that two bytes tell which.
@@ -1121,7 +1121,8 @@ def score(documents: DataFrame, *, key: str = "doc_id", block_rows: int = BLOCK_
     docs = rows.filter(F.col("place").isNotNull()).select("chunk", "place", "doc_id", "n_tokens", "held_out")
     words = rows.filter(F.col("word").isNotNull()).select("word", "at", "n", "classes", "seen", "times", "refs")
     totals = written(words.groupBy("word").agg(F.sum("n").alias("total")), "totals", "zstd")
-    pairs = written(pairs_of(words, "seen", "<u4"), "pairs", "zstd")
+    shares = [words.filter(F.pmod(F.xxhash64("word"), F.lit(SHARES)) == share) for share in range(SHARES)]
+    pairs = reduce(DataFrame.unionByName, [written(pairs_of(part, "seen", "<u4"), "pairs", "zstd") for part in shares])
     n, v = totals.filter("total > 0").agg(F.coalesce(F.sum("total"), F.lit(0)), F.count("*")).first()
     known, at = learned_from(totals, pairs, block_rows)
     joined = docs.join(_sums(words, known, at), ["chunk", "place"])
