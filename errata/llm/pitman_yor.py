@@ -78,7 +78,7 @@ TOKENS = 4_000_000
 HASHED = "64m"
 #: Words of a chunk that are handed to the executor at once.
 SLICE = 20_000
-#: Pairs are counted and looked up, and chunks sent their answers, in so many shares, one after the other. Odd, as
+#: Pairs are counted, seated and looked up, and chunks sent their answers, in so many shares, one after the other. Odd, as
 #: chunks are numbered from multiples of a power of two.
 SHARES = 3
 #: A chunk has at most so many documents, so that two bytes tell which.
@@ -835,8 +835,8 @@ def seated(words: DataFrame, pairs: DataFrame, at: Restaurants, samples: int) ->
     kinds = [f.type for f in to_arrow_schema(schema)]
     own, own_tables = at.own[0], at.own_tables[0]
 
-    def seat(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        random_ = np.random.default_rng(TaskContext.get().partitionId())
+    def seat(batches: Iterator[pa.RecordBatch], share: int) -> Iterator[pa.RecordBatch]:
+        random_ = np.random.default_rng([share, TaskContext.get().partitionId()])
         for batch in _whole(batches, SEATED):
             of_word = batch.column("kind").to_numpy() == 0
             heads, of = pa.array(np.flatnonzero(of_word)), pa.array(np.flatnonzero(~of_word))
@@ -866,12 +866,17 @@ def seated(words: DataFrame, pairs: DataFrame, at: Restaurants, samples: int) ->
     def none(name: str, kind) -> Column:
         return F.lit(None).cast(kind).alias(name)
 
-    once = pairs.filter("n = 1").groupBy("w").agg(F.count("*").alias("n"))
-    heads = words.withColumn("w", F.xxhash64("word")).join(once, "w", "left")
-    heads = heads.select("w", F.lit(0).alias("kind"), F.coalesce("n", F.lit(0)).cast("long").alias("n"), none("context", "long"), none("tables", "long"), "word", "total", "spelling")
-    often = pairs.filter("n > 1").join(at.contexts.select("context", F.get("tables", F.lit(0)).alias("tables")), "context")
-    often = often.select("w", F.lit(1).alias("kind"), "n", "context", "tables", *[none(f.name, f.dataType) for f in given])
-    done = written(mapped(heads.unionByName(often).repartition("w").sortWithinPartitions("w", "kind"), seat, schema), "seated", "zstd")
+    def of_share(share: int) -> DataFrame:
+        own = F.pmod("w", F.lit(SHARES)) == share
+        once = pairs.filter("n = 1").filter(own).groupBy("w").agg(F.count("*").alias("n"))
+        heads = words.withColumn("w", F.xxhash64("word")).filter(own).join(once, "w", "left")
+        heads = heads.select("w", F.lit(0).alias("kind"), F.coalesce("n", F.lit(0)).cast("long").alias("n"), none("context", "long"), none("tables", "long"), "word", "total", "spelling")
+        often = pairs.filter("n > 1").filter(own).join(at.contexts.select("context", F.get("tables", F.lit(0)).alias("tables")), "context")
+        often = often.select("w", F.lit(1).alias("kind"), "n", "context", "tables", *[none(f.name, f.dataType) for f in given])
+        rows = heads.unionByName(often).repartition("w").sortWithinPartitions("w", "kind")
+        return written(mapped(rows, lambda batches: seat(batches, share), schema), "seated", "zstd")
+
+    done = reduce(DataFrame.unionByName, [of_share(share) for share in range(SHARES)])
     turns = range(samples)
     sums = done.filter("word IS NOT NULL").agg(*[F.coalesce(F.sum(F.get(c, F.lit(s))), F.lit(0)) for c in ("served", "seats") for s in turns]).first()
     more = done.filter("word IS NULL")
