@@ -81,6 +81,8 @@ SLICE = 20_000
 #: Pairs are counted, seated and looked up, and chunks sent their answers, in so many shares, one after the other. Odd, as
 #: chunks are numbered from multiples of a power of two.
 SHARES = 3
+#: Pairs are dealt to so many buckets at most.
+MOST_BUCKETS = 4096
 #: A chunk has at most so many documents, so that two bytes tell which.
 PLACES = 1 << 16
 
@@ -571,6 +573,8 @@ def _edges(column: pa.Array) -> np.ndarray:
 
 def _unbound(column: pa.Array, kind) -> np.ndarray:
     """All values of a binary column without nulls, in one array."""
+    if not len(column):
+        return np.zeros(0, kind)
     edges, data = _edges(column), column.buffers()[2]
     return np.frombuffer(data, np.uint8)[edges[0] : edges[-1]].view(kind) if data is not None and edges[-1] > edges[0] else np.zeros(0, kind)
 
@@ -765,30 +769,171 @@ def _contexts(column: pa.Array, n: int) -> np.ndarray:
     return _unbound(column, f"<u{len(_unbound(column, np.uint8)) // n if n else 8}").astype(np.uint64).view(np.int64)
 
 
-def pairs_of(words: DataFrame, counts: str, kind: str) -> DataFrame:
-    """context, w (a word's hash) and n, for each pair with a count, over all rows (word, classes, counts)."""
+#: Rows of arrays, packed by whom they are for: a chunk, or a bucket of pairs.
+ANSWERS = "chunk long, kind int, at long, a binary, b binary, c binary, d binary"
 
-    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+
+def _by_chunk(chunks: np.ndarray, kind: int, *parts: np.ndarray, at: int = 0) -> pa.RecordBatch:
+    """Rows of arrays, those of a chunk packed together."""
+    order = np.argsort(chunks, kind="stable")
+    found, start = np.unique(chunks[order], return_index=True)
+    edges = np.append(start, len(chunks))
+    return _packed_rows(found, kind, *[_binaries(part[order].ravel(), edges * (part.size // max(1, len(part)))) for part in parts], at=at)
+
+
+def _packed_rows(found: np.ndarray, kind: int, *columns: pa.Array, at: int = 0) -> pa.RecordBatch:
+    nulls = [pa.nulls(len(found), pa.binary())] * (4 - len(columns))
+    return pa.RecordBatch.from_arrays([pa.array(found.astype(np.int64)), pa.array(np.full(len(found), kind, np.int32)), pa.array(np.full(len(found), at, np.int64)), *columns, *nulls], ["chunk", "kind", "at", *"abcd"])
+
+
+def _runs(buckets: np.ndarray, w: np.ndarray, context: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    """Pairs packed by bucket: words, how many pairs each has, contexts and counts. Pairs of a word lie together."""
+    order = np.argsort(buckets, kind="stable")
+    buckets, w = buckets[order], w[order]
+    first = np.diff(buckets, prepend=-1) != 0
+    start = np.flatnonzero(first)
+    head = np.flatnonzero(first | (np.diff(w, prepend=0) != 0))
+    edges, of_runs = np.append(start, len(w)), np.append(np.searchsorted(head, start), len(head))
+    sizes = np.diff(np.append(head, len(w))).astype(np.uint32)
+    return _packed_rows(buckets[start], 0, _binaries(w[head], of_runs), _binaries(sizes, of_runs), _binaries(context[order], edges), _binaries(n[order].astype(np.int64), edges))
+
+
+def _pairs(rows: pa.RecordBatch | pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """w, context and n of all pairs of rows that _runs() has made."""
+    w, sizes, context, n = (_unbound(_one(rows.column(c)), k) for c, k in zip("abcd", (np.int64, np.uint32, np.int64, np.int64), strict=True))
+    return np.repeat(w, sizes), context, n
+
+
+def _one(column: pa.Array | pa.ChunkedArray) -> pa.Array:
+    return column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+
+
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.Table]]:
+    """For each chunk (or bucket) all of its rows, which are one after the other."""
+    last, held = -1, []
+    for batch in batches:
+        chunks = batch.column("chunk").to_numpy()
+        start = np.flatnonzero(np.diff(chunks, prepend=-1)).tolist()
+        for lo, hi in zip(start, [*start[1:], len(chunks)], strict=True):
+            if held and chunks[lo] != last:
+                yield last, pa.Table.from_batches(held)
+                held = []
+            last = int(chunks[lo])
+            held.append(batch.slice(lo, hi - lo))
+    if held:
+        yield last, pa.Table.from_batches(held)
+
+
+@dataclass
+class Buckets:
+    """Pairs are dealt by their words to `words` buckets, and each of these by their contexts to `contexts`, so that
+    no frequent word gathers its pairs."""
+
+    words: int
+    contexts: int
+
+    @classmethod
+    def of(cls, df: DataFrame) -> Buckets:
+        """Some for each shuffle partition of the session."""
+        n = min(MOST_BUCKETS, 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        contexts = 1 << n.bit_length() // 2
+        return cls(max(1, n // contexts), contexts)
+
+    def __call__(self, w: np.ndarray, context: np.ndarray) -> np.ndarray:
+        of_word = (w.view(np.uint64) >> np.uint64(33)) % np.uint64(self.words)
+        of_context = (context.view(np.uint64) * np.uint64(ODD) >> np.uint64(44)) % np.uint64(self.contexts)
+        return (of_word * np.uint64(self.contexts) + of_context).astype(np.int16)
+
+    def share(self) -> Column:
+        """The share of a word, by its column w."""
+        return F.pmod(F.pmod(F.shiftrightunsigned("w", 33), F.lit(self.words)), F.lit(SHARES))
+
+    def own(self, share: int) -> Column:
+        """The rows of _runs() that are of a share."""
+        return F.pmod(F.floor(F.col("chunk") / self.contexts), F.lit(SHARES)) == share
+
+
+def _keys(w: np.ndarray, context: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each pair; no two pairs of a word, or of a context, have the same."""
+    x = context.view(np.uint64) * np.uint64(ODD)
+    x ^= x >> np.uint64(32)
+    x += w.view(np.uint64)
+    x *= np.uint64(ODD)
+    return x ^ x >> np.uint64(29)
+
+
+def _repeated(batch: pa.RecordBatch, counts: str, size: int, *columns: str) -> list[np.ndarray]:
+    """Columns of words, for each of their pairs."""
+    sizes = np.diff(_edges(batch.column(counts))) // size
+    return [np.repeat(batch.column(c).to_numpy(), sizes) for c in columns]
+
+
+def pairs_of(words: DataFrame, counts: str, kind: str, share: int | None = None) -> DataFrame:
+    """All pairs with a count, over all rows (word, classes, counts) or those of a share, each once with
+    the sum of its counts: a row for each bucket, packed by _runs()."""
+    bucket = Buckets.of(words)
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _together(batches, SEATED):
             n = _unbound(batch.column(counts), kind).astype(np.int64)
-            context = _contexts(batch.column("classes"), len(n))
-            w = np.repeat(batch.column("w").to_numpy(), np.diff(_edges(batch.column(counts))) // np.dtype(kind).itemsize)
-            some = n > 0
-            yield pa.RecordBatch.from_arrays([pa.array(context[some]), pa.array(w[some]), pa.array(n[some])], ["context", "w", "n"])
+            context, some = _contexts(batch.column("classes"), len(n)), n > 0
+            (w,) = _repeated(batch, counts, np.dtype(kind).itemsize, "w")
+            w, context = w[some], context[some]
+            if len(w):
+                yield _runs(bucket(w, context), w, context, n[some])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for own, rows in _groups(batches):
+            w, context, n = _pairs(rows)
+            keys = _keys(w, context)
+            order = np.argsort(keys)
+            start = np.flatnonzero(np.diff(keys[order], prepend=~keys[order[:1]]))
+            first, n = order[start], np.add.reduceat(n[order], start)
+            by_word = np.lexsort((context[first], w[first]))
+            first, n = first[by_word], n[by_word]
+            yield _runs(np.full(len(n), own), w[first], context[first], n)
 
     rows = words.select(F.xxhash64("word").alias("w"), "classes", counts)
-    return mapped(rows, split, "context long, w long, n long").groupBy("context", "w").agg(F.sum("n").alias("n"))
+    dealt = mapped(rows if share is None else rows.filter(bucket.share() == share), deal, ANSWERS)
+    return mapped(dealt.repartition("chunk").sortWithinPartitions("chunk"), count, ANSWERS)
+
+
+def flat(pairs: DataFrame, kind: str) -> DataFrame:
+    """Rows of what pairs_of() packs: `often`, context, w and n of the pairs seen more than once; `once`, w and
+    how many of its pairs are seen once, and `contexts`, context, customers, singles and dishes, both by bucket."""
+
+    def often(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            w, context, n = _pairs(batch)
+            for part in _parts(len(of := np.flatnonzero(n > 1)), SEATED):
+                yield pa.RecordBatch.from_arrays([pa.array(x[of[part]]) for x in (context, w, n)], ["context", "w", "n"])
+
+    def once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            w, _, n = _pairs(batch)
+            found, times = np.unique(w[n == 1], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(times)], ["w", "n"])
+
+    def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            _, context, n = _pairs(batch)
+            place, found = pd.factorize(context)
+            sums = [np.bincount(place, x, len(found)).astype(np.int64) for x in (n, n == 1, np.ones(len(n)))]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (found, *sums)], ["context", "customers", "singles", "dishes"])
+
+    schemas = {"often": "context long, w long, n long", "once": "w long, n long", "contexts": "context long, customers long, singles long, dishes long"}
+    return mapped(pairs, {"often": often, "once": once, "contexts": contexts}[kind], schemas[kind])
 
 
 @dataclass
 class Restaurants:
     """contexts: context, customers, singles (dishes of one customer) and tables (for each seating) of the
     context restaurants; rests: context, w and the customers less what their tables are discounted,
-    averaged over the seatings, of pairs seen more than once; once: context and w of the others; and, for each seating, the customers and tables of the word restaurant."""
+    averaged over the seatings, of pairs seen more than once; pairs: all, as pairs_of() has them; and, for each seating, the customers and tables of the word restaurant."""
 
     contexts: DataFrame
     rests: DataFrame | None
-    once: DataFrame | None
+    pairs: DataFrame
     own: list[int]
     own_tables: list[int]
 
@@ -800,8 +945,10 @@ class Restaurants:
 
 def first_seating(words: DataFrame, pairs: DataFrame) -> Restaurants:
     """Every dish at one table."""
-    counted = pairs.groupBy("context").agg(F.sum("n").alias("customers"), F.count_if(F.col("n") == 1).alias("singles"), F.array(F.count("*")).alias("tables"))
-    return Restaurants(written(counted, "contexts", "zstd"), None, None, [pairs.count()], [words.filter("total > 0").count()])
+    counted = flat(pairs, "contexts").groupBy("context").agg(F.sum("customers").alias("customers"), F.sum("singles").alias("singles"), F.array(F.sum("dishes")).alias("tables"))
+    contexts = written(counted, "contexts", "zstd")
+    tables = contexts.agg(F.coalesce(F.sum(F.get("tables", F.lit(0))), F.lit(0))).first()[0]
+    return Restaurants(contexts, None, pairs, [tables], [words.filter("total > 0").count()])
 
 
 def _whole(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
@@ -830,10 +977,10 @@ def seated(words: DataFrame, pairs: DataFrame, at: Restaurants, samples: int) ->
     """
     fields = [T.StructField(n, T.ArrayType(T.LongType())) for n in ("served", "seats")]
     given = [T.StructField(n, words.schema[n].dataType) for n in ("word", "total", "spelling")]
-    of_pair = [T.StructField("context", T.LongType()), T.StructField("w", T.LongType()), T.StructField("rest", T.DoubleType()), T.StructField("held", T.ArrayType(T.LongType()))]
+    of_pair = [T.StructField("context", T.LongType()), T.StructField("w", T.LongType()), T.StructField("rest", T.FloatType()), T.StructField("held", T.ArrayType(T.LongType()))]
     schema = T.StructType([*given, *fields, *of_pair])
     kinds = [f.type for f in to_arrow_schema(schema)]
-    own, own_tables = at.own[0], at.own_tables[0]
+    own, own_tables, bucket = at.own[0], at.own_tables[0], Buckets.of(words)
 
     def seat(batches: Iterator[pa.RecordBatch], share: int) -> Iterator[pa.RecordBatch]:
         random_ = np.random.default_rng([share, TaskContext.get().partitionId()])
@@ -861,17 +1008,17 @@ def seated(words: DataFrame, pairs: DataFrame, at: Restaurants, samples: int) ->
             columns = [batch.column(c).take(heads) for c in ("word", "total", "spelling")]
             yield pa.RecordBatch.from_arrays([*columns, _lists(all_served), _lists(all_seats), *(pa.nulls(n, k) for k in kinds[5:])], schema.names)
             columns = [batch.column(c).take(of) for c in ("context", "w")]
-            yield pa.RecordBatch.from_arrays([*(pa.nulls(len(word), k) for k in kinds[:5]), *columns, pa.array(rest), _lists(all_held)], schema.names)
+            yield pa.RecordBatch.from_arrays([*(pa.nulls(len(word), k) for k in kinds[:5]), *columns, pa.array(rest.astype(np.float32)), _lists(all_held)], schema.names)
 
     def none(name: str, kind) -> Column:
         return F.lit(None).cast(kind).alias(name)
 
     def of_share(share: int) -> DataFrame:
-        own = F.pmod("w", F.lit(SHARES)) == share
-        once = pairs.filter("n = 1").filter(own).groupBy("w").agg(F.count("*").alias("n"))
-        heads = words.withColumn("w", F.xxhash64("word")).filter(own).join(once, "w", "left")
+        of_pairs = pairs.filter(bucket.own(share))
+        once = flat(of_pairs, "once").groupBy("w").agg(F.sum("n").alias("n"))
+        heads = words.withColumn("w", F.xxhash64("word")).filter(bucket.share() == share).join(once, "w", "left")
         heads = heads.select("w", F.lit(0).alias("kind"), F.coalesce("n", F.lit(0)).cast("long").alias("n"), none("context", "long"), none("tables", "long"), "word", "total", "spelling")
-        often = pairs.filter("n > 1").filter(own).join(at.contexts.select("context", F.get("tables", F.lit(0)).alias("tables")), "context")
+        often = flat(of_pairs, "often").join(at.contexts.select("context", F.get("tables", F.lit(0)).alias("tables")), "context")
         often = often.select("w", F.lit(1).alias("kind"), "n", "context", "tables", *[none(f.name, f.dataType) for f in given])
         rows = heads.unionByName(often).repartition("w").sortWithinPartitions("w", "kind")
         return written(mapped(rows, lambda batches: seat(batches, share), schema), "seated", "zstd")
@@ -883,21 +1030,8 @@ def seated(words: DataFrame, pairs: DataFrame, at: Restaurants, samples: int) ->
     held = more.groupBy("context").agg(*[F.sum(F.get("held", F.lit(s))).alias(f"held{s}") for s in turns])
     tables = F.array(*[F.col("singles") + F.coalesce(f"held{s}", F.lit(0)) for s in turns])
     contexts = written(at.contexts.drop("tables").join(held, "context", "left").select("context", "customers", "singles", tables.alias("tables")), "contexts", "zstd")
-    rests, alone = more.select("context", "w", "rest"), pairs.filter("n = 1").select("context", "w")
-    return done.filter("word IS NOT NULL").select("word", "total", "spelling", "served", "seats"), Restaurants(contexts, rests, alone, list(sums[:samples]), list(sums[samples:]))
-
-
-ANSWERS = "chunk long, kind int, at long, a binary, b binary, c binary, d binary"
-
-
-def _by_chunk(chunks: np.ndarray, kind: int, *parts: np.ndarray) -> pa.RecordBatch:
-    """Rows of arrays, those of a chunk packed together."""
-    order = np.argsort(chunks, kind="stable")
-    found, start = np.unique(chunks[order], return_index=True)
-    edges = np.append(start, len(chunks))
-    columns = [_binaries(part[order].ravel(), edges * (part.size // max(1, len(part)))) for part in parts]
-    columns += [pa.nulls(len(found), pa.binary())] * (4 - len(parts))
-    return pa.RecordBatch.from_arrays([pa.array(found), pa.array(np.full(len(found), kind, np.int32)), pa.array(np.zeros(len(found), np.int64)), *columns], ["chunk", "kind", "at", *"abcd"])
+    rests = more.select("context", "w", "rest")
+    return done.filter("word IS NOT NULL").select("word", "total", "spelling", "served", "seats"), Restaurants(contexts, rests, pairs, list(sums[:samples]), list(sums[samples:]))
 
 
 def _sums(words: DataFrame, known: DataFrame, at: Restaurants) -> DataFrame:
@@ -907,11 +1041,11 @@ def _sums(words: DataFrame, known: DataFrame, at: Restaurants) -> DataFrame:
     A chunk is sent, in this order, its contexts (customers, and for each seating the weight of the word
     restaurant), its words' references, its words (total and chances), and its pairs that are known. A
     pair that the chunk itself has seen once (words may have `seen`) is answered only if others have seen
-    it too. The tables behind at.rests and at.once are deleted.
+    it too. The tables behind at.rests and at.pairs are deleted.
     """
     if "seen" not in words.columns:
         words = words.withColumn("seen", F.lit(None).cast("binary"))
-    mask = (1 << CHUNK_BITS) - 1
+    mask, bucket = (1 << CHUNK_BITS) - 1, Buckets.of(words)
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunk, held = -1, []
@@ -944,34 +1078,59 @@ def _sums(words: DataFrame, known: DataFrame, at: Restaurants) -> DataFrame:
             number, chances = batch.column("at").to_numpy(), _unbound(batch.column("chances"), np.float32).reshape(-1, SAMPLES)
             yield _by_chunk(number >> CHUNK_BITS, 2, (number & mask).astype(np.uint32), batch.column("total").to_numpy(), chances)
 
-    def ask(batches: Iterator[pa.RecordBatch], unseen: bool) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            edges = _edges(batch.column("times")) // 4
-            sizes, n = np.diff(edges), edges[-1] - edges[0]
-            column = np.arange(n, dtype=np.int32) - np.repeat(edges[:-1] - edges[0], sizes).astype(np.int32)
-            w, number = (np.repeat(batch.column(c).to_numpy(), sizes) for c in ("w", "at"))
-            some = _seen(batch.column("seen"), n) == 0 if unseen else slice(None)
-            yield pa.RecordBatch.from_arrays([pa.array(x[some]) for x in (_contexts(batch.column("classes"), n), w, number, column)], ["context", "w", "at", "column"])
-
-    def looked_up(part: DataFrame, rests: DataFrame, unseen: bool) -> DataFrame:
-        # Pairs are too many to be hashed, and sorted. Written, so that what the join shuffles is gone before the next is made.
-        asked = mapped(part.select("w", "at", "classes", "times", "seen"), lambda batches: ask(batches, unseen), "context long, w long, at long, column int")
-        return written(mapped(asked.join(rests.hint("merge"), ["context", "w"]).select("at", "column", "rest"), of_pairs, ANSWERS), "answers", "zstd")
-
-    def of_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _together(batches, SEATED):
+            chunks = batch.column("at").to_numpy() >> CHUNK_BITS
+            start = np.flatnonzero(np.diff(chunks, prepend=-1)).tolist()
+            for lo, hi in zip(start, [*start[1:], len(chunks)], strict=True):
+                part = batch.slice(lo, hi - lo)
+                edges = _edges(part.column("times")) // 4
+                n = edges[-1] - edges[0]
+                w, number = _repeated(part, "times", 4, "w", "at")
+                column = np.arange(n, dtype=np.uint32) - np.repeat(edges[:-1] - edges[0], np.diff(edges)).astype(np.uint32)
+                context = _contexts(part.column("classes"), n)
+                once = _seen(part.column("seen"), n) == 1
+                yield _by_chunk(bucket(w, context), 2, _keys(w, context), (number & mask).astype(np.uint32), column, once, at=int(chunks[lo]))
+
+    def of_rests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _together(batches, 4 * SEATED):
-            number = batch.column("at").to_numpy()
-            yield _by_chunk(number >> CHUNK_BITS, 3, (number & mask).astype(np.uint32), batch.column("column").to_numpy(), batch.column("rest").to_numpy().astype(np.float32))
+            w, context = batch.column("w").to_numpy(), batch.column("context").to_numpy()
+            yield _by_chunk(bucket(w, context), 1, _keys(w, context), batch.column("rest").to_numpy())
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, rows in _groups(batches):
+            edges = np.searchsorted(rows["kind"].to_numpy(), range(4)).tolist()
+            alone, more, asked = (rows.slice(lo, hi - lo) for lo, hi in zip(edges[:-1], edges[1:], strict=True))
+            w, context, n = _pairs(alone)
+            once = _keys(w, context)[n == 1]
+            keys = np.concatenate([once, _unbound(_one(more["a"]), np.uint64)])
+            rest = np.concatenate([np.full(len(once), 1 - CONTEXT_DISCOUNT, np.float32), _unbound(_one(more["b"]), np.float32)])
+            order = np.argsort(keys)
+            shared = (np.arange(len(keys)) >= len(once))[order]
+            keys, rest = keys[order], rest[order]
+            for batch in asked.to_batches() if len(keys) else ():
+                for i in range(batch.num_rows):
+                    row = batch.slice(i, 1)
+                    wanted, number, column, own = (_unbound(row.column(c), k) for c, k in zip("abcd", (np.uint64, np.uint32, np.int32, bool), strict=True))
+                    place = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+                    some = np.flatnonzero((keys[place] == wanted) & (shared[place] | ~own))
+                    if len(some):
+                        yield _by_chunk(np.full(len(some), row.column("at")[0].as_py()), 3, number[some], column[some], rest[place[some]])
+
+    def looked_up(share: int) -> DataFrame:
+        # Written, so that what is dealt is gone before the next share is.
+        own = bucket.share() == share
+        asked = mapped(by_hash.filter(own).select("w", "at", "classes", "times", "seen"), ask, ANSWERS)
+        rests = mapped(at.rests.filter(own), of_rests, ANSWERS)
+        dealt = at.pairs.filter(bucket.own(share)).unionByName(rests).unionByName(asked)
+        return written(mapped(dealt.repartition("chunk").sortWithinPartitions("chunk", "kind"), answer, ANSWERS), "answers", "zstd")
 
     # Where each task's share of a join's smaller side is seen to be small, it is hashed and nothing sorted.
     words.sparkSession.conf.set("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", HASHED)
     by_hash = words.withColumn("w", F.xxhash64("word"))
-    of_known = [looked_up(by_hash, at.once.withColumn("rest", F.lit(1 - CONTEXT_DISCOUNT)), True)]
-    forget(at.once)
-    for share in range(SHARES):
-        of_share = F.pmod("w", F.lit(SHARES)) == share
-        of_known.append(looked_up(by_hash.filter(of_share), at.rests.filter(of_share), False))
-    forget(at.rests)
+    of_known = [looked_up(share) for share in range(SHARES)]
+    forget(at.rests, at.pairs)
+
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunk, held = -1, Answers()
         for batch in batches:
@@ -1120,14 +1279,13 @@ def score(documents: DataFrame, *, key: str = "doc_id", block_rows: int = BLOCK_
     """
     marked = documents.select(key, "text", (crc_mod(key, 7) == 2).alias("held_out"))
     # Words, hashes and places hardly repeat: looking for repeats in them is in vain.
-    for column in ("word", "at", "refs", "classes", "context", "w"):
+    for column in ("word", "at", "refs", "classes", "context", "w", *"abcd"):
         documents.sparkSession.conf.set(f"parquet.enable.dictionary#{column}", "false")
     rows = written(word_rows(marked, key, tokens), "words", "zstd")
     docs = rows.filter(F.col("place").isNotNull()).select("chunk", "place", "doc_id", "n_tokens", "held_out")
     words = rows.filter(F.col("word").isNotNull()).select("word", "at", "n", "classes", "seen", "times", "refs")
     totals = written(words.groupBy("word").agg(F.sum("n").alias("total")), "totals", "zstd")
-    shares = [words.filter(F.pmod(F.xxhash64("word"), F.lit(SHARES)) == share) for share in range(SHARES)]
-    pairs = reduce(DataFrame.unionByName, [written(pairs_of(part, "seen", "<u4"), "pairs", "zstd") for part in shares])
+    pairs = reduce(DataFrame.unionByName, [written(pairs_of(words, "seen", "<u4", share), "pairs", "zstd") for share in range(SHARES)])
     n, v = totals.filter("total > 0").agg(F.coalesce(F.sum("total"), F.lit(0)), F.count("*")).first()
     known, at = learned_from(totals, pairs, block_rows)
     joined = docs.join(_sums(words, known, at), ["chunk", "place"])

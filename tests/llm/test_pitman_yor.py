@@ -272,3 +272,25 @@ def test_pairs_seen_once_are_not_answered(spark, documents, monkeypatch):
     assert len({c for c, _ in scores[0]}) > 1
     assert scores[0].keys() == scores[1].keys() and all(math.isclose(scores[0][k], scores[1][k], rel_tol=1e-6) for k in scores[0])
     assert sum(answered[1:cut]) < sum(answered[cut + 1 :]) / 1.5
+
+
+def test_pairs_are_packed(spark):
+    """Each pair is in one bucket, once, with its sum; the pairs of a frequent word are in many; rows are few."""
+    rnd = np.random.default_rng(8)
+    counts, rows = Counter(), []
+    for i in range(40):
+        contexts = rnd.choice(10**6, 500, replace=False).astype(np.int64) if i < 5 else rnd.integers(0, 50, 3).astype(np.int64)
+        n = rnd.integers(0, 3, len(contexts))
+        word = b"the" if i < 5 else b"w%d" % (i % 7)
+        for c, k in zip(contexts.tolist(), n.tolist(), strict=True):
+            counts[word, c] += k
+        rows.append((bytearray(word), bytearray(contexts.tobytes()), bytearray(n.astype(np.int64).tobytes())))
+    words = spark.createDataFrame(rows, "word binary, classes binary, counts binary")
+    names = {r["h"]: bytes(r["word"]) for r in words.selectExpr("word", "xxhash64(word) AS h").collect()}
+    table = py.pairs_of(words, "counts", "<i8").toArrow()
+    w, context, n = py._pairs(table)
+    got = [((names[a], b), k) for a, b, k in zip(w.tolist(), context.tolist(), n.tolist(), strict=True)]
+    assert len(dict(got)) == len(got) and dict(got) == {p: k for p, k in counts.items() if k}
+    assert len(set(table["chunk"].to_pylist())) == table.num_rows < len(got) / 20
+    of_the = sum(next(k for k, v in names.items() if v == b"the") in py._pairs(b)[0] for i in range(table.num_rows) for b in table.slice(i, 1).to_batches())
+    assert of_the == py.Buckets.of(words).contexts > 1
