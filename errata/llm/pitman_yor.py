@@ -16,8 +16,8 @@ parent's predictions and the restaurants' table totals are refreshed once a swee
 probability is averaged over SAMPLES seatings of all restaurants.
 
 Scale: what is seated are distinct words, with their counts in each context, and distinct byte sequences
-with theirs, made from all training texts. Pairs of a context and a word are flat rows, counted by the
-pair, so that no frequent word gathers them. Given what all tables sum to, words are independent, in
+with theirs, made from all training texts. Pairs of a context and a word are packed in buckets by
+word and by context, and counted there, so that no frequent word gathers them. Given what all tables sum to, words are independent, in
 their contexts and in the word restaurant; a pair that is seen once has one table, and only the others
 meet their contexts' tables, and then their words, in joins. Byte restaurants are grouped by their last two context bytes. Such a group and all
 above it are bounded by the alphabet, whatever the size of the corpus, and so are the two top levels
@@ -78,9 +78,9 @@ TOKENS = 4_000_000
 HASHED = "64m"
 #: Words of a chunk that are handed to the executor at once.
 SLICE = 20_000
-#: Pairs are counted, seated and looked up, and chunks sent their answers, in so many shares, one after the other. Odd, as
-#: chunks are numbered from multiples of a power of two.
-SHARES = 3
+#: Pairs are counted, seated and looked up, and chunks sent their answers, in so many shares, one after the other; the last
+#: in so many pieces each.
+SHARES, DEALT = 3, 3
 #: Pairs are dealt to so many buckets at most.
 MOST_BUCKETS = 4096
 #: A chunk has at most so many documents, so that two bytes tell which.
@@ -1143,21 +1143,36 @@ def _sums(words: DataFrame, known: DataFrame, at: Restaurants) -> DataFrame:
                 held.add(int(kinds[lo]), batch.slice(lo, hi - lo))
         yield from _summed(chunk, held.sums())
 
-    def summed(share: int) -> DataFrame:
-        part = words.withColumn("chunk", F.shiftright("at", CHUNK_BITS)).filter(F.pmod("chunk", F.lit(SHARES)) == share)
-        contexts = mapped(part.select("at", "classes", "times"), near, "chunk long, context long").join(at.contexts.hint("merge"), "context")
-        answers = [
-            mapped(contexts.select("chunk", "context", "customers", "tables"), of_contexts, ANSWERS),
-            part.select("chunk", F.lit(1).alias("kind"), "at", *[F.col(c).alias(x) for c, x in zip(("classes", "times", "refs", "seen"), "abcd", strict=True)]),
-            mapped(part.select("word", "at").join(known, "word").select("at", "total", "chances"), of_words, ANSWERS),
-            *(k.filter(F.pmod("chunk", F.lit(SHARES)) == share) for k in of_known),
-        ]
-        dealt = reduce(DataFrame.unionByName, answers).repartition("chunk").sortWithinPartitions("chunk", "kind", "at")
-        return written(mapped(dealt, add, "chunk long, place int, logs double, score double, known long"), "sums")
-
-    out = reduce(DataFrame.unionByName, [summed(share) for share in range(SHARES)])
+    # The parts of the input, whose chunks have numbers that follow each other, in pieces: only a piece's files are read.
+    parts, pieces = 1 + ((words.agg(F.max("at")).first()[0] or 0) >> CHUNK_BITS + IN_PART), SHARES * DEALT
+    edges = [parts * i // pieces for i in range(pieces + 1)]
+
+    def of(df: DataFrame, column: str, bits: int, lo: int, hi: int) -> DataFrame:
+        return df.filter(F.col(column).between(edges[lo] << bits, (edges[hi] << bits) - 1))
+
+    def met(share: int) -> DataFrame:
+        """What the chunks of a share are sent of their contexts and words."""
+        part = of(words, "at", CHUNK_BITS + IN_PART, share * DEALT, (share + 1) * DEALT)
+        contexts = mapped(part.select("at", "classes", "times"), near, "chunk long, context long").join(at.contexts, "context")
+        of_word = part.select("word", "at").join(known, "word").select("at", "total", "chances")
+        sent = mapped(contexts.select("chunk", "context", "customers", "tables"), of_contexts, ANSWERS)
+        return written(sent.unionByName(mapped(of_word, of_words, ANSWERS)), "met", "zstd")
+
+    def summed(piece: int, *sent: DataFrame) -> DataFrame:
+        part = of(words, "at", CHUNK_BITS + IN_PART, piece, piece + 1).withColumn("chunk", F.shiftright("at", CHUNK_BITS))
+        own = part.select("chunk", F.lit(1).alias("kind"), "at", *[F.col(c).alias(x) for c, x in zip(("classes", "times", "refs", "seen"), "abcd", strict=True)])
+        dealt = reduce(DataFrame.unionByName, [own, *(of(s, "chunk", IN_PART, piece, piece + 1) for s in sent)]).repartition("chunk")
+        return written(mapped(dealt.sortWithinPartitions("chunk", "kind", "at"), add, "chunk long, place int, logs double, score double, known long"), "sums")
+
+    out = []
+    for share in range(SHARES):
+        some = [i for i in range(share * DEALT, (share + 1) * DEALT) if edges[i] < edges[i + 1]]
+        if some:
+            sent = met(share)
+            out += [summed(piece, sent, *of_known) for piece in some]
+            forget(sent)
     forget(*of_known)
-    return out
+    return reduce(DataFrame.unionByName, out)
 
 
 def _seen(column: pa.Array, n: int) -> np.ndarray:
