@@ -1,5 +1,6 @@
 from datetime import datetime
 
+import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -7,7 +8,7 @@ from pyspark.sql import functions as F
 from errata.operators import extract
 from errata.operators.collect import append, records
 from errata.schema import RAW_DDL
-from errata.sources.html import parsed, read_page
+from errata.sources.html import PIECE, in_pieces, parsed, read_page
 
 
 def pages(spark, *html):
@@ -95,3 +96,13 @@ def test_collect_twice(spark):
 def test_any_markup_is_read(html):
     page = read_page(html)
     assert set(page) >= {"page_text", "blocks"}
+
+
+def test_pages_are_read_in_pieces():
+    """Of a large batch a few pages are held at a time; all of them come out, in order."""
+    pages = [f"<article><p>{i} {'ord ' * 20_000}</p></article>" for i in range(100)] + [None, ""]
+    batch = pa.RecordBatch.from_pydict({"n": list(range(102)), "html": pages})
+    pieces = list(in_pieces(iter([batch, batch.slice(0, 0), batch.slice(100)]), ["n"], "html"))
+    assert [n for piece in pieces for n in piece.column("n").to_pylist()] == [*range(102), 100, 101]
+    assert max(piece.nbytes for piece in pieces) < 2 * PIECE < len("".join(pages[:100]))
+    assert all(p["page_text"].startswith(f"{n} ord") for piece in pieces for n, p in zip(*piece.to_pydict().values()) if n < 100)
