@@ -106,3 +106,12 @@ def test_pages_are_read_in_pieces():
     assert [n for piece in pieces for n in piece.column("n").to_pylist()] == [*range(102), 100, 101]
     assert max(piece.nbytes for piece in pieces) < 2 * PIECE < len("".join(pages[:100]))
     assert all(p["page_text"].startswith(f"{n} ord") for piece in pieces for n, p in zip(*piece.to_pydict().values()) if n < 100)
+
+
+def test_pieces_count_the_text_of_unclosed_links_and_paragraphs():
+    """A small page can hold far more text than markup: an unclosed element has all the text behind it."""
+    page = '<a href="x">' + "<p>et avsnitt" * 300 + "</a>"
+    batch = pa.RecordBatch.from_pydict({"n": list(range(60)), "html": [page] * 60})
+    pieces = list(in_pieces(iter([batch]), ["n"], "html"))
+    assert sum(piece.num_rows for piece in pieces) == 60
+    assert max(piece.nbytes for piece in pieces) < 3 * PIECE < sum(piece.nbytes for piece in pieces)
