@@ -10,11 +10,18 @@ from datetime import date
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from errata.schema import CHECKPOINT_DDL, DEAD_LETTER_DDL, RAW_DDL, SITEMAP_DDL
 
 #: The file of a replaced table that names its current version.
 POINTER = "_CURRENT"
+#: What stands between two records of an array that is indented by two, and nowhere else in it: a JSON
+#: string has no line breaks, and what is nested is indented further.
+BETWEEN = "\n  },\n  {\n"
+OPENING = "[\n"
+#: A worker hands on what it has written once it holds so many characters.
+PIECE = 1 << 20
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -23,10 +30,39 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 def json_table(spark: SparkSession, path: str, schema: str = RAW_DDL, *, required: bool = False) -> DataFrame:
-    """A JSON array of records. A missing file is an empty table, unless it is required."""
+    """A JSON array of records. A missing file is an empty table, unless it is required. Files that are
+    indented as write_array() does are read by ranges of bytes, others each by one task."""
     if not required and not exists(spark, path):
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).option("multiLine", True).json(path)
+    if not _indented(spark, path):
+        return spark.read.schema(schema).option("multiLine", True).json(path)
+    text = F.col("value")
+    opened = F.when(text.startswith("["), text).otherwise(F.concat(F.lit("[{"), text))
+    closed = F.when(text.rlike(r"\n\]\s*\z|^\[\]\s*\z"), opened).otherwise(F.concat(opened, F.lit("}]")))
+    record = T.StructType.fromDDL(schema)
+    unreadable = F.array(F.lit(None).cast(record))  # a row of nulls, as Spark's reader has it
+    records = F.coalesce(F.from_json(closed, T.ArrayType(record)), unreadable)
+    return spark.read.option("lineSep", BETWEEN).text(path).select(F.inline(records))
+
+
+def _indented(spark: SparkSession, path: str) -> bool:
+    """Whether all files at path begin as arrays of records that are indented by two, or are empty."""
+    fs, jpath = _files(spark, path)
+    place = jpath(path)
+    if not fs.exists(place):  # a pattern, or nothing
+        return False
+    for status in fs.listStatus(place):
+        name = status.getPath().getName()
+        if name[0] in "_.":
+            continue
+        if status.isDirectory():
+            return False
+        data = fs.open(status.getPath())
+        head = bytes(b for _ in range(6) if (b := data.read()) >= 0).decode("latin-1")
+        data.close()
+        if head not in ("", "[]", "[]\n", "[\n  {\n"):
+            return False
+    return True
 
 
 def stored_table(spark: SparkSession, path: str, schema: str = RAW_DDL) -> DataFrame:
@@ -123,14 +159,26 @@ def write_array(df: DataFrame, path: str) -> None:
     """df as JSON arrays, indented, with its null fields: an array for each part of df, in one file.
     A part without rows is an empty array, no parts an empty file. json_table() reads them back."""
 
+    def indented(record: pa.StringScalar) -> str:
+        return "  " + json.dumps(json.loads(record.as_py()), indent=2, ensure_ascii=False).replace("\n", "\n  ")
+
+    def as_lines(values: list[str]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(values, pa.string())], ["value"])
+
     def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        opening = "["
-        for batch in batches:
-            for record in batch.column("record").to_pylist():
-                text = json.dumps(json.loads(record), indent=2, ensure_ascii=False)
-                yield pa.RecordBatch.from_arrays([pa.array([opening + "\n  " + text.replace("\n", "\n  ")])], ["value"])
-                opening = ","
-        yield pa.RecordBatch.from_arrays([pa.array(["[]" if opening == "[" else "]"])], ["value"])
+        texts = (indented(record) for batch in batches for record in batch.column("record"))
+        if (last := next(texts, None)) is None:
+            yield as_lines(["[]"])
+            return
+        last, held, size = OPENING + last, [], 0
+        for text in texts:
+            held.append(last + ",")
+            size += len(last)
+            last = text
+            if size >= PIECE:
+                yield as_lines(held)
+                held, size = [], 0
+        yield as_lines([*held, last, "]"])
 
     records = df.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("record"))
     records.mapInArrow(lines, "value string").write.mode("overwrite").text(path)

@@ -200,6 +200,30 @@ def test_json_arrays_and_dated_export(spark, tmp_path):
     (file,) = (tmp_path / "rettelser-2024-03-09.json").glob("part-*")
     assert file.read_text(encoding="utf-8").startswith('[\n  {\n    "id": ') and len(json.loads(file.read_text(encoding="utf-8"))) == 2
 
+def test_an_array_is_read_by_ranges_of_bytes(spark, tmp_path):
+    """Records are whole wherever a range ends, whatever they hold; files that others wrote are read too."""
+    schema = "id long, t string, a array<string>, o array<struct<p:int>>"
+    texts = [None, "]", "a\n  },\n  {\nb", "},", "æøå", ""]
+    rows = [(i, texts[i % 6], [None, [], ["]"]][i % 3], [[(1,), (2,)], None][i % 2]) for i in range(200)]
+    records = [{"id": i, "t": t, "a": a, "o": o and [{"p": p} for (p,) in o]} for i, t, a, o in rows]
+    tables.write_array(spark.createDataFrame(rows, schema).coalesce(1), f"file://{tmp_path}/own")
+    for indent in (None, 1, 2, 4):
+        (tmp_path / f"by{indent}").write_text(json.dumps(records, indent=indent, ensure_ascii=False), encoding="utf-8")
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        for size, names in ((1009, ("own", "by2")), (331, ("by2",)), (100_000, ("own", "byNone", "by1", "by2", "by4"))):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+            for name in names:
+                read = tables.json_table(spark, f"file://{tmp_path}/{name}", schema)
+                assert sorted((r.asDict(True) for r in read.collect()), key=lambda r: r["id"]) == records
+                assert size > 2000 or read.rdd.getNumPartitions() > 8
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    (tmp_path / "broken").write_text('[\n  {\n    "id": 1\n  },\n  {\n    "id": x\n  }\n]')
+    assert [r.id for r in tables.json_table(spark, f"file://{tmp_path}/broken", schema).collect()] == [1, None]
+
 
 def test_counters(spark):
     counted, seen = tables.counting(spark.range(10), "c", even=F.col("id") % 2 == 0)
