@@ -19,7 +19,7 @@ POINTER = "_CURRENT"
 #: What stands between two records of an array that is indented by two, and nowhere else in it: a JSON
 #: string has no line breaks, and what is nested is indented further.
 BETWEEN = "\n  },\n  {\n"
-OPENING = "[\n"
+OPENING, CLOSING = "[\n", "\n]\n"
 #: A worker hands on what it has written once it holds so many characters.
 PIECE = 1 << 20
 
@@ -186,12 +186,45 @@ def write_array(df: DataFrame, path: str) -> None:
 
 def export_dated(df: DataFrame, folder: str, day: date, name: str = "rettelser") -> str:
     """The full set as one JSON array in a folder that the date names; returns its path. One file is
-    the feature here: it is what a person downloads."""
+    the feature here: it is what a person downloads. Its parts are written side by side; then the
+    driver strings their bytes together, and deletes each part once it is in."""
     path = f"{folder}/{name}-{day.isoformat()}.json"
-    write_array(df.coalesce(1), path)
+    side = f"{folder}/_{name}-{uuid.uuid4().hex}"
+    spark = df.sparkSession
+    fs, jpath = _files(spark, path)
+    try:
+        write_array(df, f"{side}/parts")
+        _join_arrays(spark, f"{side}/parts", f"{side}/whole/part-00000.json")
+        fs.delete(jpath(path), True)
+        if not fs.rename(jpath(f"{side}/whole"), jpath(path)):
+            raise OSError(f"cannot move the export to {path}")
+    finally:
+        fs.delete(jpath(side), True)
     return path
 
 
+def _join_arrays(spark: SparkSession, parts: str, target: str) -> None:
+    """The arrays that write_array() has left in a folder, as one in the order of the parts."""
+    fs, jpath = _files(spark, target)
+    files = [s for s in fs.listStatus(jpath(parts)) if s.getPath().getName().startswith("part-")]
+    full = sorted((s for s in files if s.getLen() > len("[]\n")), key=lambda s: int(s.getPath().getName().split("-")[1]))
+    between = OPENING
+    buffer = spark._sc._gateway.new_array(spark._jvm.byte, 1 << 20)
+    out = fs.create(jpath(target), True)
+    for status in full:
+        out.write(bytearray(between.encode()))
+        data = fs.open(status.getPath())
+        inner = status.getLen() - len(OPENING) - len(CLOSING)
+        copied = spark._jvm.org.apache.commons.io.IOUtils.copyLarge(data, out, len(OPENING), inner, buffer)
+        data.close()
+        if copied != inner:
+            raise OSError(f"{status.getPath()} ends after {copied} of {inner} bytes")
+        fs.delete(status.getPath(), False)
+        between = ",\n"
+    out.write(bytearray((CLOSING if full else "[]\n").encode()))
+    out.close()
+
+
 def counting(df: DataFrame, name: str, **counts: Column) -> tuple[DataFrame, Observation]:
     """df, and the counters of a run over it: `rows` and each condition's count. They can be read once
     an action on df has ended, and cost no other pass."""

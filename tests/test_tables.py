@@ -225,6 +225,26 @@ def test_an_array_is_read_by_ranges_of_bytes(spark, tmp_path):
     assert [r.id for r in tables.json_table(spark, f"file://{tmp_path}/broken", schema).collect()] == [1, None]
 
 
+def test_a_dated_export_is_written_by_many_tasks(spark, tmp_path):
+    """One file, in the order of the rows, of which no task writes all; a second export takes its place."""
+
+    def by_task(batches):
+        import pyarrow as pa
+        from pyspark import TaskContext
+
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array([TaskContext.get().partitionId()] * batch.num_rows, pa.int32())], ["id", "task"])
+
+    rows = spark.range(0, 40, 1, 4).filter("id NOT BETWEEN 10 AND 19").mapInArrow(by_task, "id long, task int")
+    for df, ids in ((rows, [*range(10), *range(20, 40)]), (rows.filter("id > 35"), [36, 37, 38, 39]), (rows.limit(0), [])):
+        path = tables.export_dated(df, f"file://{tmp_path}", datetime(2024, 3, 9).date())
+        (file,) = (tmp_path / "rettelser-2024-03-09.json").glob("part-*")
+        text = file.read_text(encoding="utf-8")
+        assert text == json.dumps([{"id": i, "task": i // 10} for i in ids], indent=2) + "\n"
+        assert sorted(r.id for r in tables.json_table(spark, path, "id long", required=True).collect()) == ids
+        assert [x.name for x in tmp_path.iterdir()] == ["rettelser-2024-03-09.json"]
+
+
 def test_counters(spark):
     counted, seen = tables.counting(spark.range(10), "c", even=F.col("id") % 2 == 0)
     counted.write.format("noop").mode("overwrite").save()
