@@ -22,6 +22,14 @@ def page_stream(spark: SparkSession, folder: str, schema: str = "page_id long, u
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_at_once).parquet(folder)
 
 
+def deal(pages: DataFrame, folder: str, batches: int) -> int:
+    """Write pages as Parquet files for a stream of so many batches, each of as many files as pages has
+    parts, so that a file stays small. Returns the files of a batch, for page_stream()."""
+    parts = max(1, pages.rdd.getNumPartitions())
+    pages.repartition(batches * parts).write.parquet(folder)
+    return parts
+
+
 def collect_stream(pages: DataFrame, target: str, checkpoint: str, *, source: str, ingested: datetime, lexicon: Lexicon = NORWEGIAN) -> StreamingQuery:
     """Append the corrections of new pages to the Parquet table at target, until all that is there is
     read. A batch that is repeated after a failure adds nothing twice: its urls are then known. Of the

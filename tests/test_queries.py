@@ -77,3 +77,22 @@ def test_a_stream_stopped_by_its_time_budget_goes_on(spark, tmp_path):
     ended = [stream.within(run(), 0.01), stream.within(run(), 300)]
     assert ended == [False, True]
     assert sorted(r.url for r in spark.read.parquet(f"{folder}/raw").collect()) == sorted(u for _, u, _ in pages)
+
+
+def test_pages_are_dealt_to_as_many_files_as_they_have_parts(spark, tmp_path):
+    from datetime import datetime
+
+    from errata.streaming import stream
+
+    folder = f"file://{tmp_path}"
+    row = ["id AS page_id", "'https://x/' || id AS url", "'<p>NRK retter: sak ' || id || '.</p>' AS html"]
+    for parts in (1, 6):
+        pages = spark.range(0, 600, 1, parts).selectExpr(*row)
+        at_once = stream.deal(pages, f"{folder}/pages{parts}", 3)
+        files = list((tmp_path / f"pages{parts}").glob("part-*.parquet"))
+        assert (at_once, len(files)) == (parts, 3 * parts)
+        assert max(spark.read.parquet(f"file://{f}").count() for f in files) < 300 / parts
+        running = stream.collect_stream(stream.page_stream(spark, f"{folder}/pages{parts}", files_at_once=at_once), f"{folder}/raw{parts}", f"{folder}/c{parts}", source="sitemap", ingested=datetime(2024, 1, 1))
+        running.awaitTermination()
+        assert [p["batchId"] for p in running.recentProgress if p["numInputRows"]] == [0, 1, 2]
+        assert spark.read.parquet(f"{folder}/raw{parts}").select("url").distinct().count() == spark.read.parquet(f"{folder}/raw{parts}").count() == 600
